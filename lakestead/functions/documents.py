@@ -8,6 +8,7 @@ absent key. A document that does not parse, or repeats a key, gives NULL there.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -76,9 +77,7 @@ def _contains(value: Column, pattern: Any) -> Column:
         elements = F.try_variant_get(value, "$", "array<variant>")
         matches = kind.startswith("ARRAY")
         for wanted in pattern:
-            matches = matches & F.exists(
-                elements, lambda e, w=wanted: F.coalesce(_contains(e, w), F.lit(False))
-            )
+            matches = matches & F.exists(elements, _matcher(wanted))
         return matches
     if pattern is None:
         return F.is_variant_null(value)
@@ -91,14 +90,17 @@ def _contains(value: Column, pattern: Any) -> Column:
     return (kind == "STRING") & (F.try_variant_get(value, "$", "string") == F.lit(pattern))
 
 
+def _matcher(wanted: Any) -> Callable[[Column], Column]:
+    return lambda element: F.coalesce(_contains(element, wanted), F.lit(False))
+
+
 def merge(doc: Column, patch: dict[str, Any]) -> Column:
     """Top-level merge; the patch wins and other values keep their types.
 
     Documents that are NULL or no object stay as they are.
     """
     names = list(patch)
-    entries = F.try_variant_get(F.try_parse_json(doc), "$", "map<string,variant>")
-    kept = F.map_filter(entries, lambda k, _: ~k.isin(names))
+    kept = F.map_filter(_entries(doc), lambda k, _: ~k.isin(names))
     added = F.create_map(
         *[c for k in names for c in (F.lit(k), F.parse_json(F.lit(json.dumps(patch[k]))))]
     )
@@ -111,7 +113,12 @@ def set_field(doc: Column, key: str, value: Any, create_missing: bool = True) ->
 
 
 def pretty(doc: Column) -> Column:
-    return F.to_json(F.try_parse_json(doc), {"pretty": "true"})
+    """One line per top-level field; nested values stay on the line of their field."""
+    return F.to_json(_entries(doc), {"pretty": "true"})
+
+
+def _entries(doc: Column) -> Column:
+    return F.try_variant_get(F.try_parse_json(doc), "$", "map<string,variant>")
 
 
 def each_text(df: DataFrame, doc: str, keep: list[str]) -> DataFrame:

@@ -50,7 +50,8 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 
 def to_timestamp_or_null(c: Column) -> Column:
-    return strip(c).try_cast("timestamp_ntz")
+    """The cast itself allows blanks around the value."""
+    return c.try_cast("timestamp_ntz")
 
 
 # ---- numbers --------------------------------------------------------------------------------

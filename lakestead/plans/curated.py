@@ -70,7 +70,7 @@ def oversized(processed: DataFrame) -> DataFrame:
     """Valid rows kept out of the curated zone because a text exceeds its declared width."""
     return (
         processed.filter("is_valid")
-        .select("source_raw_id", too_long(processed).alias("reject_reason"), "document")
+        .select("source_raw_id", too_long(processed).alias("reject_reason"))
         .filter("reject_reason is not null")
     )
 

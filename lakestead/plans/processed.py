@@ -9,6 +9,8 @@ into the text ``None`` first, so that it passes the blank checks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestead.fixed_values import (
@@ -79,8 +81,11 @@ def orders(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
         Rule(~status.isin(*ORDER_STATUSES), penalty, F.concat(F.lit(note), status)),
         Rule(F.coalesce(F.col("order_purchase_timestamp"), F.lit("")) == "", *p["purchase"]),
     ]
-    typed = {n: to_timestamp_or_null(F.col(n)) for n in times}
-    return _stored(assess(cleaned, rules), "processed.orders", typed)
+    return _stored(
+        assess(cleaned, rules),
+        "processed.orders",
+        {n: to_timestamp_or_null(F.col(n)) for n in times},
+    )
 
 
 def products(raw: DataFrame, null_mode: str = "missing", length_mode: str = "value") -> DataFrame:
@@ -103,8 +108,11 @@ def products(raw: DataFrame, null_mode: str = "missing", length_mode: str = "val
     ]
     # Counts may be written as 40 or 40.0.
     numbers = [*lengths, "product_photos_qty"]
-    typed = {n: strip(F.col(n)).try_cast("double").try_cast("int") for n in numbers}
-    return _stored(assess(cleaned, rules), "processed.products", typed)
+    return _stored(
+        assess(cleaned, rules),
+        "processed.products",
+        {n: F.col(n).try_cast("double").try_cast("int") for n in numbers},
+    )
 
 
 def geolocations(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
@@ -122,8 +130,11 @@ def geolocations(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
         Rule(F.length("geolocation_zip_code_prefix") < MIN_ZIP_CHARS, *p["zip"]),
         Rule(F.col(position[0]).isNull() | F.col(position[1]).isNull(), *p["position"]),
     ]
-    typed = {n: strip(F.col(n)).try_cast("decimal(10,6)") for n in position}
-    return _stored(assess(cleaned, rules), "processed.geolocations", typed)
+    return _stored(
+        assess(cleaned, rules),
+        "processed.geolocations",
+        {n: F.col(n).try_cast("decimal(10,6)") for n in position},
+    )
 
 
 def order_items(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
@@ -140,19 +151,20 @@ def order_items(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
         F.lit(None).cast("string").alias("validation_notes"),
     )
 
-    def amount(name: str) -> Column:
-        number = strip(F.col(name)).try_cast("decimal(10,2)")
-        is_text = (
-            F.schema_of_variant(F.variant_get(F.try_parse_json("data"), f"$.{name}", "variant"))
-            == "STRING"
-        )
-        # The type is looked up in the document for zeros only.
-        return F.when(number == 0, F.when(is_text, number)).otherwise(number)
-
-    typed = {n: amount(n) for n in amounts}
-    typed["shipping_limit_date"] = to_timestamp_or_null(F.col("shipping_limit_date"))
-    fits = {n: strip(F.col(n)).try_cast("decimal(10,2)") for n in amounts}
-    return _stored(scored, "processed.order_items", typed, fits)
+    def unknown_zero(name: str, number: Column) -> Column:
+        kind = F.schema_of_variant(F.variant_get(F.try_parse_json("data"), f"$.{name}", "variant"))
+        # The document is looked at for zeros only.
+        return F.when(number == 0, F.when(kind == "STRING", number)).otherwise(number)
+
+    return _stored(
+        scored,
+        "processed.order_items",
+        {
+            **{n: F.col(n).try_cast("decimal(10,2)") for n in amounts},
+            "shipping_limit_date": to_timestamp_or_null(F.col("shipping_limit_date")),
+        },
+        adjust={n: unknown_zero for n in amounts},
+    )
 
 
 PROCESS = {
@@ -167,12 +179,7 @@ PROCESS = {
 
 # ---- good and bad rows ----------------------------------------------------------------------
 def accepted(processed: DataFrame) -> DataFrame:
-    return accepted_with_document(processed).drop("document")
-
-
-def accepted_with_document(processed: DataFrame) -> DataFrame:
-    """Accepted rows together with the document they came from, for later checks."""
-    return processed.filter("reject_reason is null").drop("reject_reason")
+    return processed.filter("reject_reason is null").drop("reject_reason", "document")
 
 
 def rejected(processed: DataFrame) -> DataFrame:
@@ -214,23 +221,34 @@ def _stored(
     df: DataFrame,
     table: str,
     typed: dict[str, Column] | None = None,
-    readable: dict[str, Column] | None = None,
+    adjust: dict[str, Callable[[str, Column], Column]] | None = None,
 ) -> DataFrame:
-    """Declared columns with ``typed`` ones replaced. A text that is there but gives no value
-    (``readable`` where it differs from ``typed``) rejects the row."""
-    typed = typed or {}
-    checks = {**typed, **(readable or {})}
+    """Declared columns, those in ``typed`` converted from text and then adjusted. A text that is
+    there but cannot be converted rejects the row."""
+    typed, adjust = typed or {}, adjust or {}
+    converted = df.withColumns({f"_{n}": value for n, value in typed.items()})
     reason = F.coalesce(
         F.when(F.col("_malformed"), F.lit(MALFORMED)),
         *[
-            F.when(~is_blank(F.col(n)) & value.isNull(), F.lit(f"{UNREADABLE}{n}"))
-            for n, value in checks.items()
+            F.when(F.col(f"_{n}").isNull() & ~is_blank(F.col(n)), F.lit(f"{UNREADABLE}{n}"))
+            for n in typed
         ],
         F.lit(None).cast("string"),
     )
-    out = df.select(
-        *[typed.get(c, F.col(c)).alias(c) for c in df.columns if c not in ("data", "_malformed")],
+
+    def value(name: str) -> Column:
+        if name not in typed:
+            return F.col(name)
+        return adjust.get(name, lambda _, c: c)(name, F.col(f"_{name}"))
+
+    names = [c for c in df.columns if c not in ("data", "_malformed")]
+    out = converted.select(
+        *[value(n).alias(n) for n in names],
         reason.alias("reject_reason"),
-        F.col("data").alias("document"),
+        F.when(reason.isNotNull(), F.col("data")).alias("document"),
     )
-    return conform(out, table, keep=["reject_reason", "document"])
+    record = conform(out, table, keep=["reject_reason", "document"])
+    # Filters on score or reason stay above a generator. Without it they would be pushed down to
+    # the documents, and every document would be parsed and judged twice.
+    once = F.explode(F.array(F.struct(*record.columns))).alias("record")
+    return record.select(once).select("record.*")

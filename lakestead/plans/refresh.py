@@ -16,8 +16,6 @@ from lakestead.schemas import schema
 from lakestead.sources.files import ZoneStore
 from lakestead.sources.raw import observed, to_documents
 
-SOURCE_TABLES = ("customers", "sellers", "orders", "order_items", "products", "geolocation")
-
 
 @dataclass(frozen=True)
 class Lakehouse:
@@ -30,12 +28,21 @@ class Lakehouse:
 
 
 def ingest(
-    store: ZoneStore, table: str, df: DataFrame, loaded_at: dt.datetime, raw_id: str | None = None
+    store: ZoneStore,
+    table: str,
+    df: DataFrame,
+    loaded_at: dt.datetime,
+    raw_id: str | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
     """Add one load to the raw zone and its row to the audit; returns the documents of this load.
 
     A load is a partition of its own: running it again replaces it instead of adding copies.
+    ``spread`` deals the rows out to that many tasks first, for sources that arrive in one file
+    which cannot be split.
     """
+    if spread:
+        df = df.repartition(spread)
     load_id = loaded_at.strftime("%Y%m%dT%H%M%S")
     documents = to_documents(df, table, loaded_at, raw_id).withColumn("load_id", F.lit(load_id))
     counted, seen = observed(documents, f"{table}-{load_id}")
@@ -53,10 +60,22 @@ def ingest(
 
 
 def clean(store: ZoneStore, entity: str, documents: DataFrame, **modes: str) -> DataFrame:
-    """Processed table of an entity; rows that cannot be stored go to its quarantine."""
+    """Processed table of an entity. Good rows and those that cannot be stored are written in one
+    pass, as two partitions of the table."""
     rows = processed.PROCESS[entity](documents, **modes)
-    store.overwrite("processed", f"{entity}_quarantine", processed.rejected(rows))
-    return store.overwrite("processed", entity, processed.accepted(rows))
+    flagged = rows.withColumn("rejected", F.col("reject_reason").isNotNull())
+    flagged.write.mode("overwrite").partitionBy("rejected").parquet(store.path("processed", entity))
+    return stored(store, entity)
+
+
+def stored(store: ZoneStore, entity: str) -> DataFrame:
+    good = store.read("processed", entity).filter(~F.col("rejected"))
+    return good.drop("rejected", "reject_reason", "document")
+
+
+def quarantine(store: ZoneStore, entity: str) -> DataFrame:
+    bad = store.read("processed", entity).filter("rejected")
+    return bad.select("source_raw_id", "reject_reason", "document")
 
 
 def run(
@@ -64,18 +83,18 @@ def run(
     sources: dict[str, DataFrame],
     root: str,
     loaded_at: dt.datetime,
-    raw_ids: dict[str, str] | None = None,
+    raw_id: str | None = None,
     calendar: DataFrame | None = None,
     previous_sellers: DataFrame | None = None,
     null_mode: str = "missing",
+    spread: int | None = None,
 ) -> Lakehouse:
     """Refresh all zones under ``root`` from the source entities."""
     store = ZoneStore(spark, root)
-    raw_ids = raw_ids or {}
     entity_of = {"geolocation": "geolocations"}
     done = {}
     for table, df in sources.items():
-        documents = ingest(store, table, df, loaded_at, raw_ids.get(table))
+        documents = ingest(store, table, df, loaded_at, raw_id, spread)
         entity = entity_of.get(table, table)
         done[entity] = clean(store, entity, documents, null_mode=null_mode)
 

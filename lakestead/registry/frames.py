@@ -7,8 +7,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestead.plans import curated, processed, warehouse
-from lakestead.session import tune
+from lakestead.plans import curated, processed, refresh, warehouse
+from lakestead.session import scratch_dir, tune
 from lakestead.sources import adapters
 from lakestead.sources.raw import to_documents
 
@@ -19,7 +19,16 @@ MIN_ORDERS = 30
 SEGMENTS = (("Bronze", 1_000_000), ("Silver", 2_000_000), ("Gold", 3_000_000))
 
 
+_written: dict[tuple[str, str], refresh.Lakehouse] = {}
+
+
 class Frames:
+    """Lazy frames from the driver tables, and the same zones written to Parquet.
+
+    Transforms are registered on the lazy frames. Reports read the written star, as they would in
+    use: it is built from the whole tables once per application and folder.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir
@@ -61,6 +70,20 @@ class Frames:
     def star(self) -> warehouse.Star:
         return warehouse.build_star(self.orders, self.items, self.customers, self.sellers, DAY_1)
 
+    @property
+    def written(self) -> refresh.Lakehouse:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _written:
+            _written[key] = refresh.run(
+                self.spark,
+                {entity: self.source(entity) for entity in adapters.ENTITIES},
+                scratch_dir(self.spark, "zones"),
+                LOADED_AT,
+                raw_id="raw_id",
+                spread=self.spark.sparkContext.defaultParallelism,
+            )
+        return _written[key]
+
     def seller_snapshot(self, day: int) -> DataFrame:
         return adapters.seller_snapshot(self.spark, self.sf_dir, day)
 

@@ -325,7 +325,11 @@ from (select raw_id, {CUSTOMER_JSON} as data from src_customers
       union all select raw_id + 1000000000000, {CUSTOMER_JSON} from src_customers
       where raw_id in (select c_custkey from customer where c_mktsegment = 'BUILDING')) d
 group by data""")
-ORACLE["csv_roundtrip"] = sql("select * exclude (raw_id) from src_customers")
+# A blank cell of a CSV file is read as NULL.
+ORACLE["csv_roundtrip"] = sql("""
+select nullif(customer_id, '') as customer_id, nullif(customer_unique_id, '') as customer_unique_id,
+ customer_zip_code_prefix, nullif(customer_city, '') as customer_city, nullif(customer_state, '') as customer_state
+from src_customers""")
 
 COLUMNS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -419,7 +423,9 @@ from (select raw_id, loaded_at, {doc} as d from {source}) x""")
 
 
 PROCESSED_FIELD = f", {text('processed', 'd')} as processed"
-ORACLE["json_set"] = probe("""json_merge_patch(data, '{"state":"RJ"}')""", "docs")
+ORACLE["json_set"] = probe(
+    """case when data is not null then json_merge_patch(data, '{"state":"RJ"}') end""", "docs"
+)
 ORACLE["json_merge"] = sql(f"""
 select raw_id, null::varchar as state, data is not null as has_state,
  case when data is not null then 'none' end as zip_code, coalesce({text('active')} = 'true', false) as is_active,
@@ -429,7 +435,7 @@ select raw_id, null::varchar as state, data is not null as has_state,
  case when data is not null then 'true' end as processed
 from docs""")
 ORACLE["json_merge_recent"] = probe(
-    """case when loaded_at > timestamp '2024-01-03 12:00:00' - interval 1 day
+    """case when loaded_at > timestamp '2024-01-03 12:00:00' - interval 1 day and data is not null
  then json_merge_patch(data, '{"processed":true}') else data end""",
     "docs",
     PROCESSED_FIELD,

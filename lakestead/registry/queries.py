@@ -423,8 +423,9 @@ def dq_quarantine(f: Frames) -> DataFrame:
     )
     items = f.raw("order_items").withColumn("data", broken)
     lengthy = f.raw("sellers", blank_as_null=True)
-    states = processed.accepted_with_document(processed.sellers(lengthy, null_mode="compat"))
-    bad = processed.rejected(processed.order_items(items)).unionByName(curated.oversized(states))
+    states = processed.accepted(processed.sellers(lengthy, null_mode="compat"))
+    broken_items = processed.rejected(processed.order_items(items)).drop("document")
+    bad = broken_items.unionByName(curated.oversized(states))
     return bad.groupBy("reject_reason").agg(
         F.count("*").alias("n_rows"), F.min("source_raw_id").alias("first_raw_id")
     )
@@ -624,7 +625,7 @@ def fct_orders_strict(f: Frames) -> DataFrame:
 
 @query
 def star_join(f: Frames) -> DataFrame:
-    s = f.star
+    s = f.written.star
     days = F.broadcast(s.dim_date.select(F.col("date_id").alias("dim_date_id"), "year", "month"))
     return (
         s.fct_orders.join(days, "dim_date_id", "left")
@@ -744,12 +745,12 @@ def upsert_touch(f: Frames) -> DataFrame:
 
 @query
 def warehouse_validation(f: Frames) -> DataFrame:
-    return warehouse.validation_report(f.star)
+    return warehouse.validation_report(f.written.star)
 
 
 @query
 def warehouse_summary(f: Frames) -> DataFrame:
-    return warehouse.warehouse_summary(f.star.fct_orders)
+    return warehouse.warehouse_summary(f.written.star.fct_orders)
 
 
 @query
@@ -774,83 +775,83 @@ def lineage_raw(f: Frames) -> DataFrame:
 
 @query
 def lineage_counts(f: Frames) -> DataFrame:
-    return lineage.zone_lineage(f.orders, f.customers, f.items, f.sellers, f.star)
+    return lineage.zone_lineage(f.written.orders, f.written.customers, f.written.items, f.written.sellers, f.written.star)
 
 
 # ---- reports --------------------------------------------------------------------------------
 @query
 def sales_by_region_time(f: Frames) -> DataFrame:
-    return analytics.sales_by_region_time(f.star, MIN_YEAR)
+    return analytics.sales_by_region_time(f.written.star, MIN_YEAR)
 
 
 @query
 def product_performance(f: Frames) -> DataFrame:
-    return analytics.product_performance(f.star, MIN_ORDERS)
+    return analytics.product_performance(f.written.star, MIN_ORDERS)
 
 
 @query
 def customer_segments(f: Frames) -> DataFrame:
-    return analytics.customer_segments(f.star, SEGMENTS)
+    return analytics.customer_segments(f.written.star, SEGMENTS)
 
 
 @query
 def customer_segments_direct(f: Frames) -> DataFrame:
-    return analytics.customer_segments_direct(f.customers, f.orders, f.items, SEGMENTS)
+    return analytics.customer_segments_direct(f.written.customers, f.written.orders, f.written.items, SEGMENTS)
 
 
 @query
 def dashboard_regional(f: Frames) -> DataFrame:
-    return analytics.dashboard_regional(f.star)
+    return analytics.dashboard_regional(f.written.star)
 
 
 @query
 def dashboard_regional_totals(f: Frames) -> DataFrame:
-    return analytics.dashboard_regional_totals(analytics.dashboard_regional(f.star))
+    return analytics.dashboard_regional_totals(analytics.dashboard_regional(f.written.star))
 
 
 @query
 def dashboard_product(f: Frames) -> DataFrame:
-    return analytics.dashboard_product(f.star)
+    return analytics.dashboard_product(f.written.star)
 
 
 @query
 def dashboard_customer(f: Frames) -> DataFrame:
-    return analytics.dashboard_customer(f.star, SEGMENTS)
+    return analytics.dashboard_customer(f.written.star, SEGMENTS)
 
 
 @query
 def chart_regions(f: Frames) -> DataFrame:
-    return analytics.chart_regions(f.star)
+    return analytics.chart_regions(f.written.star)
 
 
 @query
 def chart_top_regions(f: Frames) -> DataFrame:
-    return analytics.chart_top_regions(analytics.chart_regions(f.star), rows=3)
+    return analytics.chart_top_regions(analytics.chart_regions(f.written.star), rows=3)
 
 
 @query
 def chart_region_boxstats(f: Frames) -> DataFrame:
-    return analytics.chart_region_boxstats(analytics.chart_regions(f.star))
+    return analytics.chart_region_boxstats(analytics.chart_regions(f.written.star))
 
 
 @query
 def chart_products(f: Frames) -> DataFrame:
-    return analytics.top_products(f.star, min_orders=MIN_ORDERS)
+    return analytics.top_products(f.written.star, min_orders=MIN_ORDERS)
 
 
 @query
 def chart_product_pie(f: Frames) -> DataFrame:
-    return analytics.chart_product_pie(analytics.top_products(f.star, min_orders=MIN_ORDERS))
+    return analytics.chart_product_pie(analytics.top_products(f.written.star, min_orders=MIN_ORDERS))
 
 
 @query
 def chart_product_normalised(f: Frames) -> DataFrame:
-    return analytics.chart_product_normalised(analytics.top_products(f.star, min_orders=MIN_ORDERS))
+    return analytics.chart_product_normalised(analytics.top_products(f.written.star, min_orders=MIN_ORDERS))
 
 
 @query
 def chart_segments(f: Frames) -> DataFrame:
-    return analytics.chart_segments(f.star, SEGMENTS)
+    return analytics.chart_segments(f.written.star, SEGMENTS)
 
 
 # ---- incremental loads ----------------------------------------------------------------------

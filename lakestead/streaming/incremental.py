@@ -33,9 +33,12 @@ def ingest_once(
 
     State is kept for ``delay`` past the latest event time, so it does not grow with the table.
     """
-    unique = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    # Watermarks want a zoned timestamp; the column itself is stored as it came.
+    timed = stream.withColumn("_time", F.col(event_time).cast("timestamp"))
+    unique = timed.withWatermark("_time", delay).dropDuplicatesWithinWatermark([key])
     _run(
-        unique.writeStream.format("parquet")
+        unique.drop("_time")
+        .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
