@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 from lakestead.fixed_values import NOTE_SEPARATOR, WHITESPACE
@@ -37,6 +39,12 @@ def iso_timestamp(c: Column) -> Column:
 
 
 # ---- dates ----------------------------------------------------------------------------------
+def moment(value: dt.datetime | None) -> Column:
+    """A timestamp constant that does not depend on any time zone."""
+    text = None if value is None else value.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def date_key(d: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 

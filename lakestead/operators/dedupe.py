@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakestead.functions.scalars import moment
+
 
 def best_per_key(df: DataFrame, key: list[str], better: Column, tie: str) -> DataFrame:
     """Keep the row with the highest ``better`` per key, the lowest ``tie`` among equals.
@@ -35,7 +37,7 @@ def upsert_touch(
 
     ``refresh=True`` also takes the new attributes. ``new`` holds a key at most once.
     """
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     kept = {"created_at", "updated_at", key}
     attributes = [c for c in existing.columns if c not in kept and c in new.columns]
     incoming = new.select(key, F.struct(*attributes).alias("_new"))

@@ -20,7 +20,7 @@ from lakestead.fixed_values import (
     LABEL_SELLER_HISTORY,
     LABEL_SELLERS_CURRENT,
 )
-from lakestead.functions.scalars import date_key, location_key, mean, money
+from lakestead.functions.scalars import date_key, location_key, mean, moment, money
 from lakestead.operators import scd2
 from lakestead.operators.surrogate import hash_key
 from lakestead.schemas import conform, fits
@@ -80,7 +80,7 @@ def dim_date(bounds: DataFrame) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, now: dt.datetime | None = None) -> DataFrame:
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     return conform(
         customers.filter("customer_id is not null").select(
             "*",

@@ -67,8 +67,24 @@ class Frames:
         return curated.sellers_refined(self.processed("sellers"))
 
     @cached_property
-    def star(self) -> warehouse.Star:
-        return warehouse.build_star(self.orders, self.items, self.customers, self.sellers, DAY_1)
+    def dim_date(self) -> DataFrame:
+        return warehouse.dim_date(warehouse.order_date_range(self.orders))
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return warehouse.dim_customer(self.customers)
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return warehouse.dim_location(self.customers, self.sellers)
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return warehouse.dim_product(self.items)
+
+    @cached_property
+    def fct_orders(self) -> DataFrame:
+        return warehouse.fct_orders(self.orders, self.items, self.customers, self.dim_location)
 
     @property
     def written(self) -> refresh.Lakehouse:

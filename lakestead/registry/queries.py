@@ -244,7 +244,7 @@ def json_merge(f: Frames) -> DataFrame:
 @query
 def json_merge_recent(f: Frames) -> DataFrame:
     """Mark the documents of the last day before a given time."""
-    as_of = F.lit(dt.datetime(2024, 1, 3, 12)).cast("timestamp_ntz")
+    as_of = scalars.moment(dt.datetime(2024, 1, 3, 12))
     recent = F.col("loaded_at") > as_of - F.expr("INTERVAL 1 DAY")
     marked = docs.merge(F.col(DOC), {"processed": True})
     changed = f.documents.withColumn(DOC, F.when(recent, marked).otherwise(F.col(DOC)))
@@ -573,50 +573,52 @@ def category_translate(f: Frames) -> DataFrame:
 # ---- warehouse ------------------------------------------------------------------------------
 @query
 def dim_date(f: Frames) -> DataFrame:
-    return f.star.dim_date
+    return f.dim_date
 
 
 @query
 def dim_customer(f: Frames) -> DataFrame:
-    return f.star.dim_customer.drop("dim_customer_id", "created_at", "updated_at")
+    return f.dim_customer.drop("dim_customer_id", "created_at", "updated_at")
 
 
 @query
 def dim_location(f: Frames) -> DataFrame:
-    return f.star.dim_location.drop("dim_location_id")
+    return f.dim_location.drop("dim_location_id")
 
 
 @query
 def dim_product(f: Frames) -> DataFrame:
-    return f.star.dim_product.drop("dim_product_id")
+    return f.dim_product.drop("dim_product_id")
 
 
 def _natural(f: Frames, fact: DataFrame) -> DataFrame:
     """The fact with natural keys instead of surrogate ones."""
-    star = f.star
+    customers = f.dim_customer.select("dim_customer_id", "customer_id")
+    products = f.dim_product.select("dim_product_id", "product_id")
+    places = f.dim_location.select("dim_location_id", "location_key")
     return (
-        fact.join(star.dim_customer.select("dim_customer_id", "customer_id"), "dim_customer_id", "left")
-        .join(star.dim_product.select("dim_product_id", "product_id"), "dim_product_id", "left")
-        .join(star.dim_location.select("dim_location_id", "location_key"), "dim_location_id", "left")
+        fact.join(customers, "dim_customer_id", "left")
+        .join(products, "dim_product_id", "left")
+        .join(places, "dim_location_id", "left")
         .drop("dim_customer_id", "dim_product_id", "dim_location_id")
     )
 
 
 @query
 def fct_orders(f: Frames) -> DataFrame:
-    return _natural(f, f.star.fct_orders)
+    return _natural(f, f.fct_orders)
 
 
 @query
 def fct_orders_order_grain(f: Frames) -> DataFrame:
-    return _natural(f, warehouse.order_grain(f.star.fct_orders)).drop("product_id")
+    return _natural(f, warehouse.order_grain(f.fct_orders)).drop("product_id")
 
 
 @query
 def fct_orders_strict(f: Frames) -> DataFrame:
     """Blank ids match nothing, and orders of unknown customers have no location."""
     fact = warehouse.fct_orders(
-        f.orders, f.items, f.customers, f.star.dim_location, strict_location=True, blank_keys="null"
+        f.orders, f.items, f.customers, f.dim_location, strict_location=True, blank_keys="null"
     )
     return _natural(f, fact).groupBy("customer_id", "location_key").agg(
         F.count("*").alias("n_rows"), F.sum("total_order_value").cast("decimal(18,2)").alias("value")
@@ -661,7 +663,7 @@ def surrogate_keys(f: Frames) -> DataFrame:
         ).select(F.lit(name).alias("table_name"), "*")
 
     return report("orders", f.orders, "order_id").unionByName(
-        report("products", f.star.dim_product, "product_id")
+        report("products", f.dim_product, "product_id")
     )
 
 
@@ -763,7 +765,7 @@ def zone_counts(f: Frames) -> DataFrame:
             "processed.order_items": f.processed("order_items"),
             "curated.orders": f.orders,
             "curated.order_items": f.items,
-            "warehouse.fct_orders": f.star.fct_orders,
+            "warehouse.fct_orders": f.fct_orders,
         }
     )
 

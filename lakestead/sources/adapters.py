@@ -10,6 +10,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lakestead.functions.scalars import moment
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -208,7 +210,7 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "customer").join(
         _places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    first = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    first = moment(dt.datetime(2024, 1, 1))
     return base.select(
         F.col("c_custkey").alias("raw_id"),
         F.expr(CUSTOMER_DOCUMENT).alias("data"),

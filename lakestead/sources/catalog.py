@@ -21,7 +21,8 @@ def zones(spark: SparkSession) -> DataFrame:
 
 
 def tables(spark: SparkSession, zone: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(zone))
+    """Tables and views of a zone; temporary views belong to the session, not to a zone."""
+    return sorted(t.name for t in spark.catalog.listTables(zone) if not t.isTemporary)
 
 
 def table_columns(frames: dict[str, DataFrame]) -> DataFrame:

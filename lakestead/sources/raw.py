@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DoubleType, FloatType, TimestampNTZType, TimestampType
 
 from lakestead.fixed_values import RAW_USER
-from lakestead.functions.scalars import iso_timestamp
+from lakestead.functions.scalars import iso_timestamp, moment
 
 
 def null_normalised(df: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def to_documents(
         "raw_id",
         "data",
         F.lit(source_table).alias("source_table"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+        moment(loaded_at).alias("loaded_at"),
         (F.sha2("data", 256) if with_hash else F.lit(None).cast("string")).alias("file_hash"),
         F.lit(RAW_USER).alias("created_by"),
     )
