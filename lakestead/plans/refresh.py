@@ -33,16 +33,11 @@ def ingest(
     df: DataFrame,
     loaded_at: dt.datetime,
     raw_id: str | None = None,
-    spread: int | None = None,
 ) -> DataFrame:
     """Add one load to the raw zone and its row to the audit; returns the documents of this load.
 
     A load is a partition of its own: running it again replaces it instead of adding copies.
-    ``spread`` deals the rows out to that many tasks first, for sources that arrive in one file
-    which cannot be split.
     """
-    if spread:
-        df = df.repartition(spread)
     load_id = loaded_at.strftime("%Y%m%dT%H%M%S")
     documents = to_documents(df, table, loaded_at, raw_id).withColumn("load_id", F.lit(load_id))
     counted, seen = observed(documents, f"{table}-{load_id}")
@@ -87,14 +82,13 @@ def run(
     calendar: DataFrame | None = None,
     previous_sellers: DataFrame | None = None,
     null_mode: str = "missing",
-    spread: int | None = None,
 ) -> Lakehouse:
     """Refresh all zones under ``root`` from the source entities."""
     store = ZoneStore(spark, root)
     entity_of = {"geolocation": "geolocations"}
     done = {}
     for table, df in sources.items():
-        documents = ingest(store, table, df, loaded_at, raw_id, spread)
+        documents = ingest(store, table, df, loaded_at, raw_id)
         entity = entity_of.get(table, table)
         done[entity] = clean(store, entity, documents, null_mode=null_mode)
 

@@ -96,7 +96,6 @@ class Frames:
                 scratch_dir(self.spark, "zones"),
                 LOADED_AT,
                 raw_id="raw_id",
-                spread=self.spark.sparkContext.defaultParallelism,
             )
         return _written[key]
 

@@ -777,7 +777,8 @@ def lineage_raw(f: Frames) -> DataFrame:
 
 @query
 def lineage_counts(f: Frames) -> DataFrame:
-    return lineage.zone_lineage(f.written.orders, f.written.customers, f.written.items, f.written.sellers, f.written.star)
+    lake = f.written
+    return lineage.zone_lineage(lake.orders, lake.customers, lake.items, lake.sellers, lake.star)
 
 
 # ---- reports --------------------------------------------------------------------------------
@@ -798,7 +799,8 @@ def customer_segments(f: Frames) -> DataFrame:
 
 @query
 def customer_segments_direct(f: Frames) -> DataFrame:
-    return analytics.customer_segments_direct(f.written.customers, f.written.orders, f.written.items, SEGMENTS)
+    lake = f.written
+    return analytics.customer_segments_direct(lake.customers, lake.orders, lake.items, SEGMENTS)
 
 
 @query

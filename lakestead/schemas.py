@@ -126,18 +126,15 @@ def schema(table: str) -> StructType:
 
 
 def conform(df: DataFrame, table: str, keep: list[str] | None = None) -> DataFrame:
-    """Select the declared columns in order, cast them, and fill absent ones with NULL.
+    """The declared columns in order and with their types; absent ones are NULL.
 
     ``keep`` names further columns that pass unchanged.
     """
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema(table)
-        ],
-        *(keep or []),
-    )
+    wanted = schema(table)
+    if keep:
+        given = df.schema
+        wanted = StructType([*wanted, *[given[c] for c in keep]])
+    return df.to(wanted)
 
 
 def too_long(df: DataFrame) -> Column:

@@ -32,6 +32,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
+def spread(scan: DataFrame, tasks: int) -> DataFrame:
+    """Deal the rows of a scan out to ``tasks`` when its files cannot be split that far, such as one
+    compressed file. A scan with enough splits is left alone, so large inputs are not shuffled."""
+    return scan if scan.rdd.getNumPartitions() >= tasks else scan.repartition(tasks)
+
+
 class ZoneStore:
     """Zones as folders of Parquet tables: ``<root>/<zone>/<table>``."""
 
