@@ -16,6 +16,8 @@ from lakestead.schemas import schema
 from lakestead.sources.files import ZoneStore
 from lakestead.sources.raw import observed, to_documents
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
 
 @dataclass(frozen=True)
 class Lakehouse:
@@ -58,18 +60,19 @@ def clean(store: ZoneStore, entity: str, documents: DataFrame, **modes: str) ->
     """Processed table of an entity. Good rows and those that cannot be stored are written in one
     pass, as two partitions of the table."""
     rows = processed.PROCESS[entity](documents, **modes)
-    flagged = rows.withColumn("rejected", F.col("reject_reason").isNotNull())
-    flagged.write.mode("overwrite").partitionBy("rejected").parquet(store.path("processed", entity))
+    outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    writer = rows.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome")
+    writer.parquet(store.path("processed", entity))
     return stored(store, entity)
 
 
 def stored(store: ZoneStore, entity: str) -> DataFrame:
-    good = store.read("processed", entity).filter(~F.col("rejected"))
-    return good.drop("rejected", "reject_reason", "document")
+    good = store.read("processed", entity).filter(F.col("outcome") == ACCEPTED)
+    return good.drop("outcome", "reject_reason", "document")
 
 
 def quarantine(store: ZoneStore, entity: str) -> DataFrame:
-    bad = store.read("processed", entity).filter("rejected")
+    bad = store.read("processed", entity).filter(F.col("outcome") == REJECTED)
     return bad.select("source_raw_id", "reject_reason", "document")
 
 
