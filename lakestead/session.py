@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,17 +35,14 @@ def build_session(
     return tune(builder.getOrCreate())
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared one named by ``spark.checkpoint.dir``.
+def name_scratch(spark: SparkSession, root: str) -> None:
+    """The scratch root of sessions that have no ``spark.checkpoint.dir``, as in tests on one machine."""
+    _scratch[spark.sparkContext.applicationId] = root
+
 
-    A machine-local folder is taken only in local mode with that setting unset.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared one named by ``spark.checkpoint.dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(spark.sparkContext.applicationId)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _scratch:
-            _scratch[app] = tempfile.mkdtemp(prefix="lakestead-")
-        root = _scratch[app]
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/lakestead/{name}-{uuid.uuid4().hex}"
