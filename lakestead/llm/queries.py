@@ -2,25 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestead.llm import quality_rules
+from lakestead.llm import exact_dedup, line_dedup, mixing, quality_rules
 from lakestead.llm.common import table, tune
 
+#: The tree of the corpus: sources by their number into four domains, then language, then source.
+MIX = mixing.Mix(
+    weights=({"d0": 4, "d1": 3, "d2": 2, "d3": 1}, {"en": 4, "de": 2, "fr": 2, "es": 2}, {}),
+    percent=60,
+    max_epochs=2,
+    seed="mix-1",
+)
+DOMAIN_SQL = "'d' || (CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS BIGINT) % 4)"
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(tune(spark), sf_dir, "documents").select("doc_id", "text")
+
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the labels call good."""
     return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
 
 
+def tree() -> dict[str, Column]:
+    number = F.expr("try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') as bigint) % 4")
+    return {"domain": F.concat(F.lit("d"), number.cast("string")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.line_dedup(documents(spark, sf_dir))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_dedup(documents(spark, sf_dir))
+    return found.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tune(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.quality_rules(docs, trusted_ids(spark, sf_dir)).drop("text")
+    judged = quality_rules.quality_rules(documents(spark, sf_dir), trusted_ids(spark, sf_dir))
+    return judged.drop("text")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    taken = mixing.mix_sources(docs, tree(), MIX)
+    return taken.select("doc_id", tree()["domain"].alias("domain"), "lang", "source", "n_tokens", "epoch")
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_exact_dedup": op3_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_line_dedup": line_dedup.ORACLE_SQL,
+    "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op7_mixing": mixing.oracle_sql(MIX, DOMAIN_SQL),
+}
