@@ -168,8 +168,9 @@ def quality_rules(
 ) -> DataFrame:
     """docs with the counts and verdicts. trusted_ids: one column, the ids of the trusted documents."""
     mark = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("trusted_id")).distinct()
+    # A merge join at every size: the texts are shuffled once, and the plan does not change with the labels.
     marked = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(
-        mark, F.col("id") == F.col("trusted_id"), "left"
+        mark.hint("merge"), F.col("id") == F.col("trusted_id"), "left"
     )
     counts = written(ngram_counts(marked, "text", F.col("trusted_id").isNotNull(), rules), "ngrams")
     return judge(docs, text, likelihood_ratios(counts, rules), rules)
