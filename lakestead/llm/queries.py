@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestead.llm import exact_dedup, line_dedup, mixing, quality_rules
+from lakestead.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules
 from lakestead.llm.common import table, tune
 
 #: The tree of the corpus: sources by their number into four domains, then language, then source.
@@ -42,6 +42,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir), near=near_dedup.Near(percent=85))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(documents(spark, sf_dir), trusted_ids(spark, sf_dir))
     return judged.drop("text")
@@ -56,6 +60,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
 }
@@ -63,5 +68,6 @@ QUERIES = {
 ORACLE = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op5_near_dedup": near_dedup.ORACLE_SQL,
     "op7_mixing": mixing.oracle_sql(MIX, DOMAIN_SQL),
 }
