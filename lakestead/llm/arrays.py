@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -57,7 +58,16 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
-    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with about limit bytes of text, which bounds the arrays made of them."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        for rows in row_slices(sizes.astype(np.int64), limit):
+            yield batch.slice(rows.start, rows.stop - rows.start)
 
 
 class Words:
@@ -69,7 +79,7 @@ class Words:
 
     def __init__(self, texts: pa.Array, fold: bool):
         self.data, offsets = text_buffer(texts)
-        data = self.data[: offsets[-1]]
+        data = self.data
         inside = np.zeros(len(data) + 1, bool)
         np.logical_not(_IS_SPACE[data], out=inside[:-1])
         starts = inside[:-1].copy()

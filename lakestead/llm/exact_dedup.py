@@ -32,9 +32,14 @@ def fingerprints(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), sha.alias("sha"))
 
 
-def _places(n_segments: int) -> list[Column]:
-    """Segment and the two bits in it."""
-    h, g = F.xxhash64("sha"), F.xxhash64(F.lit(1), "sha")
+def bits_for(rows: int, max_bits: int) -> int:
+    """Segments of a filter for that many rows."""
+    return max(SEGMENT, min(max_bits, 1 << (BITS_PER_ROW * max(rows, 1) - 1).bit_length())) // SEGMENT
+
+
+def bitmap_places(column: str, n_segments: int) -> list[Column]:
+    """The segment of a value in a blocked filter, and its two bits there."""
+    h, g = F.xxhash64(column), F.xxhash64(F.lit(1), column)
     return [
         F.pmod(h, F.lit(n_segments)).cast("int").alias("segment"),
         F.pmod(g, F.lit(SEGMENT)).cast("int").alias("bit1"),
@@ -42,22 +47,22 @@ def _places(n_segments: int) -> list[Column]:
     ]
 
 
-def repeated_bits(prints: DataFrame, n_segments: int) -> DataFrame:
-    """(segment, bitmap of the bits that two or more rows set)."""
+def segment_bitmaps(placed: DataFrame, least: int) -> DataFrame:
+    """(segment, bitmap) of the bits that at least that many rows of (segment, bit1, bit2) set."""
     return (
-        prints.select(*_places(n_segments))
-        .select("segment", F.explode(F.array_distinct(F.array("bit1", "bit2"))).alias("bit"))
+        placed.select("segment", F.explode(F.array_distinct(F.array("bit1", "bit2"))).alias("bit"))
         .groupBy("segment", "bit")
         .agg(F.count("*").alias("n"))
-        .filter("n >= 2")
+        .filter(F.col("n") >= least)
         .groupBy("segment")
         .agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bitmap"))
     )
 
 
-def _is_set(bitmap: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, bit.bitwiseAND(F.lit(7))) == 1
+def in_bitmap(bit: str) -> Column:
+    """Whether a bit is set in the column bitmap."""
+    byte = F.substring("bitmap", F.shiftright(bit, 3) + 1, F.lit(1))
+    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.col(bit).bitwiseAND(F.lit(7))) == 1
 
 
 def exact_dedup(
@@ -65,16 +70,13 @@ def exact_dedup(
 ) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept and sha (binary)."""
     prints = written(fingerprints(docs, id_col, text), "fingerprints")
-    bits = max(SEGMENT, min(max_bits, 1 << (BITS_PER_ROW * max(prints.count(), 1) - 1).bit_length()))
-    bloom = written(repeated_bits(prints, bits // SEGMENT), "repeated_bits")
+    segments = bits_for(prints.count(), max_bits)
+    bloom = written(segment_bitmaps(prints.select(*bitmap_places("sha", segments)), 2), "repeated_bits")
+    maybe = F.col("bitmap").isNotNull() & in_bitmap("bit1") & in_bitmap("bit2")
     probed = (
-        prints.select("id", "sha", *_places(bits // SEGMENT))
+        prints.select("id", "sha", *bitmap_places("sha", segments))
         .join(F.broadcast(bloom), "segment", "left")
-        .withColumn(
-            "maybe",
-            F.col("bitmap").isNotNull() & _is_set(F.col("bitmap"), F.col("bit1")) & _is_set(F.col("bitmap"), F.col("bit2")),
-        )
-        .select("id", "sha", "maybe")
+        .select("id", "sha", maybe.alias("maybe"))
     )
     one = F.lit(1).cast("long")
     single = probed.filter(~F.col("maybe")).select(

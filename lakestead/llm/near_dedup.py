@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestead.llm.arrays import Words, mix, row_slices, signed, window_hashes
+from lakestead.llm.arrays import Words, mix, pieces, row_slices, signed, window_hashes
 from lakestead.llm.common import written
 
 
@@ -103,7 +103,7 @@ def features(docs: DataFrame, id_col: str, text: str, near: Near) -> DataFrame:
     """(id, n, d1, d2, keys): set size, 128-bit digest of the set, band keys; keys is empty for an empty set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             sets = shingle_sets(batch.column(1), near)
             full = [s for s in sets if len(s)]
             keys = band_keys(minima(full, near), near) if full else np.zeros((0, near.bands), np.uint64)
@@ -128,7 +128,7 @@ def _sets(docs: DataFrame, near: Near) -> DataFrame:
     """(id, sig, hi, lo) of docs(id, text): signature, and upper and lower halves of the sorted set, as bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             sets = shingle_sets(batch.column(1), near)
             rows = [i for i, s in enumerate(sets) if len(s)]
             if not rows:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestead.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules
+from lakestead.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules, substring_dedup
 from lakestead.llm.common import table, tune
 
 #: The tree of the corpus: sources by their number into four domains, then language, then source.
@@ -57,12 +57,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", tree()["domain"].alias("domain"), "lang", "source", "n_tokens", "epoch")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("kept_text")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE = {
@@ -70,4 +75,5 @@ ORACLE = {
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
     "op5_near_dedup": near_dedup.ORACLE_SQL,
     "op7_mixing": mixing.oracle_sql(MIX, DOMAIN_SQL),
+    "op9_substring_dedup": substring_dedup.ORACLE_SQL,
 }
