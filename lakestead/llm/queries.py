@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestead.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_rules, substring_dedup
+from lakestead.llm import (
+    exact_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_cnn,
+    quality_rules,
+    substring_dedup,
+)
 from lakestead.llm.common import table, tune
 
 #: The tree of the corpus: sources by their number into four domains, then language, then source.
@@ -32,6 +41,19 @@ def tree() -> dict[str, Column]:
     return {"domain": F.concat(F.lit("d"), number.cast("string")), "lang": F.col("lang"), "source": F.col("source")}
 
 
+def _fold(parts: int, out: int) -> Column:
+    """Whether a row is held out: by the CRC of its id; rows without an id are."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == out, F.lit(True))
+
+
+def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(tune(spark), sf_dir, "labels").filter(~_fold(5, 0))
+    scored = quality_cnn.classify(documents(spark, sf_dir), labels)
+    return scored.select(
+        "doc_id", _fold(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.line_dedup(documents(spark, sf_dir))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -61,13 +83,21 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("kept_text")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents")
+    found = language_id.identify(docs, docs.filter(~_fold(4, 2)).select("doc_id", "text", "lang"))
+    return found.select("doc_id", _fold(4, 2).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES = {
+    "op1_quality_cnn": op1_quality_cnn,
     "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
