@@ -11,11 +11,14 @@ from lakestead.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    packing,
     quality_cnn,
     quality_rules,
     substring_dedup,
+    warc,
 )
 from lakestead.llm.common import table, tune
+from lakestead.session import scratch_dir
 
 #: The tree of the corpus: sources by their number into four domains, then language, then source.
 MIX = mixing.Mix(
@@ -64,6 +67,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(documents(spark, sf_dir))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(documents(spark, sf_dir), near=near_dedup.Near(percent=85))
 
@@ -79,6 +86,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", tree()["domain"].alias("domain"), "lang", "source", "n_tokens", "epoch")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "llm/archives")
+    warc.write_archives(table(tune(spark), sf_dir, "pages"), path)
+    return warc.read_records(spark, path)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("kept_text")
 
@@ -93,9 +106,11 @@ QUERIES = {
     "op1_quality_cnn": op1_quality_cnn,
     "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_packing": op4_packing,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
+    "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
@@ -105,5 +120,6 @@ ORACLE = {
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
     "op5_near_dedup": near_dedup.ORACLE_SQL,
     "op7_mixing": mixing.oracle_sql(MIX, DOMAIN_SQL),
+    "op8_warc": warc.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
 }
