@@ -73,3 +73,16 @@ def private(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def carry(docs: DataFrame, *needed: str) -> DataFrame:
+    """docs as its needed columns and one struct `carried` of all others, which no operator's columns clash with."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*needed, F.struct(F.lit(0).alias("none"), *rest).alias("carried"))
+
+
+def unpack(carried: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The named columns again, from the needed ones and `carried`."""
+    inner = carried.schema["carried"].dataType.names
+    own = lambda c: F.col("carried").getField(c) if c in inner else F.col(c)
+    return carried.select(*[changed.get(c, own(c)).alias(c) for c in columns])

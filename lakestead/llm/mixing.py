@@ -136,8 +136,8 @@ def mix_sources(
 
     levels: name -> value of a document at that level of the tree, from the root down.
     """
-    nodes, tokens, row_id, whole, cut, epoch = private(docs, "node", "n", "id", "whole", "cut", "epoch_no")
-    names = [f"{nodes}{i}" for i in range(len(levels))]
+    tokens, whole, cut, epoch = private(docs, "n", "whole", "cut", "epoch_no")
+    names = private(docs, *[f"node{i}" for i in range(len(levels))])
     sized = docs
     for name, value in zip(names, levels.values(), strict=True):
         value = value.cast("string")
