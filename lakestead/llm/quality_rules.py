@@ -31,9 +31,10 @@ SYMBOLS = r"[#*$%&|<>]+"
 class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50
-    buckets: int = 1 << 16
+    #: Few enough that a bucket's counts do not hang on single documents.
+    buckets: int = 1 << 13
     #: Least mean log-likelihood ratio of a kept document, in millionths of a nat.
-    min_score: int = -50_000
+    min_score: int = -60_000
 
 
 def _bucket(*parts: Column, buckets: int) -> Column:
