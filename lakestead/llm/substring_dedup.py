@@ -8,11 +8,12 @@ words to their last. Edges that occur twice are what is removed, at every place.
    of n words has about 2n / (width - seed + 2) paths instead of n edges. Only minimizers that occur
    twice matter. A Bloom filter of them (16 bits each, ``max_bits`` at most: the bound of what is
    broadcast) lets the other paths go without a shuffle; false positives are harmless.
-2. Equal paths (128-bit digest over all edges and their distance from the minimizer) are compacted into
-   one row with the number of places. A path that stands at two places is repeated as a whole.
+2. Equal paths (128 bits: the minimizer, and a digest over all edges and their distance from it) are compacted
+   into one row with the number of places. A path that stands at two places is repeated as a whole.
 3. Where a minimizer has several different paths the graph branches: those paths are taken apart into
-   their edges, which are counted over all paths of the minimizer. A join brings the repeated ones
-   back to their path, and a second join brings the repeated runs of each path to its source coordinates.
+   their edges, which are counted over all paths of the minimizer (another Bloom filter picks them). A join
+   brings the repeated ones back to their path, and a second join brings the repeated runs of each path to
+   its source coordinates, where the words are covered.
 4. The runs of a document, joined to it, cover the words to remove; runs that touch grow together.
 
 Counting pre-aggregates. Joins on minimizers, edges and paths, which may be hot, have written tables or
@@ -38,9 +39,12 @@ from lakestead.llm.arrays import Words, mix, pieces, signed, window_hashes
 from lakestead.llm.common import written
 from lakestead.llm.exact_dedup import bitmap_places, bits_for, in_bitmap, segment_bitmaps
 
+_U = np.uint64
+
 
 @dataclass(frozen=True)
 class Repeats:
+    #: At most 255 + seed words.
     width: int = 35
     seed: int = 8
     max_bits: int = 1 << 30
@@ -78,88 +82,96 @@ def _cut(texts: pa.Array, rules: Repeats) -> tuple[np.ndarray, ...]:
     return row[starts], seeds[place[starts]], at[starts], place[starts] - valid[starts], starts, edges[valid]
 
 
-def path_table(docs: DataFrame, rules: Repeats, with_edges: bool) -> DataFrame:
-    """One row per path of docs(id, fp, text): (seed), or all of its columns."""
+#: Columns of a path; `edges` are the hashes of its edges in order.
+PATH = {
+    "id": "long",
+    "fp": "long",
+    "seed": "long",
+    "at": "int",
+    "ahead": "int",
+    "size": "int",
+    "digest": "long",
+    "edges": "array<long>",
+}
+
+
+def path_table(docs: DataFrame, rules: Repeats, *columns: str) -> DataFrame:
+    """One row per path of docs(id, fp, text), with the named columns of PATH."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             row, seed, at, ahead, starts, edges = _cut(batch.column("text"), rules)
-            seeds = pa.array(signed(seed), pa.int64())
-            if not with_edges:
-                yield pa.RecordBatch.from_arrays([seeds], names=["seed"])
-                continue
-            ends = np.append(starts[1:], len(edges)).astype(np.int32)
-            digests = []
-            if len(starts):
-                distance = np.repeat(ahead, ends - starts) - (np.arange(len(edges)) - np.repeat(starts, ends - starts))
-                for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-                    placed = mix(edges + (distance.astype(np.uint64) + np.uint64(1)) * np.uint64(salt))
-                    digests.append(pa.array(signed(np.add.reduceat(placed, starts)), pa.int64()))
-            else:
-                digests = [pa.array([], pa.int64())] * 2
-            offsets = pa.array(np.append(starts, len(edges)).astype(np.int32))
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(take),
-                    batch.column("fp").take(take),
-                    seeds,
-                    pa.array(at, pa.int64()),
-                    pa.array(ahead.astype(np.int32)),
-                    *digests,
-                    pa.ListArray.from_arrays(offsets, pa.array(signed(edges), pa.int64())),
-                ],
-                names=["id", "fp", "seed", "at", "ahead", "d1", "d2", "edges"],
-            )
-
-    schema = "id long, fp long, seed long, at long, ahead int, d1 long, d2 long, edges array<long>"
-    return docs.mapInArrow(work, schema if with_edges else "seed long")
-
-
-def repeated_runs(docs: DataFrame, rules: Repeats) -> DataFrame:
-    """(id, fp, begin, end): word ranges to remove, for docs(id, fp, text); ranges may overlap."""
-    path = ["seed", "d1", "d2"]
-    seeds = path_table(docs, rules, with_edges=False).groupBy("seed").agg(F.count("*").alias("n"))
-    seeds = written(seeds.filter("n > 1").select("seed"), "repeated_seeds")
+            sizes = np.diff(np.append(starts, len(edges)))
+            make = {
+                "id": lambda: batch.column("id").take(pa.array(row)),
+                "fp": lambda: batch.column("fp").take(pa.array(row)),
+                "seed": lambda: pa.array(signed(seed), pa.int64()),
+                "at": lambda: pa.array(at.astype(np.int32)),
+                "ahead": lambda: pa.array(ahead.astype(np.int32)),
+                "size": lambda: pa.array(sizes.astype(np.int32)),
+                "digest": lambda: pa.array(signed(digests(edges, starts, sizes, ahead)), pa.int64()),
+                "edges": lambda: pa.ListArray.from_arrays(
+                    pa.array(np.append(starts, len(edges)).astype(np.int32)), pa.array(signed(edges), pa.int64())
+                ),
+            }
+            yield pa.RecordBatch.from_arrays([make[c]() for c in columns], names=list(columns))
+
+    return docs.mapInArrow(work, ", ".join(f"{c} {PATH[c]}" for c in columns))
+
+
+def digests(edges: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """One number for all edges of each path with their distances from the minimizer."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    distance = np.repeat(ahead + starts, sizes) - np.arange(len(edges))
+    return np.add.reduceat(mix(edges + (distance.astype(np.uint64) + _U(1)) * _U(0x9E3779B97F4A7C15)), starts)
+
+
+def _filtered(paths: DataFrame, seeds: DataFrame, rules: Repeats, name: str) -> DataFrame:
+    """The paths whose minimizer may be among seeds, by a Bloom filter of bounded size."""
+    seeds = written(seeds, name)
     segments = bits_for(seeds.count(), rules.max_bits)
-    bloom = written(segment_bitmaps(seeds.select(*bitmap_places("seed", segments)), 1), "seed_filter")
-    places = (
-        path_table(docs, rules, with_edges=True)
-        .select("*", *bitmap_places("seed", segments))
+    bloom = written(segment_bitmaps(seeds.select(*bitmap_places("seed", segments)), 1), f"{name}_filter")
+    return (
+        paths.select("*", *bitmap_places("seed", segments))
         .join(F.broadcast(bloom), "segment")
         .filter(in_bitmap("bit1") & in_bitmap("bit2"))
-        .drop("segment", "bit1", "bit2", "bitmap")
+        .select(*paths.columns)
     )
+
+
+def repeated_runs(docs: DataFrame, rules: Repeats) -> DataFrame:
+    """(id, fp, runs) for docs(id, fp, text): first << 8 | number of repeated edges, in no order."""
+    path = ["seed", "digest"]
+    seeds = path_table(docs, rules, "seed").groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    places = _filtered(path_table(docs, rules, "id", "fp", "seed", "at", "size", "digest"), seeds, rules, "repeated")
     places = written(places, "places")
     # Compaction: one row per different path, with the number of its places.
-    classes = written(
-        places.groupBy(*path).agg(
-            F.count("*").alias("places"), F.first("ahead").alias("ahead"), F.first("edges").alias("edges")
-        ),
-        "path_classes",
-    )
+    classes = places.groupBy(*path).agg(F.count("*").alias("places"), F.first("size").alias("size"))
+    classes = written(classes, "path_classes")
+    # Branches: different paths of one minimizer, edge by edge. A path that the filter lets through without
+    # need has one place and no other path to share edges with, or is repeated as a whole.
     branching = classes.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    branching = written(branching, "branching_seeds")
-    split = classes.join(branching, "seed").select(
-        *path, "places", "ahead", F.posexplode("edges").alias("i", "edge")
+    split = (
+        _filtered(path_table(docs, rules, "seed", "ahead", "digest", "edges"), branching, rules, "branching")
+        .groupBy(*path)
+        .agg(F.count("*").alias("places"), F.first("ahead").alias("ahead"), F.first("edges").alias("edges"))
+        .select(*path, "places", "ahead", F.posexplode("edges").alias("i", "edge"))
+        .select(*path, "places", "i", (F.col("ahead") - F.col("i")).alias("distance"), "edge")
     )
-    split = split.withColumn("distance", F.col("ahead") - F.col("i"))
+    split = written(split, "edges")
     edge = ["seed", "distance", "edge"]
     repeated = split.groupBy(*edge).agg(F.sum("places").alias("places")).filter("places > 1").select(*edge)
-    runs = (
-        split.join(written(repeated, "repeated_edges"), edge, "left_semi")
-        .groupBy(*path)
-        .agg(F.collect_set("i").alias("hits"))
+    parts = split.filter("places = 1").join(written(repeated, "repeated_edges"), edge, "left_semi")
+    runs = classes.filter("places > 1").select(*path, F.lit(0).alias("first"), "size").unionByName(
+        parts.select(*path, F.col("i").alias("first"), F.lit(1).alias("size"))
     )
-    whole = classes.filter("places > 1").select(*path, F.sequence(F.lit(0), F.size("edges") - 1).alias("hits"))
-    # A path in both tables has all its edges in each of them, or is in one only.
-    hits = written(whole.unionByName(runs.join(whole.select(*path), path, "left_anti")), "hits")
+    run = F.shiftleft((F.col("at") + F.col("first")).cast("long"), 8) + F.col("n")
     return (
         places.select("id", "fp", "at", *path)
-        .join(hits, path)
-        .select("id", "fp", F.explode("hits").alias("i"), "at")
+        .join(written(runs.withColumnRenamed("size", "n"), "runs"), path)
         .groupBy("id", "fp")
-        .agg(F.collect_set(F.col("at") + F.col("i")).alias("starts"))
+        .agg(F.collect_set(run).alias("runs"))
     )
 
 
@@ -169,7 +181,7 @@ def substring_dedup(
     """One row per row of docs: id, the kept words joined by blanks, n_words, n_removed, sha of what is kept."""
     body = F.coalesce(F.col(text), F.lit(""))
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(body).alias("fp"), body.alias("text"))
-    runs = repeated_runs(slim, rules).select(F.col("id").alias("r_id"), F.col("fp").alias("r_fp"), "starts")
+    runs = repeated_runs(slim, rules).select(F.col("id").alias("r_id"), F.col("fp").alias("r_fp"), "runs")
     width = rules.width
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,12 +189,12 @@ def substring_dedup(
             out: dict[str, list] = {"text": [], "n_words": [], "n_removed": [], "sha": []}
             for i, value in enumerate(batch.column("text")):
                 words = value.as_py().encode().split()
-                n, starts = len(words), batch.column("starts")[i]
-                if starts.is_valid:
+                n, found = len(words), batch.column("runs")[i]
+                if found.is_valid:
                     cover = np.zeros(n + 1, np.int64)
-                    begin = np.asarray(starts.values)
-                    np.add.at(cover, begin, 1)
-                    np.add.at(cover, begin + width, -1)
+                    run = np.asarray(found.values)
+                    np.add.at(cover, run >> 8, 1)
+                    np.add.at(cover, (run >> 8) + (run & 255) + width - 1, -1)
                     stay = np.flatnonzero(np.cumsum(cover[:n]) == 0)
                     words = [words[k] for k in stay.tolist()]
                 kept = b" ".join(words)
@@ -202,7 +214,7 @@ def substring_dedup(
             )
 
     joined = slim.join(runs.hint("merge"), F.col("id").eqNullSafe(F.col("r_id")) & (F.col("fp") == F.col("r_fp")), "left")
-    done = joined.select("id", "text", "starts").mapInArrow(
+    done = joined.select("id", "text", "runs").mapInArrow(
         work, "id long, text string, n_words long, n_removed long, kept_sha256 string"
     )
     return done.select(F.col("id").alias(id_col), F.col("text").alias("kept_text"), "n_words", "n_removed", "kept_sha256")
