@@ -4,28 +4,26 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakestead.functions.scalars import moment
 
 
-def best_per_key(df: DataFrame, key: list[str], better: Column, tie: str) -> DataFrame:
-    """Keep the row with the highest ``better`` per key, the lowest ``tie`` among equals.
+def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+    """The first row per key. Spark keeps one row per key and task before it shuffles, so copies of a hot key
+    never meet in one task as a full group."""
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
-    ``max_by`` aggregates before the shuffle, so copies of a hot key never meet in one task as a
-    full group.
-    """
-    rest = [c for c in df.columns if c not in key]
-    rank = F.struct(better, -F.col(tie))
-    best = df.groupBy(*key).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    return best.select(*key, *[f"_row.{c}" for c in rest]).select(*df.columns)
+
+def best_per_key(df: DataFrame, key: list[str], better: Column, tie: str) -> DataFrame:
+    """Keep the row with the highest ``better`` per key, the lowest ``tie`` among equals."""
+    return first_per_key(df, key, [better.desc_nulls_last(), F.asc_nulls_last(tie)])
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: list[str], first: str) -> DataFrame:
     """Add the new rows whose key is not there yet; the lowest ``first`` wins among new ones."""
-    rest = [c for c in new.columns if c not in key]
-    unique = new.groupBy(*key).agg(F.min_by(F.struct(*rest), first).alias("_row"))
-    rows = unique.select(*key, *[f"_row.{c}" for c in rest])
+    rows = first_per_key(new, key, [F.asc_nulls_last(first)])
     fresh = rows.join(existing.select(*key), key, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 

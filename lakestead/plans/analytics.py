@@ -57,7 +57,7 @@ def sales_by_region_time(
     ).join(places, "dim_location_id", "left")
     grouped = facts.groupBy("region", "year", "month").agg(
         _distinct("order_id", approx).alias("order_count"),
-        F.sum(VALUE).cast("decimal(15,2)").alias("total_sales"),
+        F.sum(VALUE).cast("decimal(38,2)").alias("total_sales"),
         mean(F.col(VALUE), "decimal(12,2)").alias("avg_order_value"),
         _distinct("dim_customer_id", approx).alias("unique_customers"),
         F.count_if("is_on_time").alias("on_time_deliveries"),
@@ -76,7 +76,7 @@ def sales_by_region_time(
 def _regions(star: Star) -> DataFrame:
     return _with_region(star).groupBy("region").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum(VALUE).cast("decimal(15,2)").alias("total_sales"),
+        F.sum(VALUE).cast("decimal(38,2)").alias("total_sales"),
         mean(F.col(VALUE), "decimal(12,2)").alias("avg_order_value"),
         F.count_distinct("dim_customer_id").alias("unique_customers"),
         F.count_if("is_on_time").alias("on_time"),
@@ -94,7 +94,7 @@ def dashboard_regional(star: Star) -> DataFrame:
             "avg_order_value",
             "unique_customers",
             percent(F.col("on_time"), orders, "decimal(12,1)").alias("on_time_pct"),
-            ratio(F.col("total_sales"), orders, "decimal(15,2)").alias("revenue_per_order"),
+            ratio(F.col("total_sales"), orders, "decimal(38,2)").alias("revenue_per_order"),
             ratio(orders, customers, "decimal(12,2)").alias("orders_per_customer"),
         )
         .orderBy(F.desc_nulls_first("total_sales"), F.asc_nulls_last("region"))
@@ -105,11 +105,11 @@ def dashboard_regional_totals(regional: DataFrame) -> DataFrame:
     """Totals over the regional rows: customers of several regions count once in each."""
     totals = regional.agg(
         F.sum("total_orders").alias("total_orders"),
-        F.sum("total_sales").cast("decimal(15,2)").alias("total_sales"),
+        F.sum("total_sales").cast("decimal(38,2)").alias("total_sales"),
         F.sum("unique_customers").alias("total_unique_customers"),
     )
     return totals.withColumn(
-        "avg_order_value", ratio(F.col("total_sales"), F.col("total_orders"), "decimal(15,2)")
+        "avg_order_value", ratio(F.col("total_sales"), F.col("total_orders"), "decimal(38,2)")
     )
 
 
@@ -130,7 +130,7 @@ def chart_top_regions(regions: DataFrame, rows: int = CHART_TOP) -> DataFrame:
         return best.select(
             F.lit(metric).alias("metric"),
             "region",
-            F.col(metric).cast("decimal(15,2)").alias("value"),
+            F.col(metric).cast("decimal(38,2)").alias("value"),
         )
 
     return top("total_sales").unionByName(top("total_orders"))
@@ -188,7 +188,7 @@ def _products(star: Star) -> DataFrame:
         .agg(
             F.count("order_id").alias("orders"),
             F.sum("quantity").alias("total_quantity"),
-            F.sum(VALUE).cast("decimal(15,2)").alias("total_revenue"),
+            F.sum(VALUE).cast("decimal(38,2)").alias("total_revenue"),
             mean(F.col(VALUE), "decimal(12,2)").alias("avg_order_value"),
             F.count_distinct("dim_customer_id").alias("unique_customers"),
         )
@@ -258,7 +258,7 @@ def chart_product_pie(top: DataFrame, slices: int = PIE_TOP) -> DataFrame:
     return (
         _ranked(top)
         .groupBy(label.alias("slice"))
-        .agg(F.sum("total_revenue").cast("decimal(15,2)").alias("revenue"))
+        .agg(F.sum("total_revenue").cast("decimal(38,2)").alias("revenue"))
         .withColumn(
             "pct", percent(F.col("revenue"), F.sum("revenue").over(Window.partitionBy()), "decimal(12,1)")
         )
@@ -315,7 +315,7 @@ def customer_segments(star: Star, bounds: Bounds = SEGMENT_BOUNDS) -> DataFrame:
         .agg(
             F.count("*").alias("segment_size"),
             mean(ltv, "decimal(12,2)").alias("avg_lifetime_value"),
-            F.sum(ltv).cast("decimal(15,2)").alias("segment_total_value"),
+            F.sum(ltv).cast("decimal(38,2)").alias("segment_total_value"),
             mean(F.col("order_frequency"), "decimal(18,6)").alias("avg_orders_per_customer"),
             mean(F.col("avg_order_value"), "decimal(18,6)").alias("segment_avg_order_value"),
         )
@@ -349,7 +349,7 @@ def customer_segments_direct(
         .agg(
             F.count("*").alias("segment_size"),
             mean(ltv, "decimal(12,2)").alias("avg_lifetime_value"),
-            F.sum(ltv).cast("decimal(15,2)").alias("segment_total_value"),
+            F.sum(ltv).cast("decimal(38,2)").alias("segment_total_value"),
         )
         .orderBy(F.desc_nulls_first("avg_lifetime_value"))
     )

@@ -37,7 +37,7 @@ def orders_refined(processed: DataFrame, dedupe: bool = True) -> DataFrame:
 
 def order_items_refined(processed: DataFrame) -> DataFrame:
     """All items with an order id, blank ones included."""
-    zero = F.lit(0).cast("decimal(10,2)")
+    zero = F.lit(0).cast("decimal(12,2)")
     total = F.coalesce("price", zero) + F.coalesce("freight_value", zero)
     return conform(
         fits(processed.filter("order_id is not null")).select(
@@ -66,10 +66,10 @@ def _best_valid(processed: DataFrame, key: str, table: str) -> DataFrame:
     return conform(best, table)
 
 
-def oversized(processed: DataFrame) -> DataFrame:
-    """Valid rows kept out of the curated zone because a text exceeds its declared width."""
+def oversized(processed: DataFrame, wanted: str = "is_valid") -> DataFrame:
+    """Wanted rows kept out of the curated zone because a text exceeds its declared width."""
     return (
-        processed.filter("is_valid")
+        processed.filter(wanted)
         .select("source_raw_id", too_long(processed).alias("reject_reason"))
         .filter("reject_reason is not null")
     )

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestead.plans import curated, processed, warehouse
-from lakestead.schemas import schema
-from lakestead.sources.files import ZoneStore
-from lakestead.sources.raw import observed, to_documents
+from lakestead.schemas import TABLES, schema
+from lakestead.sources.files import CORRUPT, ZoneStore, csv_tables, scan_csv, text_schema
+from lakestead.sources.raw import observed, to_documents, without_redelivered
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -36,14 +37,21 @@ def ingest(
     loaded_at: dt.datetime,
     raw_id: str | None = None,
 ) -> DataFrame:
-    """Add one load to the raw zone and its row to the audit; returns the documents of this load.
+    """Add one load to the raw zone and its row to the audit; returns the documents of all loads.
 
-    A load is a partition of its own: running it again replaces it instead of adding copies.
+    A load is a partition of its own: running it again replaces it instead of adding copies. A document
+    that an earlier load brought stays in the raw table but is not returned again. Ids that are
+    not given go on after the highest of the other loads.
     """
     load_id = loaded_at.strftime("%Y%m%dT%H%M%S")
+    name = f"{table}_raw"
     documents = to_documents(df, table, loaded_at, raw_id).withColumn("load_id", F.lit(load_id))
+    others = store.read_if_there("raw", name)
+    others = None if others is None else others.filter(F.col("load_id") != load_id)
+    if others is not None and raw_id is None:
+        last = others.agg(F.max("raw_id")).first()[0]
+        documents = documents.withColumn("raw_id", F.col("raw_id") + F.lit((last if last is not None else -1) + 1))
     counted, seen = observed(documents, f"{table}-{load_id}")
-    name = f"{table}_raw"
     writer = counted.write.mode("overwrite").partitionBy("load_id")
     writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", name))
     n = seen.get["n"]
@@ -53,7 +61,19 @@ def ingest(
     )
     writer = audit.write.mode("overwrite").partitionBy("load_id", "table_name")
     writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", "data_metadata"))
-    return store.read("raw", name).filter(F.col("load_id") == load_id)
+    loads = store.read("raw", name)
+    # A first load has nothing to be compared with.
+    return loads if others is None or others.isEmpty() else without_redelivered(loads)
+
+
+def reject(store: ZoneStore, zone: str, entity: str, bad: DataFrame) -> None:
+    """Replace the quarantined rows of an entity in a zone: id in the raw table, reason, document."""
+    rows = bad.select(
+        F.col("source_raw_id").cast("bigint").alias("source_raw_id"),
+        "reject_reason",
+        F.col("document").cast("string").alias("document"),
+    )
+    rows.write.mode("overwrite").parquet(f"{store.path('quarantine', 'rows')}/zone={zone}/entity={entity}")
 
 
 def clean(store: ZoneStore, entity: str, documents: DataFrame, **modes: str) -> DataFrame:
@@ -63,9 +83,27 @@ def clean(store: ZoneStore, entity: str, documents: DataFrame, **modes: str) ->
     outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
     writer = rows.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome")
     writer.parquet(store.path("processed", entity))
+    reject(store, "processed", entity, quarantine(store, entity))
     return stored(store, entity)
 
 
+CURATED = {
+    "orders": ("orders_refined", curated.orders_refined, "is_valid"),
+    "order_items": ("order_items_refined", curated.order_items_refined, "order_id is not null"),
+    "customers": ("customers_refined", curated.customers_refined, "is_valid"),
+    "sellers": ("sellers_refined", curated.sellers_refined, "is_valid"),
+}
+
+
+def curate(store: ZoneStore, entity: str, accepted: DataFrame, documents: DataFrame) -> DataFrame:
+    """Curated table of an entity; rows with a text over its declared width go to quarantine."""
+    table, refine, wanted = CURATED[entity]
+    wide = curated.oversized(accepted, wanted)
+    data = documents.select(F.col("raw_id").alias("source_raw_id"), F.col("data").alias("document"))
+    reject(store, "curated", entity, wide.join(data, "source_raw_id", "left"))
+    return store.overwrite("curated", table, refine(accepted))
+
+
 def stored(store: ZoneStore, entity: str) -> DataFrame:
     good = store.read("processed", entity).filter(F.col("outcome") == ACCEPTED)
     return good.drop("outcome", "reject_reason", "document")
@@ -89,26 +127,70 @@ def run(
     """Refresh all zones under ``root`` from the source entities."""
     store = ZoneStore(spark, root)
     entity_of = {"geolocation": "geolocations"}
-    done = {}
+    done, documents = {}, {}
     for table, df in sources.items():
-        documents = ingest(store, table, df, loaded_at, raw_id)
         entity = entity_of.get(table, table)
-        done[entity] = clean(store, entity, documents, null_mode=null_mode)
-
-    orders = store.overwrite("curated", "orders_refined", curated.orders_refined(done["orders"]))
-    items = store.overwrite(
-        "curated", "order_items_refined", curated.order_items_refined(done["order_items"])
+        documents[entity] = ingest(store, table, df, loaded_at, raw_id if raw_id in df.columns else None)
+        if entity in processed.PROCESS:
+            done[entity] = clean(store, entity, documents[entity], null_mode=null_mode)
+    constraints(store, done)
+    orders, items, customers, sellers = (
+        curate(store, e, done[e], documents[e]) for e in ("orders", "order_items", "customers", "sellers")
     )
-    customers = store.overwrite(
-        "curated", "customers_refined", curated.customers_refined(done["customers"])
-    )
-    sellers = store.overwrite("curated", "sellers_refined", curated.sellers_refined(done["sellers"]))
     star = load_star(
         store, orders, items, customers, sellers, loaded_at.date(), calendar, previous_sellers
     )
     return Lakehouse(store, star, orders, items, customers, sellers)
 
 
+def run_folder(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    loaded_at: dt.datetime,
+    multi_line: tuple[str, ...] = (),
+) -> Lakehouse:
+    """Refresh from a folder of CSV files: every one of them becomes a raw table.
+
+    Lines that do not fit a declared table go to quarantine. Tables that are not declared are taken as
+    text. ``multi_line`` names the tables with line breaks inside values.
+    """
+    store, sources = ZoneStore(spark, root), {}
+    for table, path in csv_tables(spark, folder).items():
+        declared = f"source.{table}" in TABLES
+        table_schema = schema(f"source.{table}") if declared else text_schema(spark, path)
+        # Parsed once, with all columns: Spark calls a line corrupt only by the columns that a query reads.
+        scan = scan_csv(spark, path, table_schema, table in multi_line, corrupt=True)
+        lines = store.overwrite("staging", f"source_{table}", scan)
+        bad = lines.filter(F.col(CORRUPT).isNotNull()).select(
+            F.lit(None).cast("bigint").alias("source_raw_id"),
+            F.lit("unreadable line").alias("reject_reason"),
+            F.col(CORRUPT).alias("document"),
+        )
+        reject(store, "source", table, bad)
+        sources[table] = lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return run(spark, sources, root, loaded_at)
+
+
+#: Keys that the constraint stage checks: entity -> its key.
+KEYS = {"customers": "customer_id", "products": "product_id", "orders": "order_id", "sellers": "seller_id"}
+
+
+def constraints(store: ZoneStore, done: dict[str, DataFrame]) -> DataFrame:
+    """Per key: rows without it, and values held by more than one row. Spark enforces neither."""
+
+    def check(entity: str, key: str) -> DataFrame:
+        value = F.nullif(F.col(key), F.lit(""))
+        per_value = done[entity].groupBy(value.alias("v")).agg(F.count("*").alias("n"))
+        return per_value.agg(
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+            F.count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("repeated_values"),
+        ).select(F.lit(entity).alias("table_name"), F.lit(key).alias("column_name"), "missing", "repeated_values")
+
+    report = reduce(DataFrame.unionByName, [check(e, k) for e, k in KEYS.items() if e in done])
+    return store.overwrite("checks", "constraints", report)
+
+
 def load_star(
     store: ZoneStore,
     orders: DataFrame,

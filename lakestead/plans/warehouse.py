@@ -320,7 +320,7 @@ def warehouse_summary(fact: DataFrame) -> DataFrame:
         F.count_distinct("dim_product_id").alias("unique_products"),
         F.count_distinct("dim_location_id").alias("unique_locations"),
         F.count_distinct("order_date").alias("unique_order_dates"),
-        F.sum(value).cast("decimal(15,2)").alias("total_revenue"),
+        F.sum(value).cast("decimal(38,2)").alias("total_revenue"),
         mean(value, "decimal(12,2)").alias("avg_order_value"),
         F.count("*").alias("total_orders"),
     )

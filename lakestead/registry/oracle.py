@@ -64,7 +64,7 @@ PLACES = "join nation on {k} = n_nationkey join region on n_regionkey = r_region
 
 VIEWS["src_customers"] = f"""
 select c_custkey as raw_id,
- case when c_custkey % 19 = 0 then '' else 'C' || lpad(c_custkey::varchar, 8, '0') end as customer_id,
+ case when c_custkey % 19 = 0 then '' else 'C' || repeat('0', 8 - length(c_custkey::varchar)) || c_custkey::varchar end as customer_id,
  case when c_custkey % 23 = 0 then '' else c_name end as customer_unique_id,
  case when c_custkey % 13 = 0 then '123' else lpad((c_custkey % 100000)::varchar, 5, '0') end as customer_zip_code_prefix,
  case when c_custkey % 11 = 0 then '' when c_custkey % 7 = 0 then '  ' || n_name || ' ' else n_name end as customer_city,
@@ -72,15 +72,15 @@ select c_custkey as raw_id,
 from customer {PLACES.format(k="c_nationkey")}"""
 
 VIEWS["src_sellers"] = f"""
-select s_suppkey as raw_id, 'S' || lpad(s_suppkey::varchar, 8, '0') as seller_id,
+select s_suppkey as raw_id, 'S' || repeat('0', 8 - length(s_suppkey::varchar)) || s_suppkey::varchar as seller_id,
  case when s_suppkey % 13 = 0 then '123' else lpad((s_suppkey % 100000)::varchar, 5, '0') end as seller_zip_code_prefix,
  case when s_suppkey % 11 = 0 then '' else n_name end as seller_city,
  case when s_suppkey % 11 = 0 or s_suppkey % 17 = 0 then '' else lower(substr(r_name, 1, 2)) end as seller_state
 from supplier {PLACES.format(k="s_nationkey")}"""
 
 VIEWS["src_orders"] = """
-select o_orderkey as raw_id, 'O' || lpad(o_orderkey::varchar, 9, '0') as order_id,
- case when o_orderkey % 29 = 0 then '' else 'C' || lpad(o_custkey::varchar, 8, '0') end as customer_id,
+select o_orderkey as raw_id, 'O' || repeat('0', 9 - length(o_orderkey::varchar)) || o_orderkey::varchar as order_id,
+ case when o_orderkey % 29 = 0 then '' else 'C' || repeat('0', 8 - length(o_custkey::varchar)) || o_custkey::varchar end as customer_id,
  case when o_orderkey % 31 = 0 then 'Invoiced' when o_orderstatus = 'F' then 'Delivered'
       when o_orderstatus = 'O' then 'shipped' else 'pending' end as order_status,
  case when o_orderkey % 37 <> 0 then o_orderdate end as order_purchase_timestamp,
@@ -90,14 +90,14 @@ from orders left join (select l_orderkey, max(l_shipdate) as last_ship from line
   on s.l_orderkey = o_orderkey"""
 
 VIEWS["src_items"] = """
-select l_orderkey * 8 + l_linenumber as raw_id, 'O' || lpad(l_orderkey::varchar, 9, '0') as order_id,
- 'P' || lpad(l_partkey::varchar, 8, '0') as product_id, 'S' || lpad(l_suppkey::varchar, 8, '0') as seller_id,
+select l_orderkey * 8 + l_linenumber as raw_id, 'O' || repeat('0', 9 - length(l_orderkey::varchar)) || l_orderkey::varchar as order_id,
+ 'P' || repeat('0', 8 - length(l_partkey::varchar)) || l_partkey::varchar as product_id, 'S' || repeat('0', 8 - length(l_suppkey::varchar)) || l_suppkey::varchar as seller_id,
  l_shipdate as shipping_limit_date, l_extendedprice::decimal(12,2) as price,
  cast(l_extendedprice::decimal(12,2) * l_tax::decimal(4,2) as decimal(12,2)) as freight_value
 from lineitem"""
 
 VIEWS["src_products"] = """
-select p_partkey as raw_id, 'P' || lpad(p_partkey::varchar, 8, '0') as product_id,
+select p_partkey as raw_id, 'P' || repeat('0', 8 - length(p_partkey::varchar)) || p_partkey::varchar as product_id,
  case when p_partkey % 9 = 0 then '' else lower(p_type) end as product_category_name,
  length(p_name) as name_length, length(p_name) + length(p_brand) as description_length, p_size % 5 as photos
 from part"""
@@ -237,7 +237,7 @@ select order_id, customer_id, order_status, order_purchase_timestamp, order_appr
 from prc_orders where is_valid"""
 VIEWS["cur_items"] = """
 select source_raw_id as order_item_id, order_id, product_id, seller_id, price, freight_value,
- cast(coalesce(price, 0) + coalesce(freight_value, 0) as decimal(10,2)) as total_item_value,
+ cast(coalesce(price, 0) + coalesce(freight_value, 0) as decimal(12,2)) as total_item_value,
  shipping_limit_date, data_quality_score
 from prc_order_items where order_id is not null"""
 VIEWS["cur_customers"] = """
@@ -340,6 +340,14 @@ COLUMNS = {
     " l_shipdate timestamp_ntz",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 ORACLE["table_columns"] = " union all ".join(
@@ -449,7 +457,7 @@ select min(z) as min_zip, max(z) as max_zip, {quotient("sum(z)", "count(z)", 6)}
 from (select try_cast({text('zip_code')} as int) as z from docs) v""")
 ORACLE["json_order_numeric"] = sql(f"""
 select raw_id, try_cast({text('zip_code')} as int) as zip_code from docs
-order by zip_code desc nulls first, raw_id limit 100""")
+order by zip_code desc nulls first, raw_id limit 10""")
 ORACLE["json_order_text"] = sql(f"""
 select raw_id, {text('customer_id')} as customer_id, {text('city')} as city from docs
 order by {text('state')} nulls last, {text('city')} nulls last, raw_id limit 20""")
@@ -500,7 +508,13 @@ where reject_reason is not null group by reject_reason""")
 ORACLE["check_not_null"] = sql(
     " union all ".join(
         f"select '{c}' as column_name, count(*) filter (where {c} is null) as violations from src_orders"
-        for c in ("order_id", "order_purchase_timestamp", "order_delivered_customer_date")
+        for c in (
+            "order_id", "customer_id", "order_status", "order_purchase_timestamp",
+            "order_delivered_customer_date", "order_estimated_delivery_date",
+        )
+    )
+    + " union all ".join(
+        ["", *[f"select '{c}', count(*) from orders" for c in ("order_approved_at", "order_delivered_carrier_date")]]
     )
 )
 ORACLE["check_unique"] = """
@@ -531,7 +545,7 @@ ORACLE["check_fk_report"] = sql(
 ORACLE["key_candidates"] = " union all ".join(
     f"""select '{c}' as column_name, count(*) as n_rows, count(distinct {c}) as n_distinct,
  count(*) - count({c}) as n_nulls, count(distinct {c}) = count(*) as is_candidate from orders"""
-    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 )
 
 # ---- scalar helpers -------------------------------------------------------------------------
@@ -644,7 +658,7 @@ def snapshot(day: int) -> str:
         code = f"case when s_suppkey % 7 = 0 then '99999' else {code} end"
     known = "s_acctbal >= 0" if day == 1 else "s_acctbal <= 9000"
     return f"""
-select 'S' || lpad(s_suppkey::varchar, 8, '0') as seller_id, substr(r_name, 1, 2) as seller_state,
+select 'S' || repeat('0', 8 - length(s_suppkey::varchar)) || s_suppkey::varchar as seller_id, substr(r_name, 1, 2) as seller_state,
  case when s_suppkey % {23 if day == 1 else 19} <> 0 then n_name end as seller_city, {code} as seller_zip_code_prefix
 from supplier {PLACES.format(k=moved)} where {known}"""
 
@@ -748,7 +762,7 @@ ORACLE["lineage_counts"] = labelled(
 ORACLE["warehouse_summary"] = sql(f"""
 select count(distinct customer_id) as unique_customers, count(distinct product_id) as unique_products,
  count(distinct location_key) as unique_locations, count(distinct order_date) as unique_order_dates,
- sum(total_order_value)::decimal(15,2) as total_revenue, {average("total_order_value")} as avg_order_value,
+ sum(total_order_value)::decimal(38,2) as total_revenue, {average("total_order_value")} as avg_order_value,
  count(*) as total_orders
 from fact""")
 ORACLE["zone_counts"] = sql(
@@ -770,7 +784,7 @@ ORACLE["zone_counts"] = sql(
 ON_TIME = "count(*) filter (where is_on_time)"
 ORDERS = "count(distinct order_id)"
 CUSTOMERS = "count(distinct customer_id)"
-VALUE = "sum(total_order_value)::decimal(15,2)"
+VALUE = "sum(total_order_value)::decimal(38,2)"
 MEAN = average("total_order_value")
 
 VIEWS["placed"] = "select f.*, l.state_code as region from fact f left join loc l using (location_key)"
@@ -791,17 +805,17 @@ select region, total_orders, total_sales, avg_order_value, unique_customers,
  {quotient("total_orders", "unique_customers", 2, 12)} as orders_per_customer
 from by_region""")
 ORACLE["dashboard_regional_totals"] = sql(f"""
-select sum(total_orders)::bigint as total_orders, sum(total_sales)::decimal(15,2) as total_sales,
+select sum(total_orders)::bigint as total_orders, sum(total_sales)::decimal(38,2) as total_sales,
  sum(unique_customers)::bigint as total_unique_customers,
  {quotient(cents("sum(total_sales)"), "100 * sum(total_orders)", 2, 15)} as avg_order_value
 from by_region""")
 VIEWS["known_regions"] = "select * exclude (on_time) from by_region where region is not null"
 ORACLE["chart_regions"] = sql("select * from known_regions")
 ORACLE["chart_top_regions"] = sql("""
-select * from (select 'total_sales' as metric, region, total_sales::decimal(15,2) as value from known_regions
- order by total_sales desc, region limit 3) a
-union all select * from (select 'total_orders' as metric, region, total_orders::decimal(15,2) as value from known_regions
- order by total_orders desc, total_sales desc, region limit 3) b""")
+select * from (select 'total_sales' as metric, region, total_sales::decimal(38,2) as value from known_regions
+ order by total_sales desc, region limit 10) a
+union all select * from (select 'total_orders' as metric, region, total_orders::decimal(38,2) as value from known_regions
+ order by total_orders desc, total_sales desc, region limit 10) b""")
 ORACLE["chart_region_boxstats"] = sql("""
 select metric, round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
  round(least(min(x) filter (where x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)), q1), 6) as whisker_low,
@@ -839,7 +853,7 @@ ORACLE["chart_products"] = sql("select * exclude (rank) from top_sold")
 ORACLE["chart_product_pie"] = sql(f"""
 select slice, revenue, {percentage(cents("revenue"), f"(select {cents('sum(total_revenue)')} from top_sold)", 1)} as pct
 from (select case when rank <= 5 then product_id else 'Rest of Portfolio' end as slice,
-       sum(total_revenue)::decimal(15,2) as revenue from top_sold group by 1) s""")
+       sum(total_revenue)::decimal(38,2) as revenue from top_sold group by 1) s""")
 ORACLE["chart_product_normalised"] = sql(f"""
 select rank, product_id,
  {percentage("order_count", "(select max(order_count) from top_sold where rank <= 10)", 4)} as orders_norm,
@@ -853,12 +867,12 @@ from fact group by customer_id"""
 SEGMENT = segment("ltv")
 ORACLE["customer_segments"] = sql(f"""
 select {SEGMENT} as customer_segment, count(*) as segment_size, {average("ltv")} as avg_lifetime_value,
- sum(ltv)::decimal(15,2) as segment_total_value, {quotient("sum(order_frequency)", "count(*)", 6)} as avg_orders_per_customer,
+ sum(ltv)::decimal(38,2) as segment_total_value, {quotient("sum(order_frequency)", "count(*)", 6)} as avg_orders_per_customer,
  {quotient("sum(cast(avg_order_value * 10000000000 as hugeint))", "10000000000 * count(*)", 6)} as segment_avg_order_value
 from by_customer group by 1""")
 ORACLE["customer_segments_direct"] = sql(f"""
 select {SEGMENT} as customer_segment, count(*) as segment_size, {average("ltv")} as avg_lifetime_value,
- sum(ltv)::decimal(15,2) as segment_total_value
+ sum(ltv)::decimal(38,2) as segment_total_value
 from (select c.customer_id, sum(i.price + i.freight_value) as ltv
       from cur_customers c left join cur_orders o on o.customer_id = c.customer_id and o.is_valid
        left join cur_items i on i.order_id = o.order_id
@@ -889,6 +903,24 @@ select segment, customer_count, {quotient(cents("total_value"), "100 * customer_
  {percentage(cents("total_value"), SHARE_VALUE, 1)} as pct_revenue
 from by_segment""")
 
+# ---- whole flows ----------------------------------------------------------------------------
+ORACLE["two_loads"] = sql(
+    "select customer_id, customer_city, data_quality_score, is_valid, source_raw_id from prc_customers"
+)
+ORACLE["raw_ids"] = "select 2 * count(*) as n_rows, 2 * count(*) as n_ids from lineitem"
+ORACLE["quarantine_zones"] = sql("""
+select zone, entity, reject_reason, count(*) as n_rows, count(*) as n_documents, min(raw_id) as first_raw_id
+from (select 'processed' as zone, 'order_items' as entity, raw_id,
+       case when raw_id % 101 = 0 then 'malformed document'
+       when raw_id % 103 = 0 then 'unreadable: price'
+       when raw_id % 107 = 0 then 'unreadable: shipping_limit_date'
+       when raw_id % 109 = 0 then 'unreadable: price' end as reject_reason from src_items
+      union all
+      select 'curated', 'sellers', source_raw_id, case when length(seller_state) > 2 then 'too long: seller_state' end
+      from prc_sellers_none where is_valid) r
+where reject_reason is not null group by all""")
+ORACLE["pipeline_csv"] = ORACLE["fct_orders"]
+
 # ---- incremental loads ----------------------------------------------------------------------
 ORACLE["stream_ingest"] = "select * from events"
 ORACLE["stream_load_stats"] = """

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestead.functions import documents as docs
 from lakestead.functions import scalars
 from lakestead.operators import checks, dedupe, quality, scd2, surrogate
-from lakestead.plans import analytics, curated, lineage, processed, warehouse
+from lakestead.plans import analytics, curated, lineage, processed, refresh, warehouse
 from lakestead.registry.frames import DAY_1, DAY_2, LOADED_AT, MIN_ORDERS, MIN_YEAR, SEGMENTS, Frames
 from lakestead.schemas import schema
 from lakestead.session import scratch_dir
@@ -90,10 +90,15 @@ def csv_roundtrip(f: Frames) -> DataFrame:
     return files.scan_csv_folder(f.spark, path, {"customers": schema("source.customers")})["customers"]
 
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
 @query
 def table_columns(f: Frames) -> DataFrame:
-    names = ["customer", "orders", "lineitem", "part", "supplier", "events"]
-    return catalog.table_columns({n: f.table(n) for n in names})
+    return catalog.table_columns({n: f.table(n) for n in TABLES})
 
 
 # ---- document queries -----------------------------------------------------------------------
@@ -293,7 +298,7 @@ def json_min_max_avg(f: Frames) -> DataFrame:
 @query
 def json_order_numeric(f: Frames) -> DataFrame:
     zips = f.documents.select("raw_id", docs.field_as(F.col(DOC), "zip_code", "int").alias("zip_code"))
-    return zips.orderBy(F.desc_nulls_first("zip_code"), F.asc("raw_id")).limit(100)
+    return zips.orderBy(F.desc_nulls_first("zip_code"), F.asc("raw_id")).limit(10)
 
 
 @query
@@ -410,9 +415,8 @@ def status_counts(f: Frames) -> DataFrame:
     return quality.status_counts(f.processed("orders"))
 
 
-@query
-def dq_quarantine(f: Frames) -> DataFrame:
-    """Items with broken documents, unreadable numbers or dates, next to states that are too long."""
+def _broken_items(f: Frames) -> DataFrame:
+    """Items with broken documents, unreadable numbers or dates."""
     n = F.col("raw_id")
     broken = (
         F.when(n % 101 == 0, F.concat(F.lit('{"order_id":"'), n.cast("string")))
@@ -421,10 +425,15 @@ def dq_quarantine(f: Frames) -> DataFrame:
         .when(n % 109 == 0, F.lit('{"order_id":"O1","price":99999999999}'))
         .otherwise(F.col("data"))
     )
-    items = f.raw("order_items").withColumn("data", broken)
+    return f.raw("order_items").withColumn("data", broken)
+
+
+@query
+def dq_quarantine(f: Frames) -> DataFrame:
+    """Broken items next to states that are too long."""
     lengthy = f.raw("sellers", blank_as_null=True)
     states = processed.accepted(processed.sellers(lengthy, null_mode="compat"))
-    broken_items = processed.rejected(processed.order_items(items)).drop("document")
+    broken_items = processed.rejected(processed.order_items(_broken_items(f))).drop("document")
     bad = broken_items.unionByName(curated.oversized(states))
     return bad.groupBy("reject_reason").agg(
         F.count("*").alias("n_rows"), F.min("source_raw_id").alias("first_raw_id")
@@ -434,8 +443,8 @@ def dq_quarantine(f: Frames) -> DataFrame:
 # ---- checks ---------------------------------------------------------------------------------
 @query
 def check_not_null(f: Frames) -> DataFrame:
-    columns = ["order_id", "order_purchase_timestamp", "order_delivered_customer_date"]
-    return checks.not_null_violations(f.source("orders"), columns)
+    orders = f.source("orders").drop("raw_id")
+    return checks.not_null_violations(orders, orders.columns)
 
 
 @query
@@ -463,8 +472,8 @@ def check_fk_report(f: Frames) -> DataFrame:
 
 @query
 def key_candidates(f: Frames) -> DataFrame:
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return checks.key_candidates(f.table("orders"), columns)
+    orders = f.table("orders")
+    return checks.key_candidates(orders, orders.columns)
 
 
 # ---- scalar helpers -------------------------------------------------------------------------
@@ -830,7 +839,7 @@ def chart_regions(f: Frames) -> DataFrame:
 
 @query
 def chart_top_regions(f: Frames) -> DataFrame:
-    return analytics.chart_top_regions(analytics.chart_regions(f.written.star), rows=3)
+    return analytics.chart_top_regions(analytics.chart_regions(f.written.star))
 
 
 @query
@@ -858,6 +867,55 @@ def chart_segments(f: Frames) -> DataFrame:
     return analytics.chart_segments(f.written.star, SEGMENTS)
 
 
+# ---- whole flows ----------------------------------------------------------------------------
+@query
+def two_loads(f: Frames) -> DataFrame:
+    """Customers in two deliveries, of which a third is the same; processed as from one."""
+    store = files.ZoneStore(f.spark, scratch_dir(f.spark, "two-loads"))
+    source, third = f.source("customers"), F.col("raw_id") % 3
+    for day, part in ((DAY_1, third != 0), (DAY_2, third != 1)):
+        loaded_at = dt.datetime.combine(day, dt.time())
+        documents = refresh.ingest(store, "customers", source.filter(part), loaded_at, "raw_id")
+        good = refresh.clean(store, "customers", documents)
+    return good.select("customer_id", "customer_city", "data_quality_score", "is_valid", "source_raw_id")
+
+
+@query
+def raw_ids(f: Frames) -> DataFrame:
+    """Ids that the raw zone gives itself, over two loads of all items."""
+    store = files.ZoneStore(f.spark, scratch_dir(f.spark, "raw-ids"))
+    for day in (DAY_1, DAY_2):
+        source = f.source("order_items").drop("raw_id")
+        refresh.ingest(store, "order_items", source, dt.datetime.combine(day, dt.time()))
+    rows = store.read("raw", "order_items_raw")
+    return rows.agg(F.count("*").alias("n_rows"), F.count_distinct("raw_id").alias("n_ids"))
+
+
+@query
+def quarantine_zones(f: Frames) -> DataFrame:
+    """What every zone turned away, with its document: broken items, and states that are too wide."""
+    store = files.ZoneStore(f.spark, scratch_dir(f.spark, "quarantine"))
+    sellers = refresh.ingest(store, "sellers", f.source("sellers", blank_as_null=True), LOADED_AT, "raw_id")
+    refresh.curate(store, "sellers", refresh.clean(store, "sellers", sellers, null_mode="compat"), sellers)
+    items = _broken_items(f)
+    refresh.curate(store, "order_items", refresh.clean(store, "order_items", items), items)
+    rows = store.read("quarantine", "rows")
+    return rows.groupBy("zone", "entity", "reject_reason").agg(
+        F.count("*").alias("n_rows"), F.count("document").alias("n_documents"), F.min("source_raw_id").alias("first_raw_id")
+    )
+
+
+@query
+def pipeline_csv(f: Frames) -> DataFrame:
+    """The entities as CSV files, a table without declaration among them, through the whole flow."""
+    base = scratch_dir(f.spark, "csv-flow")
+    for entity in adapters.ENTITIES:
+        files.write_csv(f.source(entity).drop("raw_id"), f"{base}/in/{entity}.csv")
+    files.write_csv(f.table("nation"), f"{base}/in/nation.csv")
+    lake = refresh.run_folder(f.spark, f"{base}/in", f"{base}/lake", LOADED_AT)
+    return _natural(f, lake.star.fct_orders)
+
+
 # ---- incremental loads ----------------------------------------------------------------------
 def _event_stream(f: Frames) -> DataFrame:
     return incremental.file_stream(
@@ -867,20 +925,24 @@ def _event_stream(f: Frames) -> DataFrame:
 
 @query
 def stream_ingest(f: Frames) -> DataFrame:
+    """The events in several files, twice over and out of order, one file per batch."""
     base = scratch_dir(f.spark, "ingest")
-    incremental.ingest_once(
-        _event_stream(f), "event_id", "ts", "1 day", f"{base}/rows", f"{base}/state"
-    )
-    return f.spark.read.parquet(f"{base}/rows")
+    events = f.table("events")
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for n in range(3):
+        events.filter((third == n) | (third == 0)).coalesce(1).write.parquet(f"{base}/inbox/{n}")
+    stream = incremental.file_stream(f.spark, f"{base}/inbox/*", events.schema, files_per_batch=1)
+    incremental.ingest_once(stream, "event_id", "ts", f"{base}/rows", f"{base}/state")
+    return incremental.ingested(f.spark, f"{base}/rows")
 
 
 @query
 def stream_load_stats(f: Frames) -> DataFrame:
     base = scratch_dir(f.spark, "stats")
     incremental.load_stats_per_hour(
-        _event_stream(f), "ts", "event_type", "value", f"{base}/rows", f"{base}/state"
+        _event_stream(f), "event_id", "ts", "event_type", "value", base, f"{base}/state"
     )
-    return f.spark.read.parquet(f"{base}/rows")
+    return f.spark.read.parquet(f"{base}/stats").drop("_day")
 
 
 @query

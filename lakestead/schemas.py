@@ -82,7 +82,7 @@ _DDL = {
     ),
     "curated.order_items_refined": (
         "order_item_id bigint, order_id string, product_id string, seller_id string,"
-        " price decimal(10,2), freight_value decimal(10,2), total_item_value decimal(10,2),"
+        " price decimal(10,2), freight_value decimal(10,2), total_item_value decimal(12,2),"
         " shipping_limit_date timestamp_ntz, data_quality_score decimal(3,2)"
     ),
     "curated.customers_refined": f"{_CUSTOMER}, data_quality_score decimal(3,2), is_valid boolean",

@@ -11,16 +11,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestead.functions.scalars import moment
-from lakestead.sources.files import spread
 
 
-# The two tables that grow fastest; a single small file of them still keeps all cores busy.
-_SPREAD = ("orders", "lineitem")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(scan, spark.sparkContext.defaultParallelism) if name in _SPREAD else scan
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _every(key: str, n: int) -> Column:
@@ -28,7 +23,9 @@ def _every(key: str, n: int) -> Column:
 
 
 def _ident(prefix: str, key: str, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
+    """The key with leading zeros up to the width; a longer key stays whole."""
+    digits = F.col(key).cast("string")
+    return F.concat(F.lit(prefix), F.repeat(F.lit("0"), F.lit(width) - F.length(digits)), digits)
 
 
 def _zip(key: str) -> Column:
@@ -201,7 +198,7 @@ def seller_snapshot(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
 # One text for every engine: a document per customer with nested, null and missing values.
 CUSTOMER_DOCUMENT = """
 case when c_custkey % 41 = 0 then '{}' when c_custkey % 43 = 0 then null else concat(
- '{"customer_id":"C', lpad(cast(c_custkey as string), 8, '0'),
+ '{"customer_id":"C', repeat('0', 8 - length(cast(c_custkey as string))), cast(c_custkey as string),
  '","zip_code":', cast(c_custkey % 100000 as string),
  ',"balance":', cast(cast(c_acctbal as decimal(12,2)) as string),
  ',"state":', case when c_custkey % 17 = 0 then 'null' else concat('"', lower(substr(r_name, 1, 2)), '"') end,

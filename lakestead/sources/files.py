@@ -6,16 +6,45 @@ import posixpath
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-# Blanks around a value are part of it.
-_CSV = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Blanks around a value are part of it; a quote in a quoted value is doubled.
+_CSV = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "quote": '"',
+    "escape": '"',
+}
+CORRUPT = "_corrupt_record"
 
 
-def scan_csv(spark: SparkSession, path: str, table_schema: StructType) -> DataFrame:
-    """A CSV file or folder with a header row; a byte-order mark and CRLF are handled."""
-    return spark.read.schema(table_schema).options(**_CSV).csv(path)
+def scan_csv(
+    spark: SparkSession, path: str, table_schema: StructType, multi_line: bool = False, corrupt: bool = False
+) -> DataFrame:
+    """A CSV file or folder with a header row; a byte-order mark and CRLF are handled.
+
+    ``multi_line`` allows line breaks in quoted values; such a file is read by one task and not split.
+    ``corrupt`` adds the text of lines that do not fit the schema, NULL for those that do.
+    """
+    if corrupt:
+        table_schema = StructType([*table_schema, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(table_schema).options(**_CSV, multiLine=str(multi_line).lower())
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Path per table of a folder: ``<stem>.csv``, a file or a folder of part files. Only names are read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    inside = F.regexp_extract("path", r"([^/]+\.csv)(?:/[^/]*)?$", 1)
+    names = found.select(inside.alias("name")).filter("name <> ''").distinct().orderBy("name").collect()
+    return {r.name.removesuffix(".csv"): posixpath.join(folder, r.name) for r in names}
+
+
+def text_schema(spark: SparkSession, path: str) -> StructType:
+    """The header's columns, all as text."""
+    return spark.read.options(**_CSV, inferSchema="false").csv(path).schema
 
 
 def scan_csv_folder(
@@ -32,12 +61,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
-def spread(scan: DataFrame, tasks: int) -> DataFrame:
-    """Deal the rows of a scan out to ``tasks`` when its files cannot be split that far, such as one
-    compressed file. A scan with enough splits is left alone, so large inputs are not shuffled."""
-    return scan if scan.rdd.getNumPartitions() >= tasks else scan.repartition(tasks)
-
-
 class ZoneStore:
     """Zones as folders of Parquet tables: ``<root>/<zone>/<table>``."""
 
@@ -51,6 +74,14 @@ class ZoneStore:
     def read(self, zone: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(zone, table))
 
+    def read_if_there(self, zone: str, table: str) -> DataFrame | None:
+        try:
+            return self.read(zone, table)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
     def write_version(self, zone: str, table: str, df: DataFrame, version: int) -> None:
         """Write a whole new version next to the earlier ones; writing it again replaces it."""
         writer = df.withColumn("version", F.lit(version)).write.mode("overwrite")
@@ -60,12 +91,9 @@ class ZoneStore:
 
     def read_version(self, zone: str, table: str, before: int | None = None) -> DataFrame | None:
         """The latest version, or the latest one before a given number; None when there is none."""
-        try:
-            versions = self.read(zone, table)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        versions = self.read_if_there(zone, table)
+        if versions is None:
+            return None
         if before is not None:
             versions = versions.filter(F.col("version") < before)
         latest = versions.agg(F.max("version")).first()[0]
@@ -93,10 +121,6 @@ class ZoneStore:
         writer.parquet(self.path(zone, table))
         return self.read(zone, table)
 
-    def append(self, zone: str, table: str, df: DataFrame) -> DataFrame:
-        df.write.mode("append").parquet(self.path(zone, table))
-        return self.read(zone, table)
-
     def replace(self, zone: str, table: str, df: DataFrame) -> DataFrame:
         """Overwrite a table with rows derived from itself: write them aside first."""
         staged = self.overwrite(zone, f"{table}__next", df)

@@ -10,6 +10,7 @@ from pyspark.sql.types import DoubleType, FloatType, TimestampNTZType, Timestamp
 
 from lakestead.fixed_values import RAW_USER
 from lakestead.functions.scalars import iso_timestamp, moment
+from lakestead.operators.dedupe import first_per_key
 
 
 def null_normalised(df: DataFrame) -> DataFrame:
@@ -83,15 +84,17 @@ def load_stats(documents: DataFrame) -> DataFrame:
 
 
 def unique_documents(documents: DataFrame) -> DataFrame:
-    """Keep the first of all rows with equal content.
+    """Keep the first of all rows with equal content."""
+    hashed = documents.withColumn("file_hash", F.coalesce(F.col("file_hash"), F.sha2("data", 256)))
+    columns = ["raw_id", "data", "source_table", "loaded_at", "file_hash", "created_by"]
+    return first_per_key(hashed, ["source_table", "file_hash"], [F.asc("raw_id")]).select(*columns)
 
-    ``min_by`` aggregates before the shuffle, so a document repeated many times leaves each map
-    task once.
+
+def without_redelivered(documents: DataFrame) -> DataFrame:
+    """Documents of all loads without those that an earlier load already brought.
+
+    Equal documents of one load all stay: two items of an order may well be the same. ``load_id`` orders
+    the loads. One small row per content meets the documents, not their groups.
     """
-    hashed = F.coalesce(F.col("file_hash"), F.sha2("data", 256))
-    return (
-        documents.withColumn("file_hash", hashed)
-        .groupBy("source_table", "file_hash")
-        .agg(F.min_by(F.struct("raw_id", "data", "loaded_at", "created_by"), "raw_id").alias("row"))
-        .select("row.raw_id", "row.data", "source_table", "row.loaded_at", "file_hash", "row.created_by")
-    )
+    first = documents.groupBy("file_hash").agg(F.min("load_id").alias("load_id"))
+    return documents.join(first, ["file_hash", "load_id"], "left_semi").select(*documents.columns)

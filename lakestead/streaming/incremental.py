@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakestead.operators import scd2
+from lakestead.operators.dedupe import first_per_key
 from lakestead.plans.warehouse import SELLER_TRACKED
 from lakestead.sources.files import ZoneStore
 
@@ -26,39 +28,69 @@ def file_stream(
     )
 
 
-def ingest_once(
-    stream: DataFrame, key: str, event_time: str, delay: str, target: str, checkpoint: str
-) -> None:
-    """Append rows to a raw table, each key once even when a file is delivered again.
+def ingest_once(stream: DataFrame, key: str, event_time: str, target: str, checkpoint: str) -> None:
+    """Append rows to a raw table, each key once however often and however late it is delivered.
 
-    State is kept for ``delay`` past the latest event time, so it does not grow with the table.
+    The table is partitioned by day of event time and by batch. A batch is compared with the earlier batches
+    of the days that it touches, so nothing is kept in state and no late row is lost; a replayed batch
+    replaces its own partitions.
     """
-    # Watermarks want a zoned timestamp; the column itself is stored as it came.
-    timed = stream.withColumn("_time", F.col(event_time).cast("timestamp"))
-    unique = timed.withWatermark("_time", delay).dropDuplicatesWithinWatermark([key])
-    _run(
-        unique.drop("_time")
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates([key]).withColumn("_day", F.to_date(event_time))
+        stored = _stored(batch.sparkSession, target)
+        if stored is not None:
+            earlier = stored.filter(F.col("_batch") < batch_id).select(key, "_day")
+            rows = rows.join(earlier, [key, "_day"], "left_anti")
+        _write_days(rows.withColumn("_batch", F.lit(batch_id)), target, "_day", "_batch")
+
+    _run(stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint))
+
+
+def ingested(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of a table that ingest_once fills."""
+    return spark.read.parquet(target).drop("_day", "_batch")
 
 
 def load_stats_per_hour(
-    stream: DataFrame, event_time: str, group: str, value: str, target: str, checkpoint: str
+    stream: DataFrame, key: str, event_time: str, group: str, value: str, base: str, checkpoint: str
 ) -> None:
-    """Rows, sum and latest event per hour of event time; the small result is replaced per batch."""
-    hours = hourly_stats(stream, event_time, group, value)
+    """Rows, sum and latest event per hour of event time, in ``<base>/stats``.
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    Rows go to ``<base>/rows`` as in ingest_once; the days that a batch touches are counted again from
+    there and replaced. No state grows, and late rows change the hour that they belong to.
+    """
+    rows, stats = f"{base}/rows", f"{base}/stats"
 
-    _run(
-        hours.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-    )
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        once = batch.dropDuplicates([key]).withColumn("_day", F.to_date(event_time))
+        stored = _stored(spark, rows)
+        if stored is not None:
+            earlier = stored.filter(F.col("_batch") < batch_id).select(key, "_day")
+            once = once.join(earlier, [key, "_day"], "left_anti")
+        _write_days(once.withColumn("_batch", F.lit(batch_id)), rows, "_day", "_batch")
+        days = batch.select(F.to_date(event_time).alias("_day")).distinct()
+        touched = spark.read.parquet(rows).filter(F.col("_batch") <= batch_id).join(days, "_day", "left_semi")
+        counted = hourly_stats(touched, event_time, group, value)
+        _write_days(counted.withColumn("_day", F.to_date("hour")), stats, "_day")
+
+    _run(stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint))
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _write_days(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions that rows belong to."""
+    writer = rows.write.mode("overwrite").partitionBy(*partitions)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def hourly_stats(events: DataFrame, event_time: str, group: str, value: str) -> DataFrame:
@@ -76,26 +108,34 @@ def hourly_stats(events: DataFrame, event_time: str, group: str, value: str) ->
 
 
 def apply_seller_snapshots(
-    stream: DataFrame, store: ZoneStore, table: str, snapshot_date: str, checkpoint: str
+    stream: DataFrame, store: ZoneStore, table: str, snapshot_date: str, checkpoint: str, order: str = "seller_city"
 ) -> None:
     """Feed seller snapshots into the seller history, one version of the table per batch.
 
-    A replayed batch starts again from the version before it, so it changes nothing. Batches
-    without a version yet (an empty delivery) are skipped.
+    A batch may hold several days, and a seller several times on a day; the row that is least by ``order``
+    and the other columns counts. Each day is written before the next one, so plans do not grow with
+    the days. A replayed batch starts again from the version before it, so it changes nothing.
+    Batches without rows (an empty delivery) are skipped.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         versions = store.read_version("warehouse", table, before=batch_id)
+        batch.persist()
         days = sorted(r[0] for r in batch.select(snapshot_date).distinct().collect())
-        for day in days:
-            snapshot = batch.filter(F.col(snapshot_date) == F.lit(day)).drop(snapshot_date)
+        rest = [c for c in batch.columns if c not in ("seller_id", snapshot_date, order)]
+        for n, day in enumerate(days):
+            given = batch.filter(F.col(snapshot_date) == F.lit(day)).drop(snapshot_date)
+            snapshot = first_per_key(given, ["seller_id"], [F.asc(c) for c in (order, *rest)])
             versions = (
                 scd2.initial(snapshot, "seller_id", SELLER_TRACKED, day)
                 if versions is None
                 else scd2.apply(versions, snapshot, "seller_id", SELLER_TRACKED, day)
             )
+            if n + 1 < len(days):
+                versions = store.overwrite("staging", f"{table}_{batch_id}_{n}", versions)
         if days:
             store.write_version("warehouse", table, versions, batch_id)
+        batch.unpersist()
 
     _run(stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint))
 

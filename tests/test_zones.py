@@ -133,14 +133,79 @@ def test_seller_history_over_two_refreshes(spark, built):
     assert later.count() == 2 * n and later.filter("is_current").count() == n
 
 
-def test_event_file_delivered_twice_is_stored_once(spark):
-    base = scratch_dir(spark, "twice")
+def test_events_repeated_late_and_out_of_order_are_stored_once(spark, rows):
+    """Several files in one batch, or one file per batch: the same rows and the same statistics."""
     events = spark.read.parquet(f"{SF}/events.parquet")
-    half = events.approxQuantile("event_id", [0.5], 0)[0]
-    events.filter(F.col("event_id") <= half).write.parquet(f"{base}/in/1")
-    for n in (2, 3):
-        events.filter(F.col("event_id") > half).write.parquet(f"{base}/in/{n}")
-        stream = incremental.file_stream(spark, f"{base}/in/*", events.schema)
-        incremental.ingest_once(stream, "event_id", "ts", "60 days", f"{base}/out", f"{base}/state")
-    stored = spark.read.parquet(f"{base}/out")
-    assert stored.count() == events.count() == stored.select("event_id").distinct().count()
+    last, first = (events.orderBy(F.col("ts").desc() if d else F.col("ts")).limit(40) for d in (1, 0))
+    want = rows(events)
+    for per_batch in (1, 1000):
+        base = scratch_dir(spark, "late")
+        for n, part in enumerate([last, events, first, events.limit(7), events.limit(0)]):
+            part.coalesce(1).write.parquet(f"{base}/in/{n}")
+        for _ in range(2):
+            stream = incremental.file_stream(spark, f"{base}/in/*", events.schema, files_per_batch=per_batch)
+            incremental.ingest_once(stream, "event_id", "ts", f"{base}/out", f"{base}/state")
+            stream = incremental.file_stream(spark, f"{base}/in/*", events.schema, files_per_batch=per_batch)
+            incremental.load_stats_per_hour(
+                stream, "event_id", "ts", "event_type", "value", f"{base}/s", f"{base}/state-2"
+            )
+        assert rows(incremental.ingested(spark, f"{base}/out"), *events.columns) == want
+        stats = spark.read.parquet(f"{base}/s/stats").drop("_day")
+        assert rows(stats) == rows(incremental.hourly_stats(events, "ts", "event_type", "value"))
+
+
+def test_seller_history_of_many_days_in_any_batches(spark, rows):
+    """Twelve days, each delivered twice; all in one batch, or a file per batch."""
+    sellers = spark.createDataFrame([(f"s{i}", "SP", f"c{i}", "01000") for i in range(3)], schema("source.sellers"))
+    found = []
+    for per_batch in (1, 1000):
+        base = scratch_dir(spark, "days")
+        store = files.ZoneStore(spark, base)
+        for day in range(12):
+            moved = sellers.withColumn("seller_city", F.concat("seller_city", F.lit(f"-{day // 4}")))
+            dated = moved.withColumn("day", F.lit(dt.date(2024, 1, 1 + day)))
+            dated.union(dated).coalesce(1).write.parquet(f"{base}/in/{day:02}")
+        stream = incremental.file_stream(spark, f"{base}/in/*", dated.schema, files_per_batch=per_batch)
+        incremental.apply_seller_snapshots(stream, store, "history", "day", f"{base}/state")
+        history = store.read_version("warehouse", "history")
+        assert history.filter("is_current").count() == 3 and history.count() == 9
+        found.append(rows(history, "seller_id", "seller_city", "valid_from", "valid_to", "is_current"))
+    assert found[0] == found[1]
+
+
+def test_long_keys_stay_whole(spark):
+    keys = spark.createDataFrame([(1234567890,), (1234567891,), (7,), (123456789012,)], "k long")
+    got = [r[0] for r in keys.select(adapters._ident("O", "k", 9)).collect()]
+    assert got == ["O1234567890", "O1234567891", "O000000007", "O123456789012"]
+
+
+def test_csv_quotes_breaks_and_bad_numbers(spark, tmp_path):
+    text = 'order_id,product_id,seller_id,shipping_limit_date,price,freight_value\n'
+    text += 'O1,"P ""x"" 1",S1,2018-01-01,1.5,2\nO2,"a\nb",S1,,,\nO3,P,S,2018-01-01,abc,1\n'
+    (tmp_path / "order_items.csv").write_text(text)
+    assert files.csv_tables(spark, str(tmp_path)) == {"order_items": str(tmp_path / "order_items.csv")}
+    items = files.scan_csv(
+        spark, str(tmp_path / "order_items.csv"), schema("source.order_items"), multi_line=True, corrupt=True
+    ).collect()
+    assert [(r.order_id, r.product_id, r._corrupt_record) for r in items] == [
+        ("O1", 'P "x" 1', None), ("O2", "a\nb", None), ("O3", "P", "O3,P,S,2018-01-01,abc,1"),
+    ]
+
+
+def test_rows_in_are_rows_accepted_and_rejected(spark):
+    """Over two loads, with wide states, a broken document and a repeated delivery."""
+    store = files.ZoneStore(spark, scratch_dir(spark, "whole"))
+    customers = adapters.customers(spark, SF).withColumn(
+        "customer_state", F.when(F.col("raw_id") % 4 == 0, "XXXX").otherwise(F.col("customer_state"))
+    )
+    for day, part in ((1, "raw_id % 2 = 0"), (2, "raw_id > 10")):
+        documents = refresh.ingest(store, "customers", customers.filter(part), dt.datetime(2024, 1, day), "raw_id")
+        good = refresh.clean(store, "customers", documents)
+    assert documents.count() == customers.filter("raw_id % 2 = 0 or raw_id > 10").count() == good.count()
+    kept = refresh.curate(store, "customers", good, documents)
+    wide = store.read("quarantine", "rows").filter("zone = 'curated'")
+    valid = good.filter("is_valid")
+    assert wide.count() == valid.filter("length(customer_state) > 2").count() > 0
+    assert wide.filter("document is null").count() == 0
+    fitting = valid.filter("length(customer_state) <= 2").select("customer_id").distinct().count()
+    assert kept.count() == fitting
