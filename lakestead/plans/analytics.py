@@ -1,8 +1,8 @@
 """Report catalogue on the star schema, and the data behind the charts.
 
 The fact holds one row per order and product, so rows per product are orders; a region counts its
-orders distinctly. Only the calendar is broadcast by hint: its size is the number of days. Other
-dimensions are left to the planner, which broadcasts them only when they turn out small.
+orders distinctly. Dimensions, the calendar among them, are left to the planner, which broadcasts them
+only when they turn out small.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ def sales_by_region_time(
     days = star.dim_date.filter(F.col("year") >= min_year).select("date_id", "year", "month")
     places = star.dim_location.select("dim_location_id", F.col("state_code").alias("region"))
     facts = recent.join(
-        F.broadcast(days), F.col("dim_date_id") == F.col("date_id")
+        days, F.col("dim_date_id") == F.col("date_id")
     ).join(places, "dim_location_id", "left")
     grouped = facts.groupBy("region", "year", "month").agg(
         _distinct("order_id", approx).alias("order_count"),

@@ -7,8 +7,11 @@ no step sees the lineage of the one before.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +21,7 @@ from lakestead.sources.files import CORRUPT, ZoneStore, csv_tables, scan_csv, te
 from lakestead.sources.raw import observed, to_documents, without_redelivered
 
 ACCEPTED, REJECTED = "accepted", "rejected"
+_audit = Lock()
 
 
 @dataclass(frozen=True)
@@ -60,7 +64,8 @@ def ingest(
         schema("raw.data_metadata").add("load_id", "string"),
     )
     writer = audit.write.mode("overwrite").partitionBy("load_id", "table_name")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", "data_metadata"))
+    with _audit:  # one table for all loads, which may run side by side
+        writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", "data_metadata"))
     loads = store.read("raw", name)
     # A first load has nothing to be compared with.
     return loads if others is None or others.isEmpty() else without_redelivered(loads)
@@ -128,14 +133,18 @@ def run(
     store = ZoneStore(spark, root)
     entity_of = {"geolocation": "geolocations"}
     done, documents = {}, {}
-    for table, df in sources.items():
+
+    def load(table: str, df: DataFrame) -> None:
         entity = entity_of.get(table, table)
         documents[entity] = ingest(store, table, df, loaded_at, raw_id if raw_id in df.columns else None)
         if entity in processed.PROCESS:
             done[entity] = clean(store, entity, documents[entity], null_mode=null_mode)
-    constraints(store, done)
-    orders, items, customers, sellers = (
-        curate(store, e, done[e], documents[e]) for e in ("orders", "order_items", "customers", "sellers")
+
+    side_by_side([partial(load, table, df) for table, df in sources.items()])
+    curated_tables = ("orders", "order_items", "customers", "sellers")
+    *_, orders, items, customers, sellers = side_by_side(
+        [partial(constraints, store, done)]
+        + [partial(curate, store, e, done[e], documents[e]) for e in curated_tables]
     )
     star = load_star(
         store, orders, items, customers, sellers, loaded_at.date(), calendar, previous_sellers
@@ -205,11 +214,19 @@ def load_star(
     plan = warehouse.build_star(
         orders, items, customers, sellers, as_of, calendar, previous_sellers
     )
-    return warehouse.Star(
-        fct_orders=store.overwrite("warehouse", "fct_orders", plan.fct_orders, "order_month"),
-        dim_date=store.overwrite("warehouse", "dim_date", plan.dim_date.coalesce(1)),
-        dim_customer=store.overwrite("warehouse", "dim_customer", plan.dim_customer),
-        dim_product=store.overwrite("warehouse", "dim_product", plan.dim_product),
-        dim_location=store.overwrite("warehouse", "dim_location", plan.dim_location),
-        dim_seller_scd=store.replace("warehouse", "dim_seller_scd", plan.dim_seller_scd),
-    )
+    write = {
+        "fct_orders": partial(store.overwrite, "warehouse", "fct_orders", plan.fct_orders, "order_month"),
+        "dim_date": partial(store.overwrite, "warehouse", "dim_date", plan.dim_date.coalesce(1)),
+        "dim_customer": partial(store.overwrite, "warehouse", "dim_customer", plan.dim_customer),
+        "dim_product": partial(store.overwrite, "warehouse", "dim_product", plan.dim_product),
+        "dim_location": partial(store.overwrite, "warehouse", "dim_location", plan.dim_location),
+        "dim_seller_scd": partial(store.replace, "warehouse", "dim_seller_scd", plan.dim_seller_scd),
+    }
+    reject(store, "warehouse", "dim_location", warehouse.wide_places(customers, sellers))
+    return warehouse.Star(**dict(zip(write, side_by_side(list(write.values())), strict=True)))
+
+
+def side_by_side(steps: list[Callable], at_once: int = 4) -> list:
+    """Run steps that do not depend on each other, a few at a time; results in their order."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]

@@ -23,7 +23,7 @@ from lakestead.fixed_values import (
 from lakestead.functions.scalars import date_key, location_key, mean, moment, money
 from lakestead.operators import scd2
 from lakestead.operators.surrogate import hash_key
-from lakestead.schemas import conform, fits
+from lakestead.schemas import conform, fits, too_long
 
 SELLER_TRACKED = ["seller_state", "seller_city"]
 
@@ -93,22 +93,37 @@ def dim_customer(customers: DataFrame, now: dt.datetime | None = None) -> DataFr
     )
 
 
-def dim_location(customers: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Places of customers and sellers; the first row of a key wins, ordered by state."""
-    places = customers.select(
+def places(customers: DataFrame, sellers: DataFrame) -> DataFrame:
+    """One row per place key of customers and sellers; the first row of a key wins, ordered by state."""
+    found = customers.select(
         F.col("customer_state").alias("state_code"), F.col("customer_city").alias("city_name")
     ).unionByName(
         sellers.select(
             F.col("seller_state").alias("state_code"), F.col("seller_city").alias("city_name")
         )
     )
-    known = places.filter("state_code is not null and city_name is not null")
+    known = found.filter("state_code is not null and city_name is not null")
     keyed = known.withColumn("location_key", location_key(F.col("state_code"), F.col("city_name")))
     # Different (state, city) pairs may concatenate to one key, which is unique in the dimension.
     unique = keyed.groupBy("location_key").agg(F.min(F.struct("state_code", "city_name")).alias("p"))
-    rows = unique.select("location_key", "p.state_code", "p.city_name")
+    return unique.select("location_key", "p.state_code", "p.city_name")
+
+
+def wide_places(customers: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Places kept out of the dimension because a text exceeds its declared width."""
+    rows = places(customers, sellers)
+    document = F.to_json(F.struct("state_code", "city_name"))
+    return rows.select(
+        F.lit(None).cast("bigint").alias("source_raw_id"),
+        too_long(rows).alias("reject_reason"),
+        document.alias("document"),
+    ).filter("reject_reason is not null")
+
+
+def dim_location(customers: DataFrame, sellers: DataFrame) -> DataFrame:
+    """The places whose texts fit."""
     return conform(
-        fits(rows).select(
+        fits(places(customers, sellers)).select(
             "*", hash_key("location_key").alias("dim_location_id"), F.lit(True).alias("is_active")
         ),
         "warehouse.dim_location",
@@ -173,7 +188,8 @@ def fct_orders(
     )
     # An outer join cannot split a hot order on its optional side. Inner and anti join can.
     bought = lines.join(placed, "order_id")
-    empty = placed.join(items.select("order_id").distinct(), "order_id", "left_anti").select(
+    # Both take the same sums, so the items are read and shuffled once.
+    empty = placed.join(lines.select("order_id"), "order_id", "left_anti").select(
         "*",
         F.lit(None).cast("string").alias("product_id"),
         F.lit(0).alias("quantity"),

@@ -99,6 +99,10 @@ class Frames:
             )
         return _written[key]
 
+    def stored(self, entity: str) -> DataFrame:
+        """An entity of the written processed zone."""
+        return refresh.stored(self.written.store, entity)
+
     def seller_snapshot(self, day: int) -> DataFrame:
         return adapters.seller_snapshot(self.spark, self.sf_dir, day)
 

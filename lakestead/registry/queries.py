@@ -459,13 +459,14 @@ def check_fk(f: Frames) -> DataFrame:
 
 @query
 def check_fk_report(f: Frames) -> DataFrame:
-    orders, items = f.processed("orders"), f.processed("order_items")
+    """On the written processed zone, as the flow would ask."""
+    orders, items = f.stored("orders"), f.stored("order_items")
     return checks.reference_report(
         {
-            "orders.customer_id": (orders, "customer_id", f.processed("customers"), "customer_id"),
+            "orders.customer_id": (orders, "customer_id", f.stored("customers"), "customer_id"),
             "order_items.order_id": (items, "order_id", orders, "order_id"),
-            "order_items.product_id": (items, "product_id", f.processed("products"), "product_id"),
-            "order_items.seller_id": (items, "seller_id", f.processed("sellers"), "seller_id"),
+            "order_items.product_id": (items, "product_id", f.stored("products"), "product_id"),
+            "order_items.seller_id": (items, "seller_id", f.stored("sellers"), "seller_id"),
         }
     )
 
@@ -637,7 +638,7 @@ def fct_orders_strict(f: Frames) -> DataFrame:
 @query
 def star_join(f: Frames) -> DataFrame:
     s = f.written.star
-    days = F.broadcast(s.dim_date.select(F.col("date_id").alias("dim_date_id"), "year", "month"))
+    days = s.dim_date.select(F.col("date_id").alias("dim_date_id"), "year", "month")
     return (
         s.fct_orders.join(days, "dim_date_id", "left")
         .join(s.dim_customer.select("dim_customer_id", "customer_state"), "dim_customer_id", "left")

@@ -209,3 +209,10 @@ def test_rows_in_are_rows_accepted_and_rejected(spark):
     assert wide.filter("document is null").count() == 0
     fitting = valid.filter("length(customer_state) <= 2").select("customer_id").distinct().count()
     assert kept.count() == fitting
+
+
+def test_wide_places_are_quarantined(spark, built):
+    long = built.customers.limit(1).withColumn("customer_city", F.lit("x" * 60))
+    bad = warehouse.wide_places(built.customers.union(long), built.sellers).collect()
+    assert len(bad) == 1 and "x" * 60 in bad[0].document
+    assert warehouse.dim_location(long, built.sellers.limit(0)).count() == 0
