@@ -8,6 +8,7 @@ absent key. A document that does not parse, or repeats a key, gives NULL there.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from typing import Any
 
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def field_text(doc: Column, key: str) -> Column:
     """Field as text; NULL for an absent key and for a null value."""
+    if "'" in key:  # a path cannot name it
+        return F.try_element_at(F.from_json(doc, "map<string,string>"), F.lit(key))
     return F.get_json_object(doc, f"$['{key}']")
 
 
@@ -122,9 +125,15 @@ def _entries(doc: Column) -> Column:
 
 
 def each_text(df: DataFrame, doc: str, keep: list[str]) -> DataFrame:
-    """One row per top-level key with its value as text."""
-    entries = F.from_json(F.col(doc), "map<string,string>")
-    return df.select(*keep, F.explode(entries).alias("key", "value"))
+    """One row per top-level key with its value as text; of a repeated key the last value."""
+    parsed = df.select(*keep, F.map_entries(F.from_json(F.col(doc), "map<string,string>")).alias("_entries"))
+    all_of = F.col("_entries")
+
+    def is_last(entry: Column, at: Column) -> Column:
+        return ~F.exists(F.slice(all_of, at + 2, F.size(all_of)), lambda later: later["key"] == entry["key"])
+
+    entries = parsed.select(*keep, F.explode(F.filter(all_of, is_last)).alias("_entry"))
+    return entries.select(*keep, "_entry.key", "_entry.value")
 
 
 def distinct_keys(df: DataFrame, doc: str) -> DataFrame:
@@ -133,4 +142,4 @@ def distinct_keys(df: DataFrame, doc: str) -> DataFrame:
 
 def search(doc: Column, text: str) -> Column:
     """Case-insensitive substring test over the whole document text."""
-    return doc.ilike(f"%{text}%")
+    return doc.ilike("%" + re.sub(r"([\\%_])", r"\\\1", text) + "%")

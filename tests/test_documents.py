@@ -91,3 +91,14 @@ def test_sub_document_and_pretty(frame):
     assert values(frame, docs.sub_document(F.col("data"), "$.n"))[0] == '{"x":[1,2]}'
     text = values(frame, docs.pretty(F.col("data")))[0]
     assert json.loads(text) == json.loads(DOC) and len(text.split("\n")) == 7
+
+
+def test_repeated_and_quoted_keys_and_search_of_wildcards(spark, rows):
+    df = spark.createDataFrame(
+        [(1, '{"a":"1","b":null,"a":"2","o\'k":"v"}'), (2, '{"x":"50%_off\\\\"}'), (3, "{}"), (4, None)], "id long, d string"
+    )
+    got = rows(docs.each_text(df, "d", ["id"]))
+    assert got == sorted([(1, "a", "2"), (1, "b", None), (1, "o'k", "v"), (2, "x", "50%_off\\")], key=repr)
+    assert rows(df.select("id", docs.field_text(F.col("d"), "o'k")))[0] == (1, "v")
+    for text, found in (("50%_OFF", [(2,)]), ("5__", []), ("%", [(2,)]), ("_", [(2,)]), ("A", [(1,)])):
+        assert rows(df.filter(docs.search(F.col("d"), text)), "id") == found, text
