@@ -77,7 +77,8 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(documents(spark, sf_dir), trusted_ids(spark, sf_dir))
-    return judged.drop("text")
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *first, "score")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
