@@ -145,6 +145,8 @@ def judge(docs: DataFrame, text: str, ratios: DataFrame, rules: Rules) -> DataFr
 
     # Used once below, so the optimizer puts the subquery in its place and no row carries the model.
     judged = docs.withColumn(model, _dense(ratios)).withColumn(holder, bind(words(t), counts))
+    # Filters on the verdict stay above a generator; pushed below it they would judge every text again.
+    judged = judged.withColumn(holder, F.explode(F.array(F.col(holder))))
     x = F.col(holder)
     failed = (x["n_words"] < rules.min_words) | (
         100 * x["n_repeat_words"] > rules.max_repeat_percent * x["n_words"]
