@@ -182,15 +182,25 @@ def verify(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(work, "a long, b long")
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether no u of (u, v) has two neighbours v, and none is a v itself."""
+    zero, one = F.lit(0), F.lit(1)
+    ends = edges.select(F.col("u").alias("x"), one.alias("below"), zero.alias("above")).union(
+        edges.select("v", zero, one)
+    )
+    nodes = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return nodes.filter("below > 1 or (below = 1 and above = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in edges (a, b); component is the smallest id that is reached.
 
-    Alternating large-star and small-star; every round is written, so it survives lost executors.
+    Alternating large-star and small-star; every round is written, so it survives lost executors. It ends when
+    every node either is a root or has one root as its only neighbour.
     """
     ordered = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     current = written(ordered.distinct(), "edges")
-    state = None
-    while True:
+    while not _is_star_forest(current):
         # Large-star: every larger neighbour of a node is linked to the least of node and neighbours.
         both = current.union(current.select("v", "u")).toDF("u", "v")
         least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
@@ -201,10 +211,6 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.join(least, "u")
         small = down.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small_star")
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     return current.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
@@ -333,7 +339,7 @@ def near_dedup(
     more = _block_pairs(_open_units(buckets, labels, sets, near), near).distinct()
     more = written(verify(written(more, "open_pairs"), sets, near), "more_links")
     if not more.isEmpty():
-        labels = written(components(links.union(more)), "labels")
+        labels = written(_merged(labels, more), "merged_labels")
     member = feats.filter("n > 0 and id is not null").join(classes, ["d1", "d2", "n"]).select("id", "n", "rep")
     found = member.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component_id")
@@ -347,6 +353,22 @@ def near_dedup(
     )
 
 
+def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The labels after more links: components of the components, which are few."""
+    both = more
+    for end in ("a", "b"):
+        named = labels.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        both = both.join(named, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    joined = written(components(both.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))), "merges")
+    joined = joined.select(F.col("id").alias("old"), F.col("component").alias("new"))
+    known = labels.join(joined, F.col("component") == F.col("old"), "left").select(
+        "id", F.coalesce("new", "component").alias("component")
+    )
+    # Documents that had no link before are components of their own.
+    fresh = joined.join(labels, F.col("old") == F.col("id"), "left_anti")
+    return known.union(fresh.select(F.col("old").alias("id"), F.col("new").alias("component")))
+
+
 ORACLE_SQL = """
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
