@@ -9,6 +9,7 @@ from lakestead.llm import (
     exact_dedup,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     packing,
@@ -103,6 +104,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _fold(4, 2).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    made = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered={"n_chars": changed})
+    checked = made.withColumn("folded", merkle.folded(F.coalesce("claimed", "leaf")))
+    hexed = [merkle.as_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return checked.select(
+        "doc_id",
+        *hexed,
+        F.sha2(merkle.as_text(F.col("path")), 256).alias("proof_sha256"),
+        merkle.as_text(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_quality_cnn": op1_quality_cnn,
     "op2_line_dedup": op2_line_dedup,
@@ -114,6 +131,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE = {
@@ -123,4 +141,5 @@ ORACLE = {
     "op7_mixing": mixing.oracle_sql(MIX, DOMAIN_SQL),
     "op8_warc": warc.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
 }
