@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestead.llm import (
+    centroids,
     exact_dedup,
     language_id,
     line_dedup,
@@ -120,6 +121,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, found = centroids.cluster(table(tune(spark), sf_dir, "embeddings"))
+    return centroids.with_inertia(placed, found)
+
+
 QUERIES = {
     "op1_quality_cnn": op1_quality_cnn,
     "op2_line_dedup": op2_line_dedup,
@@ -132,6 +138,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLE = {
@@ -142,4 +149,5 @@ ORACLE = {
     "op8_warc": warc.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
     "op11_merkle_manifest": merkle.ORACLE_SQL,
+    "op13_centroid_clustering": centroids.oracle_sql(),
 }
