@@ -16,6 +16,7 @@ from lakestead.llm import (
     packing,
     quality_cnn,
     quality_rules,
+    sentencepieces,
     substring_dedup,
     warc,
 )
@@ -121,6 +122,24 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    if model_path is None:
+        import public_tokenizers
+
+        model_path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepieces.encode(documents(spark, sf_dir), model_path)
+    digests = encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "ids",
+    )
+    decoded = sentencepieces.decode(digests, model_path)
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, found = centroids.cluster(table(tune(spark), sf_dir, "embeddings"))
     return centroids.with_inertia(placed, found)
@@ -138,6 +157,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_sentencepiece": op12_sentencepiece,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
