@@ -127,16 +127,12 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None
         import public_tokenizers
 
         model_path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentencepieces.encode(documents(spark, sf_dir), model_path)
-    digests = encoded.select(
+    encoded = sentencepieces.encode(documents(spark, sf_dir), model_path, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "ids",
-    )
-    decoded = sentencepieces.decode(digests, model_path)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

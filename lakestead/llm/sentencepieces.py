@@ -1,27 +1,28 @@
 """SentencePiece encoding over a table of distinct marked words, and decoding.
 
-Where no piece of a model has a white-space marker behind another character, merges never cross into the next
-marked word, and a text's ids are the ids of its words one after another. A chunk is a run of markers
-with the characters behind it; a run of line feeds is a chunk of its own where no piece holds one. So each distinct chunk is
-segmented once, by the library, with a line feed in front that keeps its marker from being doubled.
+A merge never makes a symbol that is not a piece. So where two neighbouring bytes stand side by side in no piece of the
+model, as a character and a white-space marker behind it do, no merge crosses, and the ids of a text are those of its
+chunks one after another: marked words, and what else such places cut off, as punctuation. Each
+distinct chunk is segmented once, by the library, with a line feed in front that keeps its marker from being
+doubled; the ids come back to their texts by position.
 
-1. Every batch counts its distinct chunks; the sums, with the ids of each chunk, are written as the table.
-2. The most frequent chunks, at most ``hot_rows`` of ``hot_bytes`` bytes each, go to all tasks. They make up
-   most of a corpus, and a chunk that is not among them stands in at most one in ``hot_rows``
-   places, so no key of the following join is hot but a long one, which adaptive planning splits.
-3. A text becomes the numbers of its chunks, one to four bytes each, and 0 where a chunk is not among the hot ones. Those
-   chunks, with their position, meet the table in a join; their ids return to their text by position.
+1. Batches count their chunks and name those that make up a millionth of them; of these the most frequent, at most
+   ``hot_rows`` of ``hot_bytes`` bytes each, are segmented and go to all tasks. In a corpus they make up most of the text.
+2. A text becomes the numbers of its chunks, one to four bytes each, and 0 where a chunk is not among the hot ones.
+3. Those chunks are dealt by chunk, with the hash of their text and their position. The distinct ones are segmented,
+   joined back to all their places on the same exchange, and their ids go to their text. A chunk that is not
+   hot makes up less than about a millionth of the corpus, so no key of the join is hot but a very long one, which
+   adaptive planning splits.
 
-Texts without a rare chunk match nothing in the last join. A text is known by 128 bits of its hash, so no row
-number has to hold over two readings, and copies of a text share their rare chunks. Chunks are compared
-as bytes. Each step that is read twice is a table or is computed from the input alone.
+A text is known by 128 bits of its hash, so no row number has to hold over two readings, and copies of a text
+share their rare chunks. Chunks are compared as bytes.
 
-Models whose pieces cross markers, that normalise texts or are not BPE take each text as one chunk.
+Models that normalise texts, are not BPE or have pieces with a line feed take each text as one chunk.
 
 Defined cases: a null or empty text has no ids. A literal marker character counts as white space, as in the library,
 and decodes to a blank. Repeated rows and null ids are rows like any other. Very long texts are held a few times over in
 one task, as any cell; decoding works in blocks. No rows give no rows. Columns besides the text come back unchanged; one
-named ``ids`` is replaced.
+named as a result is replaced.
 """
 
 from __future__ import annotations
@@ -71,20 +72,30 @@ class Model:
         return [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
 
     @cached_property
-    def by_words(self) -> bool:
-        """Whether texts may be cut before runs of markers and around line feeds."""
-        if any(MARK in p.lstrip(MARK) or ANCHOR in p for p in self.pieces):
-            return False
-        probe = f" A  {ANCHOR} ÅÅﬁ　x\t "
+    def cuts(self) -> np.ndarray | None:
+        """Per pair of bytes whether no piece has them side by side; None where texts may not be cut."""
+        probe = f" A  {ANCHOR} ÅÅﬁ　x\t "
         plain = self.library.normalize(probe) == MARK + probe.replace(" ", MARK)
-        return plain and self._is_bpe()
+        if not plain or not self._is_bpe():
+            return None
+        apart = np.ones((256, 256), bool)
+        for i, piece in enumerate(self.pieces):
+            if not self._special(i):
+                data = np.frombuffer(piece.replace(MARK, " ").encode(), np.uint8)
+                apart[data[:-1], data[1:]] = False
+        feed = ord(ANCHOR)
+        return apart.ravel() if apart[feed].all() and apart[:, feed].all() else None
+
+    def _special(self, i: int) -> bool:
+        lib = self.library
+        return lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i) or lib.is_byte(i)
 
     def _is_bpe(self) -> bool:
         """The scores of BPE pieces are negative ranks; those of unigram pieces are logarithms."""
         return all(self.library.get_score(i).is_integer() for i in range(len(self.pieces)))
 
     def segment(self, chunks: list[str]) -> list[list[int]]:
-        if not self.by_words:
+        if self.cuts is None:
             return self.library.encode(chunks, num_threads=1)
         lead = len(self.library.encode(ANCHOR))
         return [ids[lead:] for ids in self.library.encode([ANCHOR + c for c in chunks], num_threads=1)]
@@ -92,7 +103,7 @@ class Model:
     def decode(self, ids: np.ndarray, block: int = 1 << 16) -> str:
         """The library's text of ids. Long lists are cut before marked pieces; the text
         in front of a block keeps its blank from being taken for the one at the start of a text."""
-        if len(ids) <= block or not self.by_words:
+        if len(ids) <= block or self.cuts is None:
             return self.library.decode(ids.tolist())
         marked = np.flatnonzero(self._marked[ids])
         out, start = [], 0
@@ -123,20 +134,22 @@ def shared(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def chunked(texts: pa.Array, by_words: bool) -> tuple[pa.Array, np.ndarray]:
+def chunked(texts: pa.Array, cuts: np.ndarray | None) -> tuple[pa.Array, np.ndarray]:
     """All chunks of a batch, and where those of each row begin."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if not by_words:
-        first = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0)])
-        return texts.filter(pc.not_equal(texts, "")).cast(pa.large_binary()), first
     given = pc.not_equal(texts, "")
-    blank = pa.scalar(" ", pa.large_string())
-    texts = pc.if_else(given, pc.binary_join_element_wise(blank, texts, pa.scalar("", pa.large_string())), "")
+    if cuts is None:
+        first = np.concatenate([[0], np.cumsum(given.to_numpy(zero_copy_only=False))])
+        return texts.filter(given).cast(pa.large_binary()), first
+    blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+    texts = pc.if_else(given, pc.binary_join_element_wise(blank, texts, nothing), nothing)
     data, offsets = text_buffer(pc.replace_substring(texts, MARK, " "))
-    space, feed = data == 0x20, data == 0x0A
-    begins = space | feed
-    begins[1:] &= ~(space[1:] & space[:-1]) & ~(feed[1:] & feed[:-1])
-    begins[1:] |= feed[:-1] & ~feed[1:]
+    begins = np.ones(len(data), bool)
+    pairs = data[:-1].astype(np.uint16)
+    pairs <<= 8
+    pairs |= data[1:]
+    begins[1:] = cuts[pairs]
+    begins &= (data & 0xC0) != 0x80  # only before a character
     begins[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(begins)
     ends = np.append(starts, len(data)).astype(np.int64)
@@ -176,68 +189,73 @@ def from_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def chunk_table(texts: DataFrame, text: str, model: Broadcast) -> DataFrame:
-    """(chunk, n, ids): every distinct chunk with its count and its ids as bytes."""
+def segmented(chunks: DataFrame, model: Broadcast) -> DataFrame:
+    """(chunk, ids as bytes) of distinct chunks."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_words = loaded(model.value).by_words
-        for batch in pieces(batches, text, 16 << 20):
-            found = pc.value_counts(chunked(batch.column(text), by_words)[0])
-            yield pa.RecordBatch.from_arrays(
-                [found.field("values").cast(pa.binary()), found.field("counts")], ["chunk", "n"]
-            )
-
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = loaded(model.value)
         kind = id_type(m)
         for batch in pieces(batches, "chunk", 1 << 20):
             ids = to_bytes(m.segment(as_text(batch.column("chunk").to_pylist())), kind)
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, pa.binary())], ["chunk", "ids"])
+
+    return chunks.select("chunk").mapInArrow(work, "chunk binary, ids binary")
+
+
+def named_chunks(texts: DataFrame, text: str, model: Broadcast) -> DataFrame:
+    """(chunk, n): chunks that are frequent in a batch, and how often they stand in such batches."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = loaded(model.value).cuts
+        for batch in pieces(batches, text, 16 << 20):
+            found = pc.value_counts(chunked(batch.column(text), cuts)[0])
+            counts = found.field("counts").to_numpy(zero_copy_only=False)
+            named = pa.array(np.flatnonzero(counts >= max(2, counts.sum() >> 20)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("n"), pa.array(ids, pa.binary())], ["chunk", "n", "ids"]
+                [found.field("values").take(named).cast(pa.binary()), found.field("counts").take(named)], ["chunk", "n"]
             )
 
-    counted = texts.select(text).mapInArrow(count, "chunk binary, n long")
-    distinct = counted.groupBy("chunk").agg(F.sum("n").alias("n"))
-    return distinct.mapInArrow(segment, "chunk binary, n long, ids binary")
+    named = texts.select(text).mapInArrow(count, "chunk binary, n long")
+    return named.groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
 def id_type(model: Model) -> str:
     return "<u2" if len(model.pieces) <= 1 << 16 else "<u4"
 
 
-def least_hot(table: DataFrame, hot: Hot) -> int | None:
-    """The least count of a hot chunk, so that at most hot.rows chunks have it; by halves of octaves."""
-    short = table.filter(F.octet_length("chunk") <= hot.bytes)
+def least_hot(short: DataFrame, most: int) -> int | None:
+    """The least count of a hot chunk, so that at most that many chunks have it; by eighths of octaves."""
     octave = F.floor(F.log2("n") * 8).cast("int")
     sizes = short.groupBy(octave.alias("o")).agg(F.count("*").alias("c"), F.min("n").alias("least")).collect()
     total, least = 0, None
     for o in sorted(sizes, key=lambda r: -r.o):  # at most 8 * 63 rows
         total += o.c
-        if total > hot.rows:
+        if total > most:
             break
         least = o.least
     return least
 
 
-def hot_chunks(spark: SparkSession, table: DataFrame, hot: Hot) -> tuple[Broadcast, int | None]:
+def hot_chunks(named: DataFrame, model: Broadcast, hot: Hot) -> tuple[pa.Array, pa.Array]:
     """The hot chunks by falling count, with their ids; at most hot.rows rows of hot.bytes bytes."""
-    least = least_hot(table, hot)
+    short = written(named.filter(F.octet_length("chunk") <= hot.bytes), "named_chunks")
+    least = least_hot(short, hot.rows)
     if least is None:
-        return spark.sparkContext.broadcast((pa.array([], pa.large_binary()), pa.array([], pa.binary()))), None
-    short = table.filter((F.octet_length("chunk") <= hot.bytes) & (F.col("n") >= least))
-    rows = short.toArrow().combine_chunks().sort_by([("n", "descending"), ("chunk", "ascending")])
-    chunks = rows["chunk"].combine_chunks().cast(pa.large_binary())
-    return spark.sparkContext.broadcast((chunks, rows["ids"].combine_chunks())), least
+        return pa.array([], pa.large_binary()), pa.array([], pa.binary())
+    frequent = short.filter(F.col("n") >= least)
+    counts = frequent.toArrow().combine_chunks()
+    ids = segmented(frequent, model).toArrow().combine_chunks()
+    rows = counts.join(ids, "chunk").sort_by([("n", "descending"), ("chunk", "ascending")])
+    return rows["chunk"].combine_chunks().cast(pa.large_binary()), rows["ids"].combine_chunks()
 
 
 def looked_up(model: Broadcast, hot: Broadcast, text: str, rest: list[str], rare: bool) -> Callable:
     """Rows of texts to rows with their codes, or to one row per rare chunk."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_words = loaded(model.value).by_words
-        known = hot.value[0]
+        cuts, known = loaded(model.value).cuts, hot.value[0]
         for batch in pieces(batches, text, 16 << 20):
-            chunks, first = chunked(batch.column(text), by_words)
+            chunks, first = chunked(batch.column(text), cuts)
             at = pc.fill_null(pc.index_in(chunks, value_set=known), -1).to_numpy(zero_copy_only=False)
             if rare:
                 missing = np.flatnonzero(at < 0)
@@ -256,11 +274,12 @@ def looked_up(model: Broadcast, hot: Broadcast, text: str, rest: list[str], rare
     return work
 
 
-def filled(model: Broadcast, hot: Broadcast, rest: list[str]) -> Callable:
-    """Rows with codes and the ids of their rare chunks to rows with ids."""
+def filled(model: Broadcast, hot: Broadcast, rest: list[str], decoded: bool) -> Callable:
+    """Rows with codes and the ids of their rare chunks to rows with ids, and with their text if asked for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = id_type(loaded(model.value))
+        m = loaded(model.value)
+        kind = id_type(m)
         width = np.dtype(kind).itemsize
         known, known_at = values_of(hot.value[1])
         known, known_at = known.view(kind), known_at // width
@@ -283,11 +302,14 @@ def filled(model: Broadcast, hot: Broadcast, rest: list[str]) -> Callable:
             source_len[: len(hot_at)] = np.diff(known_at)[hot_at]
             source_at[place] = extra_at[:-1] + len(known)
             source_len[place] = np.diff(extra_at)
-            ids = np.concatenate([known, extra]).astype(np.int32)
+            ids = np.concatenate([known, extra])
             ends = np.concatenate([[0], np.cumsum(source_len)])
             take = np.arange(ends[-1]) + np.repeat(source_at - ends[:-1], source_len)
-            lists = pa.ListArray.from_arrays(pa.array(ends[first].astype(np.int32)), pa.array(ids[take]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], lists], [*rest, "ids"])
+            flat, rows = ids[take].astype(np.int32), ends[first].astype(np.int32)
+            out = [*[batch.column(c) for c in rest], pa.ListArray.from_arrays(pa.array(rows), pa.array(flat))]
+            if decoded:
+                out.append(pa.array([m.decode(flat[i:j]) for i, j in zip(rows, rows[1:], strict=False)], pa.string()))
+            yield pa.RecordBatch.from_arrays(out, [*rest, "ids", "decoded"][: len(out)])
 
     return work
 
@@ -319,10 +341,11 @@ def _unpacked(rows: DataFrame, names: list[str], without: str, *new: str) -> Dat
     return rows.select(*back, *new)
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", hot: Hot = Hot()) -> DataFrame:
-    """docs without the text, with ids: array<int>."""
-    spark = docs.sparkSession
-    model = shared(spark, model_path)
+def encode(
+    docs: DataFrame, model_path: str, text: str = "text", hot: Hot = Hot(), decoded: bool = False
+) -> DataFrame:
+    """docs without the text, with ids: array<int>. ``decoded`` adds what decode gives for them, in the same pass."""
+    model = shared(docs.sparkSession, model_path)
     body = F.coalesce(F.col("text"), F.lit(""))
     texts = _carried(docs, text).withColumnRenamed(text, "text").select(
         "carried",
@@ -330,20 +353,25 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", hot: Hot = Hot(
         F.xxhash64(F.lit(1), body).alias("h2"),
         body.alias("text"),
     )
-    table = written(chunk_table(texts, "text", model), "chunks")
-    frequent, least = hot_chunks(spark, table, hot)
+    frequent = docs.sparkSession.sparkContext.broadcast(hot_chunks(named_chunks(texts, "text", model), model, hot))
     coded = _with_schema(
         texts, looked_up(model, frequent, "text", ["carried", "h1", "h2"], False), "h1 long, h2 long, codes binary"
     )
     rare = texts.select("h1", "h2", "text").mapInArrow(
         looked_up(model, frequent, "text", ["h1", "h2"], True), "h1 long, h2 long, k int, chunk binary"
     )
-    others = table if least is None else table.filter((F.octet_length("chunk") > hot.bytes) | (F.col("n") < least))
-    met = rare.join(others.select("chunk", "ids"), "chunk").select("h1", "h2", F.struct("k", "ids").alias("at"))
-    found = met.groupBy("h1", "h2").agg(F.array_sort(F.collect_set("at")).alias("found"))
+    # One exchange serves the distinct chunks and the places that they stand in; it is the same for both
+    # because both take all of its columns.
+    rare = rare.repartition("chunk")
+    distinct = rare.groupBy("chunk").agg(F.max(F.struct("h1", "h2", "k")).alias("place"))
+    met = rare.join(segmented(distinct, model), "chunk").select("h1", "h2", "k", "ids")
+    # Dealt as they are; sets begun before the exchange would be larger.
+    met = met.repartition("h1", "h2")
+    found = met.groupBy("h1", "h2").agg(F.array_sort(F.collect_set(F.struct("k", "ids"))).alias("found"))
     joined = coded.join(found, ["h1", "h2"], "left").select("carried", "codes", "found")
-    done = _with_schema(joined, filled(model, frequent, ["carried"]), "ids array<int>")
-    return _unpacked(done, docs.columns, text, "ids")
+    new = ["ids array<int>", "decoded string"] if decoded else ["ids array<int>"]
+    done = _with_schema(joined, filled(model, frequent, ["carried"], decoded), *new)
+    return _unpacked(done, docs.columns, text, *[c.split()[0] for c in new])
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:

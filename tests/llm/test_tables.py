@@ -164,28 +164,48 @@ def test_ids_and_texts_are_those_of_the_library(spark, hot):
     assert [back[i] for i in range(len(texts))] == decoded
 
 
+def test_ids_and_texts_in_one_pass(spark):
+    texts = TEXTS + random_texts(40)
+    ids, decoded = library_says(texts)
+    got = sentencepieces.encode(texts_frame(spark, texts), MODEL, decoded=True)
+    rows = {r.n: r for r in got.collect()}
+    assert [(rows[i].ids, rows[i].decoded) for i in range(len(texts))] == list(zip(ids, decoded, strict=True))
+
+
+def test_chunks_are_cut_where_no_piece_crosses():
+    model = sentencepieces.Model(open(MODEL, "rb").read())
+    chunks, first = sentencepieces.chunked(pa.array(["the cat,\n\nthe  cat", None, "", "a▁é"]), model.cuts)
+    assert chunks.to_pylist() == [
+        b" the", b" cat", b",", b"\n", b"\n", b"the", b"  cat", b" a", " é".encode()
+    ]
+    assert first.tolist() == [0, 7, 7, 7, 9]
+    assert [len(i) for i in model.segment([" the", ",", "\n", " "])] == [1, 1, 1, 1]
+
+
 def test_each_distinct_chunk_is_segmented_once(spark):
-    texts = ["the cat\nthe cat", " the cat", "the  cat"] * 30
     model = sentencepieces.shared(spark, MODEL)
-    table = sentencepieces.chunk_table(texts_frame(spark, texts).select("text"), "text", model)
-    got = {bytes(r.chunk).decode(): r.n for r in table.collect()}
-    assert got == {" the": 60, " cat": 60, "\n": 30, "the": 30, " cat": 120 - 30, "  the": 30, "  cat": 30}
+    texts = texts_frame(spark, ["the cat, the dog, the end"] * 30 + ["once"]).select("text").coalesce(1)
+    named = sentencepieces.named_chunks(texts, "text", model)
+    assert {bytes(r.chunk).decode(): r.n for r in named.collect()} == {
+        " the": 90, " cat": 30, ",": 60, " dog": 30, " end": 30
+    }
+    chunks, ids = sentencepieces.hot_chunks(named, model, sentencepieces.Hot(2, 32))
+    assert chunks.to_pylist() == [b" the", b","] and len(ids) == 2
 
 
 def test_the_hot_chunks_keep_their_bound(spark):
-    rows = [(bytes(f"c{i}", "ascii"), i // 7 + 1, b"") for i in range(500)] + [(b"x" * 99, 10**6, b"")]
-    table = spark.createDataFrame(rows, "chunk binary, n long, ids binary")
+    rows = [(bytes(f"c{i}", "ascii"), i // 7 + 1) for i in range(500)] + [(b"x" * 99, 10**6)]
+    table = spark.createDataFrame(rows, "chunk binary, n long")
+    model = sentencepieces.shared(spark, MODEL)
     for most in (0, 1, 7, 50, 1000):
-        hot, least = sentencepieces.hot_chunks(spark, table, sentencepieces.Hot(most, 32))
-        assert len(hot.value[0]) <= most
-        expected = sum(1 for c, n, _ in rows if len(c) <= 32 and least is not None and n >= least)
-        assert len(hot.value[0]) == expected
-        assert most < 50 or expected > 0
+        chunks, ids = sentencepieces.hot_chunks(table, model, sentencepieces.Hot(most, 32))
+        assert len(chunks) == len(ids) <= most and b"x" * 99 not in chunks.to_pylist()
+        assert most < 50 or len(chunks) > 0
 
 
 def test_long_lists_decode_in_blocks():
     model = sentencepieces.Model(open(MODEL, "rb").read())
-    assert model.by_words
+    assert model.cuts is not None
     for text in [" ".join(random_texts(200)), "▁▁ x " * 300, "漢字🙂" * 400, " lead", "é" * 500]:
         ids = np.array(model.library.encode(text))
         assert model.decode(ids, block=16) == model.library.decode(ids.tolist())
@@ -200,8 +220,8 @@ def test_numbers_of_seven_bits():
 
 
 def test_models_that_cross_words_take_whole_texts(spark, monkeypatch):
-    monkeypatch.setattr(sentencepieces.Model, "by_words", False)
-    chunks, first = sentencepieces.chunked(pa.array(["a b", None, "", "c\nd"]), False)
+    monkeypatch.setattr(sentencepieces.Model, "cuts", None)
+    chunks, first = sentencepieces.chunked(pa.array(["a b", None, "", "c\nd"]), None)
     assert chunks.to_pylist() == [b"a b", b"c\nd"] and first.tolist() == [0, 1, 1, 1, 2]
     model = sentencepieces.Model(open(MODEL, "rb").read())
     assert model.segment(["a b"]) == [model.library.encode("a b")]
