@@ -74,7 +74,7 @@ def _contains(value: Column, pattern: Any) -> Column:
     if isinstance(pattern, dict):
         matches = kind.startswith("OBJECT")
         for key, wanted in pattern.items():
-            matches = matches & _contains(F.variant_get(value, f"$['{key}']", "variant"), wanted)
+            matches = matches & _contains(member(value, key), wanted)
         return matches
     if isinstance(pattern, list):
         elements = F.try_variant_get(value, "$", "array<variant>")
@@ -93,6 +93,14 @@ def _contains(value: Column, pattern: Any) -> Column:
     return (kind == "STRING") & (F.try_variant_get(value, "$", "string") == F.lit(pattern))
 
 
+def member(value: Column, key: str) -> Column:
+    """The member of a VARIANT object by any name; a path can quote one kind of quotes."""
+    for quote in "'\"":
+        if quote not in key:
+            return F.try_variant_get(value, f"$[{quote}{key}{quote}]", "variant")
+    return F.try_element_at(F.try_variant_get(value, "$", "map<string,variant>"), F.lit(key))
+
+
 def _matcher(wanted: Any) -> Callable[[Column], Column]:
     return lambda element: F.coalesce(_contains(element, wanted), F.lit(False))
 
@@ -116,8 +124,50 @@ def set_field(doc: Column, key: str, value: Any, create_missing: bool = True) ->
 
 
 def pretty(doc: Column) -> Column:
-    """One line per top-level field; nested values stay on the line of their field."""
-    return F.to_json(_entries(doc), {"pretty": "true"})
+    """The document with a line per member and element, four blanks deeper per level; NULL where it does not parse.
+
+    The text is cut into tokens, and depth is a running sum of the brackets outside strings. Tokens are put together in
+    blocks of about the root of their number, so long documents are not copied once per token. Members keep
+    their order.
+    """
+    tokens = F.regexp_extract_all(doc, F.lit(_TOKENS), F.lit(0))
+    block = F.ceil(F.sqrt(F.size(tokens))).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(tokens) / block).cast("int") - 1),
+        lambda n: F.slice(tokens, n * block + 1, block),
+    )
+
+    def state(depth: Column, last: Column, text: Column) -> Column:
+        return F.struct(depth.alias("depth"), last.alias("last"), text.alias("text"))
+
+    def line(depth: Column) -> Column:
+        return F.concat(F.lit("\n"), F.repeat(F.lit("    "), depth))
+
+    def step(at: Column, token: Column) -> Column:
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        first = at["last"].isin("{", "[")
+        lead = (
+            F.when(closes, F.when(first, "").otherwise(line(at["depth"] - 1)))
+            .when(first | (at["last"] == ","), line(at["depth"]))
+            .when(at["last"] == ":", " ")
+            .otherwise("")
+        )
+        depth = at["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        return state(depth, token, F.concat(at["text"], lead, token))
+
+    def add(done: Column, part: Column) -> Column:
+        start = state(done["depth"], done["last"], F.lit(""))
+        # A lambda variable is computed once.
+        return F.transform(
+            F.array(F.aggregate(part, start, step)),
+            lambda s: state(s["depth"], s["last"], F.concat(done["text"], s["text"])),
+        )[0]
+
+    whole = F.aggregate(blocks, state(F.lit(0), F.lit(""), F.lit("")), add, lambda s: s["text"])
+    return F.when(F.try_parse_json(doc).isNotNull(), whole)
+
+
+_TOKENS = r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"]+'
 
 
 def _entries(doc: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakestead.fixed_values import ETL_USER, REASON_CLOSED, REASON_INITIAL, REASON_UPDATED
+from lakestead.operators.dedupe import first_per_key
 
 VERSION_COLUMNS = ("is_active", "is_current", "valid_from", "valid_to", "change_reason", "created_by")
 
@@ -147,6 +148,68 @@ def apply(
     return history.unionByName(versions.select(*[f"row.{c}" for c in columns]))
 
 
+def splice(existing: DataFrame | None, sightings: DataFrame, key: str, tracked: list[str], on: str) -> DataFrame:
+    """The dimension after sightings of any days, late ones too.
+
+    ``sightings`` holds a key at most once a day (``on``) and, for each of its keys, all that is known from
+    its first day on. Versions and sightings of such a key are put on one time line from that day; where
+    a tracked column differs from the neighbour before, a version begins, which ends where the next one
+    does. The version in force on the first day is cut or goes on; versions before it, and all other keys, stay
+    as they are. So all orders of delivery of the same sightings lead to the same history. A sighting
+    replaces a version that begins on its day. A version takes its other columns from the sighting that opens it.
+    """
+    attributes = [c for c in sightings.columns if c not in (key, on)]
+    columns = [key, *attributes, *VERSION_COLUMNS]
+    seen = sightings.filter(F.col(key).isNotNull() & F.col(on).isNotNull())
+    line = seen.select(
+        key, *attributes, F.col(on).alias("valid_from"), F.lit(0).alias("_rank"), F.lit(False).alias("_base"),
+        F.lit(False).alias("_first"), F.lit(ETL_USER).alias("created_by"),
+    )
+    stay = None
+    if existing is not None:
+        first = seen.groupBy(key).agg(F.min(on).alias("_from"))
+        marked = existing.select(*columns).join(first, key, "left")
+        before = F.col("valid_from") < F.col("_from")
+        of_key = Window.partitionBy(key)
+        touched = marked.filter("_from is not null").withColumns(
+            {
+                "_last": F.max(F.when(before, F.col("valid_from"))).over(of_key),
+                "_opened": F.min("valid_from").over(of_key),
+            }
+        )
+        base = F.col("valid_from").eqNullSafe(F.col("_last"))
+        stay = marked.filter("_from is null").select(*columns).unionByName(
+            touched.filter(F.col("valid_from") < F.col("_last")).select(*columns)
+        )
+        on_line = touched.filter(F.coalesce(F.col("valid_from") >= F.col("_last"), F.lit(True))).select(
+            key, *attributes, "valid_from", F.lit(1).alias("_rank"), base.alias("_base"),
+            (base & (F.col("valid_from") == F.col("_opened"))).alias("_first"), "created_by",
+        )
+        line = first_per_key(line.unionByName(on_line), [key, "valid_from"], [F.asc("_rank")])
+    order = Window.partitionBy(key).orderBy("valid_from")
+    values = F.struct(*tracked)
+    begins = F.lag(values).over(order).isNull() | ~values.eqNullSafe(F.lag(values).over(order))
+    # Without an earlier version the first row of the line is the first of its key.
+    based = F.max("_base").over(Window.partitionBy(key))
+    first_row = F.col("_first") | (~based & (F.row_number().over(order) == 1))
+    starts = line.withColumns({"_begins": begins, "_first": first_row}).filter("_begins")
+    ends = F.lead("valid_from").over(order)
+    rebuilt = starts.withColumn("valid_to", ends).select(
+        key,
+        *attributes,
+        F.lit(True).alias("is_active"),
+        F.col("valid_to").isNull().alias("is_current"),
+        "valid_from",
+        "valid_to",
+        F.when(F.col("valid_to").isNotNull(), REASON_CLOSED)
+        .when(F.col("_first"), REASON_INITIAL)
+        .otherwise(REASON_UPDATED)
+        .alias("change_reason"),
+        "created_by",
+    )
+    return rebuilt if stay is None else stay.unionByName(rebuilt)
+
+
 def current(dimension: DataFrame) -> DataFrame:
     return dimension.filter("is_current")
 

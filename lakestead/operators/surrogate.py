@@ -2,7 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+
+
+class KeyCollision(ValueError):
+    """Different rows of a dimension share a surrogate key."""
+
+
+def guarded(df: DataFrame, key: str, natural: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows of a dimension, and a check that raises when a key was given twice.
+
+    The rows of a key are counted on their way into the write, so the check needs no second pass; it is asked
+    after the write, before the table is switched.
+    """
+    seen = Observation(f"keys-{key}-{uuid.uuid4().hex}")
+    same = F.count("*").over(Window.partitionBy(key))
+    clash = F.col("_same") > 1
+    watched = df.withColumn("_same", same).observe(
+        seen,
+        F.count_if(clash).alias("rows"),
+        F.min(F.when(clash, F.col(natural).cast("string"))).alias("one"),
+        F.max(F.when(clash, F.col(natural).cast("string"))).alias("other"),
+    )
+
+    def check() -> None:
+        if seen.get["rows"]:
+            raise KeyCollision(
+                f"{seen.get['rows']} rows share a {key}; among them are {seen.get['one']!r} and {seen.get['other']!r}"
+            )
+
+    return watched.drop("_same"), check
 
 
 def hash_key(*natural: str | Column) -> Column:

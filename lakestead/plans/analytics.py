@@ -300,7 +300,7 @@ def _customers(star: Star) -> DataFrame:
     )
     per_customer = per_order.groupBy("dim_customer_id").agg(
         F.count("*").alias("order_frequency"),
-        F.sum("value").cast("decimal(18,2)").alias("customer_lifetime_value"),
+        F.sum("value").cast("decimal(24,2)").alias("customer_lifetime_value"),
         F.sum("lines").alias("lines"),
     )
     average = ratio(F.col("customer_lifetime_value"), F.col("lines"), "decimal(24,10)")
@@ -314,7 +314,7 @@ def customer_segments(star: Star, bounds: Bounds = SEGMENT_BOUNDS) -> DataFrame:
         .groupBy(segment_of(ltv, bounds).alias("customer_segment"))
         .agg(
             F.count("*").alias("segment_size"),
-            mean(ltv, "decimal(12,2)").alias("avg_lifetime_value"),
+            mean(ltv, "decimal(18,2)").alias("avg_lifetime_value"),
             F.sum(ltv).cast("decimal(38,2)").alias("segment_total_value"),
             mean(F.col("order_frequency"), "decimal(18,6)").alias("avg_orders_per_customer"),
             mean(F.col("avg_order_value"), "decimal(18,6)").alias("segment_avg_order_value"),
@@ -338,7 +338,7 @@ def customer_segments_direct(
     per_customer = (
         valid.join(per_order, "order_id", "left")
         .groupBy("customer_id")
-        .agg(F.sum("order_value").cast("decimal(18,2)").alias("customer_lifetime_value"))
+        .agg(F.sum("order_value").cast("decimal(24,2)").alias("customer_lifetime_value"))
     )
     ltv = F.col("customer_lifetime_value")
     return (
@@ -348,7 +348,7 @@ def customer_segments_direct(
         .groupBy(segment_of(ltv, bounds).alias("customer_segment"))
         .agg(
             F.count("*").alias("segment_size"),
-            mean(ltv, "decimal(12,2)").alias("avg_lifetime_value"),
+            mean(ltv, "decimal(18,2)").alias("avg_lifetime_value"),
             F.sum(ltv).cast("decimal(38,2)").alias("segment_total_value"),
         )
         .orderBy(F.desc_nulls_first("avg_lifetime_value"))
@@ -374,7 +374,7 @@ def dashboard_customer(
     segments = profiles.groupBy("segment").agg(
         F.count("*").alias("customer_count"),
         mean(ltv, "decimal(18,2)").alias("avg_ltv"),
-        F.sum(ltv).cast("decimal(18,2)").alias("total_value"),
+        F.sum(ltv).cast("decimal(38,2)").alias("total_value"),
         mean(F.col("order_frequency"), "decimal(12,2)").alias("avg_orders"),
         *(
             [F.percentile_approx(ltv, 0.5).cast("decimal(18,2)").alias("median_ltv")]
@@ -406,7 +406,7 @@ def chart_segments(star: Star, bounds: Bounds = SEGMENT_BOUNDS) -> DataFrame:
     segments = _profiles(star, bounds).groupBy("segment").agg(
         F.count("*").alias("customer_count"),
         mean(ltv, "decimal(18,6)").alias("avg_lifetime_value"),
-        F.sum(ltv).cast("decimal(18,2)").alias("segment_total_value"),
+        F.sum(ltv).cast("decimal(38,2)").alias("segment_total_value"),
         mean(F.col("order_frequency"), "decimal(18,6)").alias("avg_orders"),
     )
     return segments.select(

@@ -11,9 +11,11 @@ from lakestead.operators.dedupe import best_per_key
 from lakestead.schemas import conform, fits, too_long
 
 
-def orders_refined(processed: DataFrame, dedupe: bool = True) -> DataFrame:
+def orders_refined(
+    processed: DataFrame, dedupe: bool = True, keep: list[str] | None = None
+) -> DataFrame:
     """Valid orders with delivery time, punctuality and purchase month. Documents loaded twice
-    leave one row per order; ``dedupe=False`` keeps all rows."""
+    leave one row per order; ``dedupe=False`` keeps all rows. ``keep`` names further columns."""
     valid = fits(processed.filter("is_valid"))
     delivered, estimated = "order_delivered_customer_date", "order_estimated_delivery_date"
     on_time = (F.col("order_status") == "delivered") & (F.col(delivered) <= F.col(estimated))
@@ -32,10 +34,11 @@ def orders_refined(processed: DataFrame, dedupe: bool = True) -> DataFrame:
             month_start(F.col("order_purchase_timestamp")).alias("purchase_month"),
         ),
         "curated.orders_refined",
+        keep,
     )
 
 
-def order_items_refined(processed: DataFrame) -> DataFrame:
+def order_items_refined(processed: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """All items with an order id, blank ones included."""
     zero = F.lit(0).cast("decimal(12,2)")
     total = F.coalesce("price", zero) + F.coalesce("freight_value", zero)
@@ -44,18 +47,19 @@ def order_items_refined(processed: DataFrame) -> DataFrame:
             "*", F.col("source_raw_id").alias("order_item_id"), total.alias("total_item_value")
         ),
         "curated.order_items_refined",
+        keep,
     )
 
 
-def customers_refined(processed: DataFrame) -> DataFrame:
-    return _best_valid(processed, "customer_id", "curated.customers_refined")
+def customers_refined(processed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return _best_valid(processed, "customer_id", "curated.customers_refined", keep)
 
 
-def sellers_refined(processed: DataFrame) -> DataFrame:
-    return _best_valid(processed, "seller_id", "curated.sellers_refined")
+def sellers_refined(processed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return _best_valid(processed, "seller_id", "curated.sellers_refined", keep)
 
 
-def _best_valid(processed: DataFrame, key: str, table: str) -> DataFrame:
+def _best_valid(processed: DataFrame, key: str, table: str, keep: list[str] | None) -> DataFrame:
     valid = fits(processed.filter("is_valid"))
     best = best_per_key(
         conform(valid, table, keep=["source_raw_id"]),
@@ -63,14 +67,16 @@ def _best_valid(processed: DataFrame, key: str, table: str) -> DataFrame:
         F.col("data_quality_score"),
         "source_raw_id",
     )
-    return conform(best, table)
+    return conform(best, table, keep)
 
 
-def oversized(processed: DataFrame, wanted: str = "is_valid") -> DataFrame:
+def oversized(
+    processed: DataFrame, wanted: str = "is_valid", keep: list[str] | None = None
+) -> DataFrame:
     """Wanted rows kept out of the curated zone because a text exceeds its declared width."""
     return (
         processed.filter(wanted)
-        .select("source_raw_id", too_long(processed).alias("reject_reason"))
+        .select("source_raw_id", too_long(processed).alias("reject_reason"), *(keep or []))
         .filter("reject_reason is not null")
     )
 

@@ -27,7 +27,7 @@ from lakestead.fixed_values import (
 from lakestead.functions import documents as docs
 from lakestead.functions.scalars import is_blank, strip, to_timestamp_or_null
 from lakestead.operators.quality import SCORE, Rule, assess
-from lakestead.schemas import conform, schema
+from lakestead.schemas import conform, schema, too_long
 
 MALFORMED = "malformed document"
 UNREADABLE = "unreadable: "
@@ -242,10 +242,12 @@ def _stored(
         return adjust.get(name, lambda _, c: c)(name, F.col(f"_{name}"))
 
     names = [c for c in df.columns if c not in ("data", "_malformed")]
+    # The document stays with rows that this zone or, for their width, the next one turns away.
+    turned_away = reason.isNotNull() | too_long(df.select(*names)).isNotNull()
     out = converted.select(
         *[value(n).alias(n) for n in names],
         reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.col("data")).alias("document"),
+        F.when(turned_away, F.col("data")).alias("document"),
     )
     record = conform(out, table, keep=["reject_reason", "document"])
     # Filters on score or reason stay above a generator. Without it they would be pushed down to

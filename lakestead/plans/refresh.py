@@ -15,12 +15,24 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestead.plans import curated, processed, warehouse
-from lakestead.schemas import TABLES, schema
-from lakestead.sources.files import CORRUPT, ZoneStore, csv_tables, scan_csv, text_schema
-from lakestead.sources.raw import observed, to_documents, without_redelivered
+from lakestead.operators.surrogate import guarded
+from lakestead.plans import curated, processed, seller_history, warehouse
+from lakestead.schemas import TABLES, conform, schema
+from lakestead.sources.files import (
+    CORRUPT,
+    ZoneStore,
+    csv_tables,
+    partition_folder,
+    scan_csv,
+    text_schema,
+)
+from lakestead.sources.index import ContentIndex
+from lakestead.sources.raw import observed, to_documents
 
 ACCEPTED, REJECTED = "accepted", "rejected"
+#: The partition of a processed table that a whole refresh writes.
+WHOLE = "all"
+ENTITY_OF = {"geolocation": "geolocations"}
 _audit = Lock()
 
 
@@ -40,35 +52,54 @@ def ingest(
     df: DataFrame,
     loaded_at: dt.datetime,
     raw_id: str | None = None,
+    only_new: bool = False,
 ) -> DataFrame:
-    """Add one load to the raw zone and its row to the audit; returns the documents of all loads.
+    """Add one load to the raw zone and its row to the audit; returns the documents of all loads, or
+    with ``only_new`` those of this one.
 
     A load is a partition of its own: running it again replaces it instead of adding copies. A document
-    that an earlier load brought stays in the raw table but is not returned again. Ids that are
-    not given go on after the highest of the other loads.
+    that an earlier load brought stays in the raw table but is not returned again. Ids that are not
+    given go on after the highest of the other loads, and stay where they were when the load is run again.
+    A load that fails leaves an audit row that says so.
     """
-    load_id = loaded_at.strftime("%Y%m%dT%H%M%S")
+    load_id = load_name(loaded_at)
     name = f"{table}_raw"
     documents = to_documents(df, table, loaded_at, raw_id).withColumn("load_id", F.lit(load_id))
-    others = store.read_if_there("raw", name)
-    others = None if others is None else others.filter(F.col("load_id") != load_id)
-    if others is not None and raw_id is None:
-        last = others.agg(F.max("raw_id")).first()[0]
-        documents = documents.withColumn("raw_id", F.col("raw_id") + F.lit((last if last is not None else -1) + 1))
+    stored = store.read_if_there("raw", name)
+    if stored is not None and raw_id is None:
+        own = F.col("load_id") == load_id
+        ids = stored.agg(F.min(F.when(own, F.col("raw_id"))), F.max(F.when(~own, F.col("raw_id")))).first()
+        first = ids[0] if ids[0] is not None else (ids[1] if ids[1] is not None else -1) + 1
+        documents = documents.withColumn("raw_id", F.col("raw_id") + F.lit(first))
     counted, seen = observed(documents, f"{table}-{load_id}")
     writer = counted.write.mode("overwrite").partitionBy("load_id")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", name))
-    n = seen.get["n"]
-    audit = store.spark.createDataFrame(
-        [(table, n, loaded_at, f"source_data.{table}", n, "loaded", load_id)],
+    try:
+        writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", name))
+    except Exception:
+        audit(store, table, loaded_at, 0, "failed")
+        raise
+    audit(store, table, loaded_at, seen.get["n"], "loaded")
+    # The schema is known, also where no load had a row.
+    loads = store.spark.read.schema(documents.schema).parquet(store.path("raw", name))
+    index = ContentIndex(store, "raw", name)
+    own = loads.filter(F.col("load_id") == load_id)
+    index.enter(own.select(F.col("file_hash").alias("content")), load_id)
+    return index.fresh(own if only_new else loads, "file_hash")
+
+
+def load_name(loaded_at: dt.datetime) -> str:
+    return loaded_at.strftime("%Y%m%dT%H%M%S")
+
+
+def audit(store: ZoneStore, table: str, loaded_at: dt.datetime, n: int, status: str) -> None:
+    """Replace the audit row of a load."""
+    row = store.spark.createDataFrame(
+        [(table, n, loaded_at, f"source_data.{table}", n, status, load_name(loaded_at))],
         schema("raw.data_metadata").add("load_id", "string"),
     )
-    writer = audit.write.mode("overwrite").partitionBy("load_id", "table_name")
+    writer = row.write.mode("overwrite").partitionBy("load_id", "table_name")
     with _audit:  # one table for all loads, which may run side by side
         writer.option("partitionOverwriteMode", "dynamic").parquet(store.path("raw", "data_metadata"))
-    loads = store.read("raw", name)
-    # A first load has nothing to be compared with.
-    return loads if others is None or others.isEmpty() else without_redelivered(loads)
 
 
 def reject(store: ZoneStore, zone: str, entity: str, bad: DataFrame) -> None:
@@ -81,15 +112,21 @@ def reject(store: ZoneStore, zone: str, entity: str, bad: DataFrame) -> None:
     rows.write.mode("overwrite").parquet(f"{store.path('quarantine', 'rows')}/zone={zone}/entity={entity}")
 
 
-def clean(store: ZoneStore, entity: str, documents: DataFrame, **modes: str) -> DataFrame:
+def clean(
+    store: ZoneStore, entity: str, documents: DataFrame, load_id: str | None = None, **modes: str
+) -> DataFrame:
     """Processed table of an entity. Good rows and those that cannot be stored are written in one
-    pass, as two partitions of the table."""
+    pass, as two partitions. With ``load_id`` the documents are those of one load and add to the table
+    or replace what that load brought before; otherwise they are the whole table."""
     rows = processed.PROCESS[entity](documents, **modes)
     outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
-    writer = rows.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome")
-    writer.parquet(store.path("processed", entity))
+    rows = rows.withColumns({"load_id": F.lit(load_id or WHOLE), "outcome": outcome})
+    store.versions("processed", entity).write(
+        rows, ("load_id", "outcome"), None if load_id is None else {partition_folder("load_id", load_id)}
+    )
     reject(store, "processed", entity, quarantine(store, entity))
-    return stored(store, entity)
+    good = stored(store, entity)
+    return good if load_id is None else accepted(store, entity, load_id)
 
 
 CURATED = {
@@ -100,18 +137,54 @@ CURATED = {
 }
 
 
-def curate(store: ZoneStore, entity: str, accepted: DataFrame, documents: DataFrame) -> DataFrame:
-    """Curated table of an entity; rows with a text over its declared width go to quarantine."""
-    table, refine, wanted = CURATED[entity]
-    wide = curated.oversized(accepted, wanted)
-    data = documents.select(F.col("raw_id").alias("source_raw_id"), F.col("data").alias("document"))
-    reject(store, "curated", entity, wide.join(data, "source_raw_id", "left"))
-    return store.overwrite("curated", table, refine(accepted))
+def curate(store: ZoneStore, entity: str) -> DataFrame:
+    """Curated table of an entity; rows with a text over its declared width go to quarantine.
+
+    Orders are stored by purchase month and items by load, so a delivery replaces what it touches.
+    """
+    table, refine, _ = CURATED[entity]
+    too_wide(store, entity)
+    rows = refine(_processed(store, entity), keep=["source_raw_id"]).withColumn("load_id", F.lit(WHOLE))
+    store.overwrite("curated", table, rows, PARTITION.get(entity))
+    return curated_rows(store, entity)
+
+
+#: Partition columns of curated tables: a delivery replaces whole months, and adds its own items.
+PARTITION = {"orders": "purchase_month", "order_items": "load_id"}
+
+
+def curated_rows(store: ZoneStore, entity: str) -> DataFrame:
+    """The curated table with its declared columns."""
+    table = CURATED[entity][0]
+    return conform(store.read("curated", table), f"curated.{table}")
+
+
+def too_wide(store: ZoneStore, entity: str) -> None:
+    """Quarantine the wanted rows that do not fit the curated table. The processed zone kept their documents."""
+    kept = _processed(store, entity, columns=("document",)).filter("document is not null")
+    reject(store, "curated", entity, curated.oversized(kept, CURATED[entity][2], keep=["document"]))
 
 
 def stored(store: ZoneStore, entity: str) -> DataFrame:
+    return _processed(store, entity)
+
+
+def accepted(store: ZoneStore, entity: str, load_id: str) -> DataFrame:
+    """What one load added to the processed table."""
+    return _processed(store, entity, load_id)
+
+
+def _processed(
+    store: ZoneStore, entity: str, load_id: str | None = None, columns: tuple[str, ...] = ()
+) -> DataFrame:
+    name = f"processed.{entity}"
+    if not store.exists("processed", entity):
+        empty = store.spark.createDataFrame([], schema(name))
+        return empty.withColumns({c: F.lit(None).cast("string") for c in columns})
     good = store.read("processed", entity).filter(F.col("outcome") == ACCEPTED)
-    return good.drop("outcome", "reject_reason", "document")
+    if load_id is not None:
+        good = good.filter(F.col("load_id") == load_id)
+    return good.select(*schema(name).names, *columns)
 
 
 def quarantine(store: ZoneStore, entity: str) -> DataFrame:
@@ -131,20 +204,19 @@ def run(
 ) -> Lakehouse:
     """Refresh all zones under ``root`` from the source entities."""
     store = ZoneStore(spark, root)
-    entity_of = {"geolocation": "geolocations"}
-    done, documents = {}, {}
+    done: dict[str, DataFrame] = {}
 
     def load(table: str, df: DataFrame) -> None:
-        entity = entity_of.get(table, table)
-        documents[entity] = ingest(store, table, df, loaded_at, raw_id if raw_id in df.columns else None)
+        entity = ENTITY_OF.get(table, table)
+        documents = ingest(store, table, df, loaded_at, raw_id if raw_id in df.columns else None)
         if entity in processed.PROCESS:
-            done[entity] = clean(store, entity, documents[entity], null_mode=null_mode)
+            done[entity] = clean(store, entity, documents, null_mode=null_mode)
 
     side_by_side([partial(load, table, df) for table, df in sources.items()])
+    # An entity that is not among the sources has the rows of earlier refreshes, or none.
     curated_tables = ("orders", "order_items", "customers", "sellers")
     *_, orders, items, customers, sellers = side_by_side(
-        [partial(constraints, store, done)]
-        + [partial(curate, store, e, done[e], documents[e]) for e in curated_tables]
+        [partial(constraints, store, done)] + [partial(curate, store, e) for e in curated_tables]
     )
     star = load_star(
         store, orders, items, customers, sellers, loaded_at.date(), calendar, previous_sellers
@@ -196,8 +268,12 @@ def constraints(store: ZoneStore, done: dict[str, DataFrame]) -> DataFrame:
             F.count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("repeated_values"),
         ).select(F.lit(entity).alias("table_name"), F.lit(key).alias("column_name"), "missing", "repeated_values")
 
-    report = reduce(DataFrame.unionByName, [check(e, k) for e, k in KEYS.items() if e in done])
-    return store.overwrite("checks", "constraints", report)
+    reports = [check(e, k) for e, k in KEYS.items() if e in done]
+    if not reports:
+        return store.spark.createDataFrame(
+            [], "table_name string, column_name string, missing bigint, repeated_values bigint"
+        )
+    return store.overwrite("checks", "constraints", reduce(DataFrame.unionByName, reports))
 
 
 def load_star(
@@ -217,15 +293,32 @@ def load_star(
     write = {
         "fct_orders": partial(store.overwrite, "warehouse", "fct_orders", plan.fct_orders, "order_month"),
         "dim_date": partial(store.overwrite, "warehouse", "dim_date", plan.dim_date.coalesce(1)),
-        "dim_customer": partial(store.overwrite, "warehouse", "dim_customer", plan.dim_customer),
-        "dim_product": partial(store.overwrite, "warehouse", "dim_product", plan.dim_product),
-        "dim_location": partial(store.overwrite, "warehouse", "dim_location", plan.dim_location),
-        "dim_seller_scd": partial(store.replace, "warehouse", "dim_seller_scd", plan.dim_seller_scd),
+        "dim_customer": partial(write_dimension, store, "dim_customer", plan.dim_customer),
+        "dim_product": partial(write_dimension, store, "dim_product", plan.dim_product),
+        "dim_location": partial(write_dimension, store, "dim_location", plan.dim_location),
+        "dim_seller_scd": partial(store.overwrite, "warehouse", "dim_seller_scd", plan.dim_seller_scd),
     }
+    # Later deliveries, late ones too, find what was seen on this day.
+    seller_history.log(store, sellers, as_of)
     reject(store, "warehouse", "dim_location", warehouse.wide_places(customers, sellers))
+    reject(store, "warehouse", "fct_orders", warehouse.outside_calendar(orders))
     return warehouse.Star(**dict(zip(write, side_by_side(list(write.values())), strict=True)))
 
 
+#: Surrogate and natural key of the dimensions.
+DIMENSION_KEYS = {
+    "dim_customer": ("dim_customer_id", "customer_id"),
+    "dim_product": ("dim_product_id", "product_id"),
+    "dim_location": ("dim_location_id", "location_key"),
+}
+
+
+def write_dimension(store: ZoneStore, table: str, rows: DataFrame) -> DataFrame:
+    """Write a dimension, unless different members got one surrogate key: the load ends and the old table stays."""
+    watched, check = guarded(rows, *DIMENSION_KEYS[table])
+    return store.overwrite("warehouse", table, watched, check=check)
+
+
 def side_by_side(steps: list[Callable], at_once: int = 4) -> list:
     """Run steps that do not depend on each other, a few at a time; results in their order."""
     with ThreadPoolExecutor(at_once) as pool:

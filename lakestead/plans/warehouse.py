@@ -27,6 +27,9 @@ from lakestead.schemas import conform, fits, too_long
 
 SELLER_TRACKED = ["seller_state", "seller_city"]
 
+#: The window that a calendar made from the data stays in.
+FIRST_DAY, LAST_DAY = "1900-01-01", "2199-12-31"
+
 
 @dataclass(frozen=True)
 class Star:
@@ -47,15 +50,32 @@ def calendar_range(
     )
 
 
+def in_calendar(day: Column) -> Column:
+    """Whether a date can be in the calendar; NULL for none."""
+    return day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
+
+
 def order_date_range(orders: DataFrame) -> DataFrame:
-    """Whole years around the purchase dates found in the orders."""
+    """Whole years around the purchase dates found in the orders, inside the declared window. One wrong date
+    adds no millions of days; ``outside_calendar`` has the orders that have one."""
     bought = F.col("order_purchase_timestamp").cast("date")
+    bought = F.when(in_calendar(bought), bought)
     return orders.agg(F.min(bought).alias("a"), F.max(bought).alias("b")).select(
         F.trunc("a", "year").alias("start"),
         F.date_sub(F.add_months(F.trunc("b", "year"), 12), 1).alias("end"),
     )
 
 
+def outside_calendar(orders: DataFrame) -> DataFrame:
+    """Quarantine rows of orders bought on a day that no calendar has; the fact keeps them without a date key."""
+    day = F.col("order_purchase_timestamp").cast("date")
+    return orders.filter(~in_calendar(day)).select(
+        F.lit(None).cast("bigint").alias("source_raw_id"),
+        F.lit("outside the calendar: order_purchase_timestamp").alias("reject_reason"),
+        F.to_json(F.struct("order_id", day.cast("string").alias("order_date"))).alias("document"),
+    )
+
+
 def dim_date(bounds: DataFrame) -> DataFrame:
     """One row per day between the bounds of a one-row frame."""
     days = bounds.filter("start is not null").select(
@@ -200,8 +220,8 @@ def fct_orders(
     price, freight = F.coalesce("price_amount", zero), F.coalesce("freight_value", zero)
     fact = conform(
         bought.unionByName(empty)
-        .withColumn("total_order_value", money(price + freight))
-        .withColumns({"price_amount": money(price), "freight_value": money(freight)})
+        .withColumn("total_order_value", money(price + freight, 18))
+        .withColumns({"price_amount": money(price, 18), "freight_value": money(freight, 18)})
         .withColumn("dim_product_id", _key_or_null("product_id")),
         "warehouse.fct_orders",
     )
@@ -249,7 +269,7 @@ def _placed_orders(
             "order_id",
             F.when(F.col("in_dimension"), hash_key("customer_id")).alias("dim_customer_id"),
             "dim_location_id",
-            date_key(bought_on).alias("dim_date_id"),
+            F.when(in_calendar(bought_on), date_key(bought_on)).alias("dim_date_id"),
             "order_status",
             "days_to_delivery",
             "is_on_time",
@@ -285,7 +305,7 @@ def build_star(
     return Star(
         fct_orders=fct_orders(orders, items, customers, locations),
         dim_date=dim_date(calendar if calendar is not None else order_date_range(orders)),
-        dim_customer=dim_customer(customers),
+        dim_customer=dim_customer(customers, dt.datetime.combine(as_of, dt.time())),
         dim_product=dim_product(items),
         dim_location=locations,
         dim_seller_scd=dim_seller_scd(sellers, as_of, previous_sellers),

@@ -12,7 +12,7 @@ from lakestead.session import scratch_dir, tune
 from lakestead.sources import adapters
 from lakestead.sources.raw import to_documents
 
-DAY_1, DAY_2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+DAY_1, BETWEEN, DAY_2 = dt.date(2024, 1, 1), dt.date(2024, 1, 15), dt.date(2024, 2, 1)
 LOADED_AT = dt.datetime(2024, 1, 1)
 MIN_YEAR = 1997
 MIN_ORDERS = 30
@@ -72,7 +72,7 @@ class Frames:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return warehouse.dim_customer(self.customers)
+        return warehouse.dim_customer(self.customers, LOADED_AT)
 
     @cached_property
     def dim_location(self) -> DataFrame:

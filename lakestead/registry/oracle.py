@@ -268,9 +268,9 @@ VIEWS["fact"] = """
 select o.order_id, c.customer_id as customer_id, i.product_id, l.location_key,
  cast(strftime(o.order_purchase_timestamp, '%Y%m%d') as int) as dim_date_id,
  count(i.order_item_id)::int as quantity,
- coalesce(sum(i.price), 0)::decimal(12,2) as price_amount,
- coalesce(sum(i.freight_value), 0)::decimal(12,2) as freight_value,
- (coalesce(sum(i.price), 0) + coalesce(sum(i.freight_value), 0))::decimal(12,2) as total_order_value,
+ coalesce(sum(i.price), 0)::decimal(18,2) as price_amount,
+ coalesce(sum(i.freight_value), 0)::decimal(18,2) as freight_value,
+ (coalesce(sum(i.price), 0) + coalesce(sum(i.freight_value), 0))::decimal(18,2) as total_order_value,
  o.order_status, o.days_to_delivery, o.is_on_time, o.order_purchase_timestamp::date as order_date,
  o.order_delivered_customer_date::date as delivery_date,
  o.order_estimated_delivery_date::date as estimated_delivery_date, o.data_quality_score,
@@ -419,7 +419,27 @@ ORACLE["json_keys"] = sql("select distinct unnest(json_keys(data)) as field_name
 ORACLE["json_each"] = sql("""
 unpivot (select raw_id, seller_id, seller_zip_code_prefix, seller_city, seller_state from src_sellers)
 on seller_id, seller_zip_code_prefix, seller_city, seller_state into name key value value""")
-ORACLE["json_pretty"] = sql("select raw_id, 6::int as n_lines, seller_id from src_sellers")
+ORACLE["json_pretty"] = sql("""
+select raw_id, case when data is null then null when data = '{}' then '{}' else
+ '{' || chr(10) || '    "customer_id": ' || (data->'$.customer_id') || ',' || chr(10)
+ || '    "zip_code": ' || (data->'$.zip_code') || ',' || chr(10)
+ || '    "balance": ' || regexp_extract(data, '"balance":([^,]*)', 1) || ',' || chr(10)
+ || '    "state": ' || (data->'$.state') || ',' || chr(10)
+ || coalesce('    "city": ' || (data->'$.city') || ',' || chr(10), '')
+ || '    "address": {' || chr(10) || '        "nation": ' || (data->'$.address.nation') || ',' || chr(10)
+ || '        "tags": [' || chr(10) || '            ' || (data->'$.address.tags[0]') || ',' || chr(10)
+ || '            ' || (data->'$.address.tags[1]') || chr(10) || '        ]' || chr(10) || '    },' || chr(10)
+ || '    "active": ' || (data->'$.active') || chr(10) || '}' end as pretty
+from docs""")
+ORACLE["json_path_query"] = sql(f"""
+select raw_id, coalesce(array_to_string(tags, '|'), '') as all_tags,
+ coalesce(array_to_string(list_filter(tags, lambda t: t = '"ASIA"'), '|'), '') as asia,
+ case when tags[1] <> '"BUILDING"' then (data->'$.address.nation')::varchar else '' end as not_first,
+ coalesce((data->'$.address.nation')::varchar, '') as anywhere,
+ case when cast({text('zip_code')} as int) < 50 and ({text('active')} = 'true' or json_type(data, '$.state') = 'NULL')
+  then (data->'$.customer_id')::varchar else '' end as small,
+ coalesce(array_to_string(list_filter(tags, lambda t: starts_with(t, '"A')), '|'), '') as in_a
+from (select *, cast(json_extract(data, '$.address.tags[*]') as varchar[]) as tags from docs) d""")
 
 
 def probe(doc: str, source: str, more: str = "") -> str:
@@ -571,6 +591,141 @@ select l_orderkey, l_linenumber, round(p, 1)::decimal(12,1) as rounded, nullif(t
 from (select l_orderkey, l_linenumber, l_quantity::decimal(10,2) as q, l_tax::decimal(10,2) as t,
        l_extendedprice::decimal(12,2) as p from lineitem) v"""
 
+# ---- keys and references ----
+REFERENCE_COLUMNS = {
+    "customers": ("src_customers", ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]),
+    "sellers": ("src_sellers", ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]),
+    "orders": ("src_orders", ["order_id", "customer_id", "order_status"]),
+    "order_items": ("src_items", ["order_id", "product_id", "seller_id"]),
+    "products": ("src_products", ["product_id", "product_category_name"]),
+    "geolocation": ("src_geo_source", ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"]),
+}
+VIEWS["src_geo_source"] = """
+select zip as geolocation_zip_code_prefix, ' ' || city as geolocation_city, lower(state) as geolocation_state from src_geo"""
+VIEWS["all_values"] = " union all ".join(
+    f"select '{t}' as t, '{c}' as c, {c} as v from {view} where {c} <> ''"
+    for t, (view, columns) in REFERENCE_COLUMNS.items()
+    for c in columns
+)
+VIEWS["counted_values"] = "select t, c, v, count(*) as n from all_values group by t, c, v"
+VIEWS["column_facts"] = "select t, c, count(*) as n_values, max(n) = 1 as is_unique from counted_values group by t, c"
+ORACLE["fk_discovery"] = sql("""
+select a.t as child_table, a.c as child_column, b.t as parent_table, b.c as parent_column,
+ any_value(f.n_values) as n_values, count(*) as n_found
+from counted_values a join counted_values b on a.v = b.v and (a.t <> b.t or a.c <> b.c)
+ join column_facts f on f.t = a.t and f.c = a.c join column_facts p on p.t = b.t and p.c = b.c
+where p.is_unique group by a.t, a.c, b.t, b.c having count(*) * 100 >= 90 * any_value(f.n_values)""")
+
+
+def minimal_keys(tables: dict[str, list[str]]) -> str:
+    """The unique columns, and the unique pairs of the others, of tables without NULLs."""
+    parts = []
+    for table, columns in tables.items():
+        one = [f"select '{table}' as table_name, '{c}' as key_columns, count(distinct {c}) as n from {table}" for c in columns]
+        two = [
+            f"select '{table}', '{a},{b}', (select count(*) from (select distinct {a}, {b} from {table}))"
+            for i, a in enumerate(columns)
+            for b in columns[i + 1 :]
+        ]
+        rows = f"(select count(*) from {table})"
+        parts.append(
+            f"select table_name, key_columns, (1 + length(key_columns) - length(replace(key_columns, ',', '')))::int as n_columns"
+            f" from ({' union all '.join(one + two)}) where n = {rows}"
+        )
+    found = " union all ".join(parts)
+    return f"""
+with found as ({found})
+select * from found f where not exists (
+ select 1 from found g where g.table_name = f.table_name and g.n_columns = 1 and f.n_columns = 2
+  and list_contains(string_split(f.key_columns, ','), g.key_columns))"""
+
+
+KEY_TABLES = {
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "conversations": ["conv_id", "turn", "role"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+}
+ORACLE["composite_keys"] = minimal_keys(KEY_TABLES)
+
+STORED = {
+    ("raw", "customers_raw"): ("src_customers", 7, "load_id"),
+    ("raw", "data_metadata"): ("(values (1), (2), (3), (4), (5), (6))", 7, "load_id,table_name"),
+    ("curated", "orders_refined"): ("cur_orders", 14, "purchase_month"),
+    ("curated", "order_items_refined"): ("cur_items", 11, "load_id"),
+    ("curated", "customers_refined"): ("cur_customers", 9, ""),
+    ("curated", "sellers_refined"): ("cur_sellers", 8, ""),
+    ("warehouse", "dim_date"): ("cal", 10, ""),
+    ("warehouse", "dim_customer"): ("cur_customers where customer_id is not null", 10, ""),
+    ("warehouse", "dim_product"): ("prod", 4, ""),
+    ("warehouse", "dim_location"): ("loc", 5, ""),
+    ("warehouse", "dim_seller_scd"): ("cur_sellers", 11, ""),
+    ("warehouse", "fct_orders"): ("fact", 17, "order_month"),
+}
+ORACLE["zone_tables"] = sql(
+    " union all ".join(
+        f"select '{zone}' as zone, '{table}' as table_name, count(*) as n_rows, {n}::int as n_columns,"
+        f" '{by}' as partitioned_by from {source}"
+        for (zone, table), (source, n, by) in STORED.items()
+    )
+)
+STAR_COLUMNS = {
+    "dim_customer": (
+        "cur_customers where customer_id is not null",
+        "dim_customer_id bigint, customer_id string, customer_unique_id string, customer_state string,"
+        " customer_city string, customer_zip_code_prefix string, data_quality_score decimal(3,2), is_active boolean,"
+        " created_at timestamp_ntz, updated_at timestamp_ntz",
+        ["customer_id"],
+        {"is_active": "true"},
+    ),
+    "dim_product": (
+        "prod",
+        "dim_product_id bigint, product_id string, avg_price decimal(12,2), is_active boolean",
+        ["product_id"],
+        {"is_active": "true"},
+    ),
+    "dim_location": (
+        "loc",
+        "dim_location_id bigint, location_key string, state_code string, city_name string, is_active boolean",
+        ["location_key"],
+        {"is_active": "true"},
+    ),
+    "fct_orders": (
+        "fact",
+        "order_id string, dim_customer_id bigint, dim_product_id bigint, dim_date_id int, dim_location_id bigint,"
+        " quantity int, price_amount decimal(18,2), freight_value decimal(18,2), total_order_value decimal(18,2),"
+        " order_status string, days_to_delivery int, is_on_time boolean, order_date date, delivery_date date,"
+        " estimated_delivery_date date, data_quality_score decimal(3,2), order_month date",
+        ["order_id"],
+        {},
+    ),
+}
+#: Where a stored column is called differently in the SQL views; constants hold no NULL.
+SAME_NULLS = {
+    "dim_customer_id": "customer_id", "dim_product_id": "product_id", "dim_location_id": "location_key",
+    "is_active": "1", "created_at": "1", "updated_at": "1",
+}
+
+
+def described(table: str) -> str:
+    source, columns, must, defaults = STAR_COLUMNS[table]
+    parts = []
+    for n, column in enumerate(re.split(r", (?![0-9])", columns), 1):
+        name, kind = column.split(" ", 1)
+        kind = kind.replace("decimal(", "decimal(").strip()
+        default = f"'{defaults[name]}'" if name in defaults else "null::varchar"
+        parts.append(
+            f"select 'warehouse' as zone, '{table}' as table_name, {n}::int as ordinal_position, '{name}' as column_name,"
+            f" '{kind}' as data_type, {str(name not in must).lower()} as is_nullable, {default} as column_default,"
+            f" count(*) - count({SAME_NULLS.get(name, name)}) as n_nulls from {source}"
+        )
+    return " union all ".join(parts)
+
+
+ORACLE["zone_columns"] = sql(" union all ".join(described(t) for t in STAR_COLUMNS))
+
 # ---- curated zone ---------------------------------------------------------------------------
 ORACLE["curated_orders"] = sql("select * from cur_orders")
 ORACLE["curated_items"] = sql("select * from cur_items")
@@ -624,6 +779,24 @@ from prc_products""")
 
 # ---- warehouse ------------------------------------------------------------------------------
 ORACLE["dim_date"] = sql("select * from cal")
+VIEWS["dated_orders"] = """
+select *, case when source_raw_id % 97 = 0 then date '0001-01-01' when source_raw_id % 101 = 0 then date '9999-12-31'
+ else order_purchase_timestamp::date end as bought
+from prc_orders"""
+VIEWS["dated_valid"] = """
+select * from dated_orders where
+ data_quality_score + case when order_purchase_timestamp is null and bought is not null then 0.20 else 0 end > 0.50"""
+ORACLE["calendar_range"] = sql("""
+select date_trunc('year', a)::date as first_day, (date_trunc('year', b) + interval 1 year - interval 1 day)::date as last_day,
+ date_diff('day', date_trunc('year', a)::date, (date_trunc('year', b) + interval 1 year)::date) as n_days,
+ n_orders, rows_without_date, n_outside, first_outside
+from (select min(bought) filter (where ok) as a, max(bought) filter (where ok) as b, count(*) as n_orders,
+       sum(case when not ok then greatest(coalesce(n, 0), 1) else 0 end)::bigint as rows_without_date,
+       count(*) filter (where not ok) as n_outside,
+       min('{"order_id":"' || order_id || '","order_date":"' || case when year(bought) = 1 then '0001-01-01' else '9999-12-31' end
+           || '"}') filter (where not ok) as first_outside
+      from (select *, bought between date '1900-01-01' and date '2199-12-31' as ok from dated_valid) v
+      left join (select order_id, count(distinct product_id) as n from cur_items group by order_id) i using (order_id)) s""")
 ORACLE["dim_customer"] = sql("""
 select customer_id, customer_unique_id, customer_state, customer_city, customer_zip_code_prefix, data_quality_score,
  is_valid as is_active from cur_customers where customer_id is not null""")
@@ -631,8 +804,8 @@ ORACLE["dim_location"] = sql("select *, true as is_active from loc")
 ORACLE["dim_product"] = sql("select *, true as is_active from prod")
 ORACLE["fct_orders"] = sql("select * from fact")
 ORACLE["fct_orders_order_grain"] = sql("""
-select * exclude (product_id) replace (sum(quantity)::int as quantity, sum(price_amount)::decimal(12,2) as price_amount,
- sum(freight_value)::decimal(12,2) as freight_value, sum(total_order_value)::decimal(12,2) as total_order_value)
+select * exclude (product_id) replace (sum(quantity)::int as quantity, sum(price_amount)::decimal(18,2) as price_amount,
+ sum(freight_value)::decimal(18,2) as freight_value, sum(total_order_value)::decimal(18,2) as total_order_value)
 from fact group by all""")
 ORACLE["fct_orders_strict"] = sql("""
 select nullif(customer_id, '') as customer_id,
@@ -651,20 +824,21 @@ union all select 'products', count(*), count(*), 1, count(*), count(*) from prod
 
 def snapshot(day: int) -> str:
     moved = "s_nationkey"
-    if day == 2:
-        moved = "(case when s_suppkey % 5 = 0 then (s_nationkey + 1) % 25 else s_nationkey end)"
+    if day > 1:
+        moved = f"(case when s_suppkey % {5 if day == 2 else 4} = 0 then (s_nationkey + 1) % 25 else s_nationkey end)"
     code = "lpad((s_suppkey % 100000)::varchar, 5, '0')"
     if day == 2:
         code = f"case when s_suppkey % 7 = 0 then '99999' else {code} end"
-    known = "s_acctbal >= 0" if day == 1 else "s_acctbal <= 9000"
+    known = {1: "s_acctbal >= 0", 2: "s_acctbal <= 9000", 3: "s_suppkey % 3 <> 0"}[day]
     return f"""
 select 'S' || repeat('0', 8 - length(s_suppkey::varchar)) || s_suppkey::varchar as seller_id, substr(r_name, 1, 2) as seller_state,
- case when s_suppkey % {23 if day == 1 else 19} <> 0 then n_name end as seller_city, {code} as seller_zip_code_prefix
+ case when s_suppkey % { {1: 23, 2: 19, 3: 17}[day] } <> 0 then n_name end as seller_city, {code} as seller_zip_code_prefix
 from supplier {PLACES.format(k=moved)} where {known}"""
 
 
 VIEWS["snap1"] = snapshot(1)
 VIEWS["snap2"] = snapshot(2)
+VIEWS["snap3"] = snapshot(3)
 VIEWS["versions1"] = """
 select *, true as is_active, true as is_current, date '2024-01-01' as valid_from, null::date as valid_to,
  'Initial load' as change_reason, 'ETL' as created_by from snap1"""
@@ -707,6 +881,19 @@ ORACLE["scd2_initial"] = sql("select * from versions1")
 ORACLE["scd2_apply"] = sql("select * from versions2")
 ORACLE["scd2_reapply"] = sql("select * from versions2")
 ORACLE["stream_scd2"] = sql("select * from versions2")
+VIEWS["sightings"] = """
+select *, date '2024-01-01' as valid_from from snap1 union all select *, date '2024-01-15' from snap3
+union all select *, date '2024-02-01' from snap2"""
+VIEWS["moves"] = """
+select *, lag(valid_from) over w is null as first,
+ row(seller_state, seller_city) is distinct from lag(row(seller_state, seller_city)) over w as differs
+from sightings window w as (partition by seller_id order by valid_from)"""
+ORACLE["scd2_late"] = sql("""
+select seller_id, seller_state, seller_city, seller_zip_code_prefix, true as is_active, valid_to is null as is_current,
+ valid_from, valid_to, case when valid_to is not null then 'Location changed' when first then 'Initial load'
+  else 'Location updated' end as change_reason, 'ETL' as created_by
+from (select *, lead(valid_from) over (partition by seller_id order by valid_from) as valid_to
+      from moves where first or differs) v""")
 ORACLE["scd2_compat"] = sql("select * from plain2")
 ORACLE["scd2_history"] = sql("""
 select seller_id, seller_state, seller_city, valid_from, valid_to, is_current, change_reason
@@ -866,12 +1053,12 @@ select customer_id, {ORDERS} as order_frequency, sum(total_order_value) as ltv,
 from fact group by customer_id"""
 SEGMENT = segment("ltv")
 ORACLE["customer_segments"] = sql(f"""
-select {SEGMENT} as customer_segment, count(*) as segment_size, {average("ltv")} as avg_lifetime_value,
+select {SEGMENT} as customer_segment, count(*) as segment_size, {average("ltv", 2, 18)} as avg_lifetime_value,
  sum(ltv)::decimal(38,2) as segment_total_value, {quotient("sum(order_frequency)", "count(*)", 6)} as avg_orders_per_customer,
  {quotient("sum(cast(avg_order_value * 10000000000 as hugeint))", "10000000000 * count(*)", 6)} as segment_avg_order_value
 from by_customer group by 1""")
 ORACLE["customer_segments_direct"] = sql(f"""
-select {SEGMENT} as customer_segment, count(*) as segment_size, {average("ltv")} as avg_lifetime_value,
+select {SEGMENT} as customer_segment, count(*) as segment_size, {average("ltv", 2, 18)} as avg_lifetime_value,
  sum(ltv)::decimal(38,2) as segment_total_value
 from (select c.customer_id, sum(i.price + i.freight_value) as ltv
       from cur_customers c left join cur_orders o on o.customer_id = c.customer_id and o.is_valid
@@ -891,14 +1078,14 @@ SHARE_CUSTOMERS = "(select sum(customer_count) from by_segment)"
 SHARE_VALUE = f"(select {cents('sum(total_value)')} from by_segment)"
 ORACLE["dashboard_customer"] = sql(f"""
 select segment, customer_count, {quotient(cents("total_value"), "100 * customer_count", 2)} as avg_ltv,
- total_value::decimal(18,2) as total_value, {quotient("orders", "customer_count", 2, 12)} as avg_orders,
+ total_value::decimal(38,2) as total_value, {quotient("orders", "customer_count", 2, 12)} as avg_orders,
  {quotient("middle_sum", "100 * middle_count", 2)} as median_ltv,
  {percentage("customer_count", SHARE_CUSTOMERS)} as pct_customers,
  {percentage(cents("total_value"), SHARE_VALUE)} as pct_revenue
 from by_segment""")
 ORACLE["chart_segments"] = sql(f"""
 select segment, customer_count, {quotient(cents("total_value"), "100 * customer_count", 6)} as avg_lifetime_value,
- total_value::decimal(18,2) as segment_total_value, {quotient("orders", "customer_count", 6)} as avg_orders,
+ total_value::decimal(38,2) as segment_total_value, {quotient("orders", "customer_count", 6)} as avg_orders,
  {percentage("customer_count", SHARE_CUSTOMERS, 1)} as pct_customers,
  {percentage(cents("total_value"), SHARE_VALUE, 1)} as pct_revenue
 from by_segment""")
@@ -920,9 +1107,13 @@ from (select 'processed' as zone, 'order_items' as entity, raw_id,
       from prc_sellers_none where is_valid) r
 where reject_reason is not null group by all""")
 ORACLE["pipeline_csv"] = ORACLE["fct_orders"]
+ORACLE["fct_incremental"] = ORACLE["fct_orders"]
+ORACLE["incremental_loads"] = sql("""
+select case when source_raw_id % 4 < 2 then '20240101T000000' else '20240201T000000' end as load_id,
+ source_raw_id, customer_id, data_quality_score from prc_customers""")
 
 # ---- incremental loads ----------------------------------------------------------------------
-ORACLE["stream_ingest"] = "select * from events"
+ORACLE["stream_ingest"] = "select * replace (case when event_id % 50 <> 0 then ts end as ts) from events"
 ORACLE["stream_load_stats"] = """
 select date_trunc('hour', ts) as hour, event_type, count(*) as n_events,
  sum(value::decimal(18,2))::decimal(18,2) as total_value, max(ts) as last_event

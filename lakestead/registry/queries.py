@@ -9,10 +9,28 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestead.functions import documents as docs
-from lakestead.functions import scalars
-from lakestead.operators import checks, dedupe, quality, scd2, surrogate
-from lakestead.plans import analytics, curated, lineage, processed, refresh, warehouse
-from lakestead.registry.frames import DAY_1, DAY_2, LOADED_AT, MIN_ORDERS, MIN_YEAR, SEGMENTS, Frames
+from lakestead.functions import paths, scalars
+from lakestead.operators import checks, dedupe, discovery, quality, scd2, surrogate
+from lakestead.plans import (
+    analytics,
+    curated,
+    deliver,
+    lineage,
+    processed,
+    refresh,
+    seller_history,
+    warehouse,
+)
+from lakestead.registry.frames import (
+    BETWEEN,
+    DAY_1,
+    DAY_2,
+    LOADED_AT,
+    MIN_ORDERS,
+    MIN_YEAR,
+    SEGMENTS,
+    Frames,
+)
 from lakestead.schemas import schema
 from lakestead.session import scratch_dir
 from lakestead.sources import adapters, catalog, files, raw
@@ -217,19 +235,29 @@ def json_keys(f: Frames) -> DataFrame:
 
 @query
 def json_each(f: Frames) -> DataFrame:
-    plain = f.raw("sellers")
-    return docs.each_text(plain, DOC, ["raw_id"])
+    return docs.each_text(f.raw("sellers"), DOC, ["raw_id"])
 
 
 @query
 def json_pretty(f: Frames) -> DataFrame:
-    text = docs.pretty(F.col(DOC))
-    sellers = f.raw("sellers").select("raw_id", text.alias("pretty"))
-    return sellers.select(
-        "raw_id",
-        F.size(F.split("pretty", "\n")).alias("n_lines"),
-        docs.field_text(F.col("pretty"), "seller_id").alias("seller_id"),
-    )
+    """The whole text of nested documents."""
+    return f.documents.select("raw_id", docs.pretty(F.col(DOC)).alias("pretty"))
+
+
+@query
+def json_path_query(f: Frames) -> DataFrame:
+    """Wildcards, descent and conditions, on nested documents."""
+    d = F.col(DOC)
+    wanted = {
+        "all_tags": "$.address.tags[*]",
+        "asia": '$.address.tags[*] ? (@ == "ASIA")',
+        "not_first": '$.address ? (@.tags[0] != "BUILDING").nation',
+        "anywhere": "$..nation",
+        "small": '$ ? (@.zip_code < 50 && (@.active == true || @.state == null)).customer_id',
+        "in_a": '$.address.tags ? (@ starts with "A")',
+    }
+    texts = {name: F.array_join(paths.query_text(d, path), "|").alias(name) for name, path in wanted.items()}
+    return f.documents.select("raw_id", *texts.values())
 
 
 @query
@@ -478,6 +506,43 @@ def key_candidates(f: Frames) -> DataFrame:
 
 
 # ---- scalar helpers -------------------------------------------------------------------------
+@query
+def fk_discovery(f: Frames) -> DataFrame:
+    """References among the text columns of all six entities, found in the data."""
+    entities = {e: f.source(e).drop("raw_id") for e in adapters.ENTITIES}
+    texts = {e: [c for c, kind in df.dtypes if kind == "string"] for e, df in entities.items()}
+    return discovery.references(entities, texts, percent=90)
+
+
+@query
+def composite_keys(f: Frames) -> DataFrame:
+    tables = {t: f.table(t) for t in ("lineitem", "conversations", "nation")}
+    tables["conversations"] = tables["conversations"].drop("text")
+    return discovery.key_report(tables, most=2)
+
+
+def _databases(f: Frames) -> dict[str, str]:
+    """The written zones in the catalog."""
+    names = {zone: f"lake_{zone}" for zone in ("raw", "curated", "warehouse")}
+    store = f.written.store
+    catalog.register(store, "raw", names["raw"], ["customers_raw", "data_metadata"])
+    for zone in ("curated", "warehouse"):
+        kept = [t for t in store.tables(zone) if not t.endswith("_sightings")]
+        catalog.register(store, zone, names[zone], kept)
+    return names
+
+
+@query
+def zone_tables(f: Frames) -> DataFrame:
+    return catalog.zone_tables(f.spark, _databases(f))
+
+
+@query
+def zone_columns(f: Frames) -> DataFrame:
+    found = catalog.zone_columns(f.spark, {"warehouse": _databases(f)["warehouse"]})
+    return found.filter(F.col("table_name").isin("dim_customer", "dim_product", "dim_location", "fct_orders"))
+
+
 @query
 def scalar_strings(f: Frames) -> DataFrame:
     c = f.source("customers")
@@ -586,6 +651,27 @@ def dim_date(f: Frames) -> DataFrame:
     return f.dim_date
 
 
+@query
+def calendar_range(f: Frames) -> DataFrame:
+    """The calendar, the fact and the quarantine with orders of the years 1 and 9999 among the others."""
+    key = F.col("raw_id")
+    wrong = F.when(key % 97 == 0, F.lit("0001-01-01")).when(key % 101 == 0, F.lit("9999-12-31"))
+    bought = F.coalesce(wrong.cast("timestamp_ntz"), F.col("order_purchase_timestamp"))
+    source = f.source("orders").withColumn("order_purchase_timestamp", bought)
+    documents = raw.to_documents(source, "orders", LOADED_AT, "raw_id", with_hash=False)
+    orders = curated.orders_refined(processed.accepted(processed.orders(documents)))
+    days = warehouse.dim_date(warehouse.order_date_range(orders)).agg(
+        F.min("date_value").alias("first_day"), F.max("date_value").alias("last_day"), F.count("*").alias("n_days")
+    )
+    fact = warehouse.fct_orders(orders, f.items, f.customers, f.dim_location).agg(
+        F.count_distinct("order_id").alias("n_orders"),
+        F.count_if(F.col("dim_date_id").isNull() & F.col("order_date").isNotNull()).alias("rows_without_date"),
+    )
+    outside = warehouse.outside_calendar(orders).agg(F.count("*").alias("n_outside"), F.min("document").alias("first_outside"))
+    one = [df.withColumn("one", F.lit(1)) for df in (days, fact, outside)]
+    return one[0].join(one[1], "one").join(one[2], "one").drop("one")
+
+
 @query
 def dim_customer(f: Frames) -> DataFrame:
     return f.dim_customer.drop("dim_customer_id", "created_at", "updated_at")
@@ -897,9 +983,10 @@ def quarantine_zones(f: Frames) -> DataFrame:
     """What every zone turned away, with its document: broken items, and states that are too wide."""
     store = files.ZoneStore(f.spark, scratch_dir(f.spark, "quarantine"))
     sellers = refresh.ingest(store, "sellers", f.source("sellers", blank_as_null=True), LOADED_AT, "raw_id")
-    refresh.curate(store, "sellers", refresh.clean(store, "sellers", sellers, null_mode="compat"), sellers)
-    items = _broken_items(f)
-    refresh.curate(store, "order_items", refresh.clean(store, "order_items", items), items)
+    refresh.clean(store, "sellers", sellers, null_mode="compat")
+    refresh.clean(store, "order_items", _broken_items(f))
+    for entity in ("sellers", "order_items"):
+        refresh.curate(store, entity)
     rows = store.read("quarantine", "rows")
     return rows.groupBy("zone", "entity", "reject_reason").agg(
         F.count("*").alias("n_rows"), F.count("document").alias("n_documents"), F.min("source_raw_id").alias("first_raw_id")
@@ -924,11 +1011,17 @@ def _event_stream(f: Frames) -> DataFrame:
     )
 
 
+def _events(f: Frames) -> DataFrame:
+    """The events, every 50th without its time."""
+    timeless = F.col("event_id") % 50 == 0
+    return f.table("events").withColumn("ts", F.when(~timeless, F.col("ts")))
+
+
 @query
 def stream_ingest(f: Frames) -> DataFrame:
     """The events in several files, twice over and out of order, one file per batch."""
     base = scratch_dir(f.spark, "ingest")
-    events = f.table("events")
+    events = _events(f)
     third = F.pmod(F.xxhash64("event_id"), F.lit(3))
     for n in range(3):
         events.filter((third == n) | (third == 0)).coalesce(1).write.parquet(f"{base}/inbox/{n}")
@@ -958,4 +1051,68 @@ def stream_scd2(f: Frames) -> DataFrame:
         incremental.apply_seller_snapshots(
             stream, store, "dim_seller_scd", "snapshot_date", f"{base}/state"
         )
-    return store.read_version("warehouse", "dim_seller_scd")
+    return _versions(store.read("warehouse", "dim_seller_scd"))
+
+
+@query
+def scd2_late(f: Frames) -> DataFrame:
+    """Snapshots of three days, delivered from the last to the first, the one in between twice."""
+    base = scratch_dir(f.spark, "late-sellers")
+    store = files.ZoneStore(f.spark, base)
+    snapshots = {DAY_1: f.seller_snapshot(1), BETWEEN: f.seller_snapshot(3), DAY_2: f.seller_snapshot(2)}
+    for n, day in enumerate([DAY_2, BETWEEN, DAY_1, BETWEEN]):
+        delivery = snapshots[day].withColumn("snapshot_date", F.lit(day))
+        history = seller_history.deliver(store, delivery, "snapshot_date", n)
+    return _versions(history)
+
+
+def _deliveries(f: Frames) -> list[tuple[dt.datetime, dict[str, DataFrame]]]:
+    """The sources in three deliveries.
+
+    The first lacks a sixth of the customers and some items, and has orders without their customer and with a
+    date of another month. The second brings those orders as they are, in other months, the customers and
+    again some of the first; the third brings the items.
+    """
+    key = F.col("raw_id")
+    orders, items, customers = f.source("orders"), f.source("order_items"), f.source("customers")
+    early = F.col("order_purchase_timestamp") - F.make_dt_interval(days=F.lit(45))
+    # Orders without a customer in both would tie, and the lower id, which is the first, would stay.
+    mended = (key % 10 == 4) & (key % 29 != 0)
+    wrong = orders.filter(mended).withColumns(
+        {"raw_id": -key, "customer_id": F.lit(""), "order_purchase_timestamp": early}
+    )
+    late_item = (key % 8 == 1) & (F.floor(key / 8) % 7 == 0)
+    first = {
+        **{e: f.source(e) for e in ("sellers", "products", "geolocation")},
+        "orders": orders.filter(~mended).unionByName(wrong),
+        "order_items": items.filter(~late_item),
+        "customers": customers.filter(key % 6 != 1),
+    }
+    second = {
+        "orders": orders.filter(mended | (key % 10 == 5)),
+        "customers": customers.filter((key % 6 == 1) | (key % 6 == 2)),
+    }
+    third = {"order_items": items.filter(late_item)}
+    return [(dt.datetime(2024, n, 1), part) for n, part in enumerate([first, second, third], 1)]
+
+
+@query
+def fct_incremental(f: Frames) -> DataFrame:
+    """The fact after three deliveries, each of which rewrites the months that it touches."""
+    base = scratch_dir(f.spark, "deliveries")
+    for loaded_at, sources in _deliveries(f):
+        lake = deliver.deliver(f.spark, sources, base, loaded_at, raw_id="raw_id")
+    return _natural(f, lake.star.fct_orders)
+
+
+@query
+def incremental_loads(f: Frames) -> DataFrame:
+    """What each of three deliveries of customers, which overlap, adds to the processed zone."""
+    store = files.ZoneStore(f.spark, scratch_dir(f.spark, "loads"))
+    source, key = f.source("customers"), F.col("raw_id")
+    for n, part in enumerate([key % 4 < 2, key % 4 != 0, key % 2 == 0], 1):
+        loaded_at = dt.datetime(2024, n, 1)
+        documents = refresh.ingest(store, "customers", source.filter(part), loaded_at, "raw_id", only_new=True)
+        refresh.clean(store, "customers", documents, refresh.load_name(loaded_at))
+    rows = store.read("processed", "customers").filter("outcome = 'accepted'")
+    return rows.select("load_id", "source_raw_id", "customer_id", "data_quality_score")

@@ -111,8 +111,8 @@ _DDL = {
     ),
     "warehouse.fct_orders": (
         "order_id string, dim_customer_id bigint, dim_product_id bigint, dim_date_id int,"
-        " dim_location_id bigint, quantity int, price_amount decimal(12,2),"
-        " freight_value decimal(12,2), total_order_value decimal(12,2), order_status string,"
+        " dim_location_id bigint, quantity int, price_amount decimal(18,2),"
+        " freight_value decimal(18,2), total_order_value decimal(18,2), order_status string,"
         " days_to_delivery int, is_on_time boolean, order_date date, delivery_date date,"
         " estimated_delivery_date date, data_quality_score decimal(3,2), order_month date"
     ),
@@ -120,6 +120,22 @@ _DDL = {
 
 TABLES = tuple(_DDL)
 
+#: Columns that hold no NULL, and defaults, as the catalog shows them.
+NOT_NULL = {
+    "warehouse.dim_date": ("date_value",),
+    "warehouse.dim_customer": ("customer_id",),
+    "warehouse.dim_product": ("product_id",),
+    "warehouse.dim_seller_scd": ("seller_id", "valid_from"),
+    "warehouse.dim_location": ("location_key",),
+    "warehouse.fct_orders": ("order_id",),
+}
+DEFAULTS = {
+    "warehouse.dim_customer": {"is_active": "true"},
+    "warehouse.dim_product": {"is_active": "true"},
+    "warehouse.dim_seller_scd": {"is_active": "true", "is_current": "true", "created_by": "'ETL'"},
+    "warehouse.dim_location": {"is_active": "true"},
+}
+
 
 def schema(table: str) -> StructType:
     return StructType.fromDDL(_DDL[table])

@@ -172,18 +172,18 @@ def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seller_snapshot(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    """Sellers as known on one of two days.
+    """Sellers as known on one of two days, or on a third one between them.
 
-    Day 1 leaves out sellers in debt, day 2 those with a high balance. In between some sellers
+    Day 1 leaves out sellers in debt, day 2 those with a high balance, day 3 every third one. In between some sellers
     move, some get a new zip code only, and some cities become unknown.
     """
     k, moved = "s_suppkey", F.col("s_nationkey")
-    if day == 2:
-        moved = F.when(_every(k, 5), (moved + 1) % 25).otherwise(moved)
+    if day > 1:
+        moved = F.when(_every(k, 5 if day == 2 else 4), (moved + 1) % 25).otherwise(moved)
     base = table(spark, sf_dir, "supplier").withColumn("nation_now", moved)
-    base = base.filter("s_acctbal >= 0" if day == 1 else "s_acctbal <= 9000")
+    base = base.filter({1: "s_acctbal >= 0", 2: "s_acctbal <= 9000", 3: "s_suppkey % 3 <> 0"}[day])
     at = base.join(_places(spark, sf_dir), F.col("nation_now") == F.col("n_nationkey"))
-    unknown = _every(k, 23) if day == 1 else _every(k, 19)
+    unknown = _every(k, {1: 23, 2: 19, 3: 17}[day])
     code = F.lpad((F.col(k) % 100000).cast("string"), 5, "0")
     if day == 2:
         code = F.when(_every(k, 7), "99999").otherwise(code)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakestead.sources.versions import Folder, VersionedTable
 
 # Blanks around a value are part of it; a quote in a quoted value is doubled.
 _CSV = {
@@ -62,7 +63,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 class ZoneStore:
-    """Zones as folders of Parquet tables: ``<root>/<zone>/<table>``."""
+    """Zones as folders of Parquet tables: ``<root>/<zone>/<table>``.
+
+    Tables that are written whole, or by partition, are versioned: a pointer switches to what was
+    written. Raw loads and quarantined rows are plain partitions that replace themselves.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -71,33 +76,25 @@ class ZoneStore:
     def path(self, zone: str, table: str) -> str:
         return f"{self.root}/{zone}/{table}"
 
+    def versions(self, zone: str, table: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(zone, table))
+
+    def exists(self, zone: str, table: str) -> bool:
+        return self.versions(zone, table).state() is not None or Folder(
+            self.spark, self.path(zone, table)
+        ).has_files()
+
     def read(self, zone: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(zone, table))
+        versions = self.versions(zone, table)
+        state = versions.state()
+        return versions.read(state) if state else self.spark.read.parquet(self.path(zone, table))
 
     def read_if_there(self, zone: str, table: str) -> DataFrame | None:
-        try:
-            return self.read(zone, table)
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-
-    def write_version(self, zone: str, table: str, df: DataFrame, version: int) -> None:
-        """Write a whole new version next to the earlier ones; writing it again replaces it."""
-        writer = df.withColumn("version", F.lit(version)).write.mode("overwrite")
-        writer.partitionBy("version").option("partitionOverwriteMode", "dynamic").parquet(
-            self.path(zone, table)
-        )
-
-    def read_version(self, zone: str, table: str, before: int | None = None) -> DataFrame | None:
-        """The latest version, or the latest one before a given number; None when there is none."""
-        versions = self.read_if_there(zone, table)
-        if versions is None:
-            return None
-        if before is not None:
-            versions = versions.filter(F.col("version") < before)
-        latest = versions.agg(F.max("version")).first()[0]
-        return None if latest is None else versions.filter(F.col("version") == latest).drop("version")
+        return self.read(zone, table) if self.exists(zone, table) else None
+
+    def tables(self, zone: str) -> list[str]:
+        """Names of the tables of a zone."""
+        return sorted(Folder(self.spark, f"{self.root}/{zone}").folders())
 
     def overwrite(
         self,
@@ -106,22 +103,24 @@ class ZoneStore:
         df: DataFrame,
         partition_by: str | None = None,
         only_touched: bool = False,
+        emptied: list[object] = (),
+        tag: int | None = None,
+        check: Callable[[], None] | None = None,
     ) -> DataFrame:
-        """Write the whole table, or with ``only_touched`` just the partitions present in ``df``.
+        """Write the whole table, or with ``only_touched`` the partitions present in ``df`` and those
+        named by ``emptied``, which may have no rows left.
 
         Rows are rebalanced by the partition column: small values share a file, a hot value is
-        spread over several tasks.
+        spread over several tasks. The table may be made from itself. ``check`` runs before
+        the table is switched to the new rows.
         """
         if partition_by:
             df = df.hint("rebalance", partition_by)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            mode = "dynamic" if only_touched else "static"
-            writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", mode)
-        writer.parquet(self.path(zone, table))
-        return self.read(zone, table)
-
-    def replace(self, zone: str, table: str, df: DataFrame) -> DataFrame:
-        """Overwrite a table with rows derived from itself: write them aside first."""
-        staged = self.overwrite(zone, f"{table}__next", df)
-        return self.overwrite(zone, table, staged)
+        replaced = {partition_folder(partition_by, v) for v in emptied} if only_touched else None
+        partitions = (partition_by,) if partition_by else ()
+        return self.versions(zone, table).write(df, partitions, replaced, tag, check)
+
+
+def partition_folder(column: str, value: object) -> str:
+    """The folder of a partition by a date, a number or a plain word."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestead.functions import documents as docs
+from lakestead.functions import paths
 
 DOC = '{"a":1,"b":null,"n":{"x":[1,2]},"s":"1","t":true}'
 
@@ -90,7 +91,7 @@ def test_null_or_empty(frame):
 def test_sub_document_and_pretty(frame):
     assert values(frame, docs.sub_document(F.col("data"), "$.n"))[0] == '{"x":[1,2]}'
     text = values(frame, docs.pretty(F.col("data")))[0]
-    assert json.loads(text) == json.loads(DOC) and len(text.split("\n")) == 7
+    assert json.loads(text) == json.loads(DOC) and len(text.split("\n")) == 12
 
 
 def test_repeated_and_quoted_keys_and_search_of_wildcards(spark, rows):
@@ -102,3 +103,86 @@ def test_repeated_and_quoted_keys_and_search_of_wildcards(spark, rows):
     assert rows(df.select("id", docs.field_text(F.col("d"), "o'k")))[0] == (1, "v")
     for text, found in (("50%_OFF", [(2,)]), ("5__", []), ("%", [(2,)]), ("_", [(2,)]), ("A", [(1,)])):
         assert rows(df.filter(docs.search(F.col("d"), text)), "id") == found, text
+
+
+# ---- paths, pretty print, names with quotes --------------------------------------------------
+NESTED = (
+    '{"a":1,"b":{"c":[1,{"x":"q{,\\"z","a":5}],"d":{},"e":[]},"it\'s":{"a":"7"},"t":["u","v"],"n":null,'
+    '"say \\"hi\\"":[true]}'
+)
+
+
+def one_column(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], "d string")
+
+
+@pytest.mark.parametrize(
+    ("path", "want"),
+    [
+        ("$", 1),
+        ("$.a", ["1"]),
+        ("$.nothing", []),
+        ("$.b.c[*]", ["1", '{"a":5,"x":"q{,\\"z"}']),
+        ("$.b.c[1].a", ["5"]),
+        ("$.b.c.a", ["5"]),
+        ("$..a", ["1", '"7"', "5"]),
+        ('$."it\'s".a', ['"7"']),
+        ('$."say \\"hi\\""[*]', ["true"]),
+        ('$.t[*] ? (@ == "u")', ['"u"']),
+        ('$.t ? (@ != "u")', ['"v"']),
+        ('$.t ? (!(@ starts with "u"))', ['"v"']),
+        ("$.n ? (@ == null)", ["null"]),
+        ("$.a[0]", ["1"]),
+        ("$.a[1]", []),
+        ("$.a[*]", ["1"]),
+        ("$ ? (@.a == @.b.c[0]).t[1]", ['"v"']),
+        ("$ ? (@.a > 1 || exists(@.n)).a", ["1"]),
+        ('$ ? (@.a >= 1 && @.t == "w").a', []),
+        ('$ ? (@.a == "1").a', []),
+    ],
+)
+def test_paths(spark, path, want):
+    found = one_column(spark, [NESTED]).select(paths.query_text(F.col("d"), path).alias("r")).first().r
+    assert len(found) == want if isinstance(want, int) else found == want
+
+
+def test_paths_without_a_document(spark):
+    df = one_column(spark, [None, "bad", "{}", "[1, 2]", '"s"'])
+    assert [r[0] for r in df.select(paths.query_text(F.col("d"), "$[*]")).collect()] == [[], [], ["{}"], ["1", "2"], ['"s"']]
+    assert [r[0] for r in df.select(paths.exists(F.col("d"), "$.*")).collect()] == [False] * 5
+
+
+@pytest.mark.parametrize("path", ["", "a", "$.", "$[x]", "$ ? (@ = 1)", "$ ? (@ == )", "$.a $", "$ ? (@ == 1", '$."a'])
+def test_paths_that_cannot_be_read(path):
+    with pytest.raises(ValueError, match="cannot be read"):
+        paths._Compiler(path).compile()
+
+
+def test_a_descent_has_a_limit(spark):
+    for depth, fails in ((paths.DEEPEST, False), (paths.DEEPEST + 2, True)):
+        text = '{"k":' * depth + "1" + "}" * depth
+        df = one_column(spark, [text]).select(F.size(paths.query(F.col("d"), "$..k")))
+        if fails:
+            with pytest.raises(Exception, match="deeper than"):
+                df.collect()
+        else:
+            assert df.first()[0] == depth
+
+
+def test_pretty_text_is_the_same_document(spark):
+    deep = {"a": [1, [2, {"b": []}], {}], "s": 'x",{[:\\', "e": {"f": None, "g": [True, -1.5e3]}, "": "é"}
+    texts = [json.dumps(deep), json.dumps(deep, indent=1), "[]", "7", '"s"', "{}", json.dumps({f"k{i}": [i] * 9 for i in range(300)})]
+    got = [r[0] for r in one_column(spark, [*texts, "bad", None]).select(docs.pretty(F.col("d"))).collect()]
+    assert got[-2:] == [None, None]
+    for text, pretty in zip(texts, got, strict=False):
+        want = json.dumps(json.loads(text), indent=4).replace("-1500.0", "-1.5e3" if "-1.5e3" in text else "-1500.0")
+        assert json.loads(pretty) == json.loads(text)
+        assert len(pretty.split("\n")) == len(want.split("\n"))
+
+
+def test_containment_with_quotes_in_a_name(spark):
+    df = one_column(spark, [NESTED, "{}"])
+    for pattern in ({"it's": {"a": "7"}}, {'say "hi"': [True]}):
+        assert [r[0] for r in df.select(docs.contains(F.col("d"), pattern)).collect()] == [True, False]
+    both = one_column(spark, ['{"a\'b\\"c":1}'])
+    assert both.select(docs.contains(F.col("d"), {"a'b\"c": 1})).first()[0]

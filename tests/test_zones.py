@@ -105,7 +105,7 @@ def test_replacing_one_month_leaves_the_others(spark, built):
     before = fact.count()
     month = fact.agg(F.max("order_month")).first()[0]
     changed = fact.filter(F.col("order_month") == F.lit(month)).withColumn("quantity", F.lit(77))
-    after = incremental.refresh_fact_months(store, "fct", changed)
+    after = store.overwrite("warehouse", "fct", changed, "order_month", only_touched=True)
     assert after.count() == before
     assert after.filter("quantity = 77").count() == changed.count()
 
@@ -122,7 +122,7 @@ def test_quarantine_holds_the_document(spark):
 def test_table_replaced_from_itself(spark):
     store = files.ZoneStore(spark, scratch_dir(spark, "replace"))
     first = store.overwrite("z", "t", spark.range(5))
-    assert store.replace("z", "t", first.filter("id > 1")).count() == 3
+    assert store.overwrite("z", "t", first.filter("id > 1")).count() == 3
 
 
 def test_seller_history_over_two_refreshes(spark, built):
@@ -167,7 +167,7 @@ def test_seller_history_of_many_days_in_any_batches(spark, rows):
             dated.union(dated).coalesce(1).write.parquet(f"{base}/in/{day:02}")
         stream = incremental.file_stream(spark, f"{base}/in/*", dated.schema, files_per_batch=per_batch)
         incremental.apply_seller_snapshots(stream, store, "history", "day", f"{base}/state")
-        history = store.read_version("warehouse", "history")
+        history = store.read("warehouse", "history")
         assert history.filter("is_current").count() == 3 and history.count() == 9
         found.append(rows(history, "seller_id", "seller_city", "valid_from", "valid_to", "is_current"))
     assert found[0] == found[1]
@@ -202,7 +202,7 @@ def test_rows_in_are_rows_accepted_and_rejected(spark):
         documents = refresh.ingest(store, "customers", customers.filter(part), dt.datetime(2024, 1, day), "raw_id")
         good = refresh.clean(store, "customers", documents)
     assert documents.count() == customers.filter("raw_id % 2 = 0 or raw_id > 10").count() == good.count()
-    kept = refresh.curate(store, "customers", good, documents)
+    kept = refresh.curate(store, "customers")
     wide = store.read("quarantine", "rows").filter("zone = 'curated'")
     valid = good.filter("is_valid")
     assert wide.count() == valid.filter("length(customer_state) > 2").count() > 0
