@@ -9,8 +9,8 @@ doubled; the ids come back to their texts by position.
 1. Batches count their chunks and name those that make up a millionth of them; of these the most frequent, at most
    ``hot_rows`` of ``hot_bytes`` bytes each, are segmented and go to all tasks. In a corpus they make up most of the text.
 2. A text becomes the numbers of its chunks, one to four bytes each, and 0 where a chunk is not among the hot ones.
-3. Those chunks are dealt by chunk, with the hash of their text and their position. The distinct ones are segmented,
-   joined back to all their places on the same exchange, and their ids go to their text. A chunk that is not
+3. Those chunks are listed with the hash of their text and their position. The distinct ones are segmented and joined
+   back to all their places, and the ids go to their text. A chunk that is not
    hot makes up less than about a millionth of the corpus, so no key of the join is hot but a very long one, which
    adaptive planning splits.
 
@@ -50,7 +50,7 @@ ANCHOR = "\n"
 class Hot:
     """Bound of the chunks that go to all tasks."""
 
-    rows: int = 1 << 19
+    rows: int = 1 << 20
     bytes: int = 32
 
 
@@ -360,11 +360,8 @@ def encode(
     rare = texts.select("h1", "h2", "text").mapInArrow(
         looked_up(model, frequent, "text", ["h1", "h2"], True), "h1 long, h2 long, k int, chunk binary"
     )
-    # One exchange serves the distinct chunks and the places that they stand in; it is the same for both
-    # because both take all of its columns.
-    rare = rare.repartition("chunk")
-    distinct = rare.groupBy("chunk").agg(F.max(F.struct("h1", "h2", "k")).alias("place"))
-    met = rare.join(segmented(distinct, model), "chunk").select("h1", "h2", "k", "ids")
+    table = segmented(rare.select("chunk").distinct(), model)
+    met = rare.join(table, "chunk").select("h1", "h2", "k", "ids")
     # Dealt as they are; sets begun before the exchange would be larger.
     met = met.repartition("h1", "h2")
     found = met.groupBy("h1", "h2").agg(F.array_sort(F.collect_set(F.struct("k", "ids"))).alias("found"))
