@@ -1,18 +1,19 @@
 """Line dedup: drop the lines whose normalised text stands in many documents.
 
 Lines are exploded with their position, normalised and hashed (two 64-bit hashes). Every document
-contributes each hash once; hashes found in at least ``min_docs`` documents are written as a table.
+contributes each hash once; hashes of at least ``min_docs`` distinct documents are written as a table.
 Line positions of those hashes come back to their document, and the other lines are joined again in
 their order.
 
-Only DataFrame functions are used. Counting pre-aggregates in every task, so a line that all
-documents share is one row per task. The join of lines with frequent hashes has plain exchanges or
+Only DataFrame functions are used. Pairs of hash and document are made distinct and then counted; both steps
+pre-aggregate in every task, so a line that all documents share is one row per task. The join of lines with frequent hashes has plain exchanges or
 a written table on both sides, so adaptive planning can split a hot line. Only numbers are exploded;
 the text itself is shuffled once, by document.
 
-Defined cases: a null or empty text is one empty line. An empty key is never dropped. Every row counts as a
-document of its own, repeated rows too; their lines share one fate. A document that loses all
-lines has the empty text. Null ids are ids like any other. Extra columns are left alone.
+Defined cases: a null or empty text is one empty line. An empty key is never dropped. A document is an id: its
+rows, repeated or not, count once per key, and so do all rows without an id together. A document that loses all
+lines has the empty text. Extra columns are left alone, but for ones named n_lines or n_dropped, in any
+spelling, which are replaced.
 """
 
 from __future__ import annotations
@@ -39,12 +40,14 @@ def _hashes(text: Column) -> Column:
     )
 
 
-def frequent_lines(docs: DataFrame, text: str, min_docs: int) -> DataFrame:
-    """(h1, h2) of the keys that stand in at least min_docs documents."""
+def frequent_lines(docs: DataFrame, id_col: str, text: str, min_docs: int) -> DataFrame:
+    """(h1, h2) of the keys that stand in at least min_docs distinct documents."""
     keys = F.array_compact(F.array_distinct(_hashes(F.coalesce(F.col(text), F.lit("")))))
     return (
-        docs.select(F.explode(keys).alias("k"))
-        .groupBy(F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2"))
+        docs.select(F.col(id_col).alias("id"), F.explode(keys).alias("k"))
+        .select("id", F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2"))
+        .distinct()
+        .groupBy("h1", "h2")
         .agg(F.count("*").alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
         .select("h1", "h2")
@@ -55,7 +58,7 @@ def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS
 ) -> DataFrame:
     """docs with text replaced by the lines that stay, and with n_lines and n_dropped added."""
-    frequent = written(frequent_lines(docs, text, min_docs), "frequent_lines")
+    frequent = written(frequent_lines(docs, id_col, text, min_docs), "frequent_lines")
     body = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(
         F.col(id_col).alias("id"),
@@ -89,7 +92,7 @@ def line_dedup(
     columns = [
         F.when(F.col(gone).isNull(), body).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`")
         for c in docs.columns
-        if c not in ("n_lines", "n_dropped")
+        if c.lower() not in ("n_lines", "n_dropped")
     ]
     n_dropped = F.coalesce(F.size(gone), F.lit(0)).cast("long")
     n_dropped = F.when(F.col(gone).isNull(), F.lit(0).cast("long")).otherwise(n_dropped)
