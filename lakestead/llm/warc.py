@@ -1,7 +1,8 @@
 """WARC archives written from a page table and read back as a table of chunks.
 
 Writing: a page is one record. Of pages with equal payloads of at least ``least`` bytes the one with the
-largest id is a response; the others are revisits without a block that refer to it. A payload longer than ``chunk``
+largest id is a response; the others are revisits without a block that refer to its record id. That id is made of the page's
+id and payload digest, so it is the same wherever it is computed; records that nothing refers to are told apart by row. A payload longer than ``chunk``
 characters is written as segments (response, then continuation records), so an archive is a table of
 (record id, segment number) rows, each with the SHA-1 of its block. The archives are plain WARC/1.1 files
 in the given folder, one or more per task, written by Spark's text writer, whose line end is the end of a record.
@@ -9,15 +10,16 @@ in the given folder, one or more per task, written by Spark's text writer, whose
 Reading: Spark's text reader splits the files at the start of records, wherever a file is cut. The writer
 ends a segment inside any `WARC/1.1` line of a payload, so no payload holds that mark. Whole records are
 digested as they are read. Chunks of segmented ones are dealt by record and sorted by number, and a
-running SHA-1 takes one chunk at a time: no task holds a whole payload. Revisits meet the response
-that they name.
+running SHA-1 takes one chunk at a time: no task holds a whole payload. Revisits meet the record
+that they name, by its id alone.
 
 Only payloads of segmented records are shuffled. Groups of equal payloads pre-aggregate; the joins have
 written tables or exchanges on both sides, so adaptive planning can split a hot payload.
 
 Defined cases: a null payload is empty. A null url leaves out the target. Blanks and control characters in a url
-are written as %20. Repeated rows are one record each. A null id is less than all others. Extra columns are
-not looked at.
+are written as %20. Repeated rows are one record each; where the largest id of a payload is repeated, all of its
+rows are responses and one is referred to. A null id is less than all others; where all ids of a payload are null,
+all of its records are responses. Ids are integers. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from lakestead.llm.common import bind, written
 
 END = "\r\n\r\n"
 MARK = "WARC/1.1\r\n"
+#: The profile that revisits of equal payloads name.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -66,24 +70,31 @@ def records(pages: DataFrame, rules: Archive) -> DataFrame:
     sized = pages.select(
         "id", "url", "body", F.sha1(F.col("body").cast("binary")).alias("sha"), F.octet_length("body").alias("bytes")
     ).withColumn("row", F.monotonically_increasing_id())
+    own_rows = sized.filter(F.col("bytes") >= rules.least).groupBy("sha", "bytes", "id")
+    keeper = F.max(F.struct("id", "rows", "row"))
     groups = (
-        sized.filter(F.col("bytes") >= rules.least)
+        own_rows.agg(F.count("*").alias("rows"), F.min("row").alias("row"))
         .groupBy("sha", "bytes")
-        .agg(F.max("id").alias("keeper"), F.count("*").alias("n"))
-        .filter("n > 1")
+        .agg(keeper.alias("top"), F.sum("rows").alias("n"))
+        .filter("n > 1 and top.id is not null")
     )
-    groups = written(groups.select(F.col("sha").alias("g_sha"), F.col("bytes").alias("g_bytes"), "keeper"), "payloads")
+    top = [F.col("top.id").alias("keeper"), F.col("top.rows").alias("keepers"), F.col("top.row").alias("keeper_row")]
+    groups = written(groups.select(F.col("sha").alias("g_sha"), F.col("bytes").alias("g_bytes"), *top), "payloads")
     named = sized.join(groups, (F.col("sha") == F.col("g_sha")) & (F.col("bytes") == F.col("g_bytes")), "left")
     again = F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
-    urn = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("row"))
+    # Rows only tell records apart to which nothing refers, and the rows of a repeated id.
+    target = (F.col("id") == F.col("keeper")) & ((F.col("keepers") == 1) | (F.col("row") == F.col("keeper_row")))
+    tail = F.when(target, F.col("sha")).otherwise(F.col("row").cast("string"))
+    urn = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), tail)
     named = named.withColumn("again", again).withColumn("urn", urn)
-    chunked = named.select(
-        "id", "url", "sha", "keeper", "again", "urn", "bytes",
-        F.posexplode(
-            F.when(F.col("again"), F.array(F.lit(""))).otherwise(_chunks(F.col("body"), rules.chunk))
-        ).alias("k", "data"),
-        F.when(F.col("again"), 1).otherwise(F.size(_chunks(F.col("body"), rules.chunk))).alias("parts"),
-    )
+    pieces = F.when(F.col("again"), F.array(F.lit(""))).otherwise(_chunks(F.col("body"), rules.chunk))
+    numbered = bind(
+        pieces,
+        lambda all_of: F.transform(
+            all_of, lambda data, k: F.struct(k.alias("k"), data.alias("data"), F.size(all_of).alias("parts"))
+        ),
+    )
+    chunked = named.select("id", "url", "sha", "keeper", "again", "urn", "bytes", F.inline(numbered))
     segmented = F.col("parts") > 1
     later = F.col("k") > 0
     block = F.when(F.col("again"), "").when(later, F.col("data")).otherwise(F.concat(F.lit(HTTP), F.col("data")))
@@ -98,7 +109,8 @@ def records(pages: DataFrame, rules: Archive) -> DataFrame:
             _line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")),
             _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha"))),
             _line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.sha1(F.col("block").cast("binary")))),
-            _line("WARC-Refers-To", F.when(F.col("again"), F.concat(F.lit("<urn:page:"), "keeper", F.lit(">")))),
+            _line("WARC-Refers-To", F.when(F.col("again"), F.concat(F.lit("<urn:page:"), "keeper", F.lit(":"), "sha", F.lit(">")))),
+            _line("WARC-Profile", F.when(F.col("again"), F.lit(PROFILE))),
             _line("WARC-Segment-Number", F.when(segmented, F.col("k") + 1)),
             _line("WARC-Segment-Origin-ID", F.when(later, F.concat("urn", F.lit(">")))),
             _line("WARC-Segment-Total-Length", F.when(segmented & (F.col("k") + 1 == F.col("parts")), F.col("bytes"))),
@@ -120,8 +132,8 @@ def write_archives(
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The chunk table of the archives: origin, segment (null if whole), type, page_id, refers_to,
-    digests as stated, data (payload bytes) and block_ok (the block has its stated digest)."""
+    """The chunk table of the archives: origin, segment (null if whole), type, refers (the record id that a
+    revisit names), page_id, refers_to, digests as stated, data (payload bytes) and block_ok (the block has its stated digest)."""
     raw = spark.read.option("lineSep", END + MARK).text(path)
     text = F.regexp_replace("value", r"^WARC/1\.1\r\n", "")
     parted = raw.select(text.alias("value")).withColumn("head", F.substring_index("value", END, 1))
@@ -142,12 +154,13 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         block.alias("block"),
     )
     page = F.regexp_extract("origin", r"urn:page:(-?\d+):", 1)
-    target = F.regexp_extract(F.coalesce("refers", F.lit("")), r"urn:page:(-?\d+)>", 1)
+    target = F.regexp_extract(F.coalesce("refers", F.lit("")), r"urn:page:(-?\d+):", 1)
     http = F.when(F.col("type") == "response", F.lit(len(HTTP))).otherwise(0)
     return parsed.select(
         "origin",
         "segment",
         "type",
+        "refers",
         F.when(page != "", page).cast("long").alias("page_id"),
         F.when(target != "", target).cast("long").alias("refers_to"),
         F.substring("stated", 6, 40).alias("stated"),
@@ -185,25 +198,29 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     whole = F.col("segment").isNull()
     chunks = written(
         read_chunks(spark, path).select(
-            "origin", "segment", "type", "page_id", "refers_to", "stated", "block_ok",
+            "origin", "segment", "type", "refers", "page_id", "refers_to", "stated", "block_ok",
             F.octet_length("data").cast("long").alias("bytes"),
             F.when(whole, F.sha1("data")).alias("sha"),
             F.when(~whole, F.col("data")).alias("data"),
         ),
         "chunks",
     )
-    single = chunks.filter(whole & (F.col("type") == "response")).select("page_id", "bytes", "sha", "stated", "block_ok")
+    single = chunks.filter(whole & (F.col("type") == "response")).select(
+        "origin", "page_id", "bytes", "sha", "stated", "block_ok"
+    )
     parts = chunks.filter(~whole)
     heads = parts.groupBy("origin").agg(
         F.max("page_id").alias("page_id"), F.max("stated").alias("stated"), F.bool_and("block_ok").alias("block_ok")
     )
-    long = _stream_digests(parts).join(heads, "origin").select("page_id", "bytes", "sha", "stated", "block_ok")
+    long = _stream_digests(parts).join(heads, "origin").select(
+        "origin", "page_id", "bytes", "sha", "stated", "block_ok"
+    )
     responses = written(single.unionByName(long), "responses")
-    revisits = chunks.filter(F.col("type") == "revisit").select("page_id", "refers_to", "stated")
-    targets = responses.groupBy(F.col("page_id").alias("refers_to"), F.col("sha").alias("stated")).agg(
-        F.first("bytes").alias("bytes"), F.bool_and("block_ok").alias("block_ok")
+    revisits = chunks.filter(F.col("type") == "revisit").select("page_id", "refers", "refers_to", F.col("stated").alias("digest"))
+    targets = responses.select(
+        F.col("origin").alias("refers"), "bytes", "sha", ((F.col("sha") == F.col("stated")) & F.col("block_ok")).alias("ok")
     )
-    met = revisits.join(written(targets, "targets"), ["refers_to", "stated"], "left")
+    met = revisits.join(targets, "refers", "left")
     none = F.lit(None).cast("long")
     return responses.select(
         "page_id",
@@ -214,7 +231,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         ((F.col("sha") == F.col("stated")) & F.col("block_ok")).alias("intact"),
     ).union(
         met.select(
-            "page_id", "bytes", "stated", F.lit("revisit"), "refers_to", F.coalesce("block_ok", F.lit(False))
+            "page_id", "bytes", "digest", F.lit("revisit"), "refers_to",
+            F.coalesce(F.col("ok") & (F.col("sha") == F.col("digest")), F.lit(False)),
         )
     )
 

@@ -67,6 +67,32 @@ def test_warc_repeated_rows_and_no_rows(spark):
         assert len(got) == n and all(r.intact and r.payload_bytes in (5000, 1) for r in got)
 
 
+def test_every_reference_names_one_record(spark):
+    """As another reader sees the files: by record ids alone, with one profile per revisit."""
+    tune(spark)
+    rows = page_rows() + [(20, "q" * 3000), (20, "q" * 3000), (19, "q" * 3000), (20, "r" * 2000), (21, "r" * 2000)]
+    pages = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    path = scratch_dir(spark, "archives")
+    write_archives(pages.repartition(4), path, rules=Archive(chunk=500))
+    text = "".join(bytes(r.content).decode() for r in spark.read.format("binaryFile").load(path).collect())
+    heads = [h for h in re.findall(r"WARC/1\.1\r\n((?:[A-Z][A-Za-z-]*: [^\r\n]*\r\n)+)\r\n", text)]
+    records = [dict(line.split(": ", 1) for line in h.strip().split("\r\n")) for h in heads]
+    records = [r for r in records if "WARC-Record-ID" in r]
+    ids = Counter(r["WARC-Record-ID"] for r in records)
+    assert set(ids.values()) == {1}
+    by_id = {r["WARC-Record-ID"]: r for r in records}
+    revisits = [r for r in records if r["WARC-Type"] == "revisit"]
+    assert len(revisits) == 6
+    for r in revisits:
+        target = by_id[r["WARC-Refers-To"]]
+        assert target["WARC-Type"] == "response"
+        assert target["WARC-Payload-Digest"] == r["WARC-Payload-Digest"]
+        assert r["WARC-Profile"].endswith("identical-payload-digest") and r["Content-Length"] == "0"
+    for r in records:
+        if r["WARC-Type"] == "continuation":
+            assert r["WARC-Segment-Origin-ID"] in by_id
+
+
 def brute_mix(rows, mix):
     """rows: (id, path, n). Water filling by repeated rounds, then prefixes in MD5 order."""
     tokens = Counter()
