@@ -103,7 +103,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tune(spark), sf_dir, "documents")
     found = language_id.identify(docs, docs.filter(~_fold(4, 2)).select("doc_id", "text", "lang"))
-    return found.select("doc_id", _fold(4, 2).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+    return found.select("doc_id", _fold(4, 2).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "accepted")
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
