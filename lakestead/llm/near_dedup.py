@@ -7,18 +7,22 @@
    at home in large buckets, the centre of its group. Every member is paired with the leaders of its
    buckets, never with all members. Pairs are verified by their signatures and then on the full sets.
 3. Components of the verified links by alternating large-star and small-star until nothing changes.
-4. A bucket whose members are in one component is done. In the others, members of different components
-   are compared set against set, block against block (``block`` members each, so a group is spread over
-   tasks); only pairs that look like links come out, and they are verified. With them the components are
+4. A bucket whose members are in one component is done. The members of the others are dealt by a prefix filter: of
+   two linked sets, each ordered by how rare its shingles are among them, the first ``n - least common + 1`` share one.
+   So members meet only where different components share a rare shingle, however large their bucket is.
+   There signatures are compared, block against block (``block`` members each, 560 bytes a member); only pairs that
+   look like links come out, and they are verified. With them the components are
    final: a link is missed only if no band key agrees, which has a chance of 7e-8 at 0.85 with 28 bands
    of 5, and of 5e-8 at 0.8 with 32 bands of 4.
 
+Verifying joins signatures first; full sets, which may be long, are joined to the pairs that pass.
+
 Joins on keys that may be hot have exchanges or written tables on both sides; every group is
 reduced before it is shuffled. Only documents in shared buckets are looked at again.
 
-Defined cases: A-Z are lower-cased. A text with fewer words than a shingle is one shingle. A text without
+Defined cases: ids are integers. A-Z are lower-cased. A text with fewer words than a shingle is one shingle. A text without
 words, and a row with a null id, is linked with nothing. Rows that share an id are one
-document: their links add up, and the result has one row per id and set. Extra columns are not looked at.
+document: their links add up, and the result has one row per row. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -160,26 +164,44 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b) that are links: first by signature, then on the full sets."""
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many minima of signatures agree, row by row."""
+    return (a == b).sum(axis=-1)
+
+
+def signatures(column: pa.Array, near: Near) -> np.ndarray:
+    """A binary column of signatures as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, near.bands * near.rows)
+
+
+def verify(pairs: DataFrame, sets: DataFrame, near: Near, signed_off: bool = False) -> DataFrame:
+    """The pairs (a, b) that are links: first by signature, unless that is done, then on the full sets."""
     least = near.least_agreeing()
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = agreeing(signatures(batch.column("sig_a"), near), signatures(batch.column("sig_b"), near))
+            yield batch.select(["a", "b"]).take(pa.array(np.flatnonzero(same >= least)))
+
+    def by_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            keep = []
-            for i, (s, t) in enumerate(zip(cols["sig_a"], cols["sig_b"], strict=True)):
-                if int((np.frombuffer(s, np.uint32) == np.frombuffer(t, np.uint32)).sum()) < least:
-                    continue
-                x, y = (_whole(cols[f"hi_{c}"][i], cols[f"lo_{c}"][i]) for c in "ab")
-                if _linked(x, y, near.percent):
-                    keep.append(i)
+            keep = [
+                i
+                for i in range(batch.num_rows)
+                if _linked(*(_whole(cols[f"hi_{c}"][i], cols[f"lo_{c}"][i]) for c in "ab"), near.percent)
+            ]
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    def side(c: str) -> DataFrame:
-        return sets.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("sig", "hi", "lo")])
+    def joined(pairs: DataFrame, *columns: str) -> DataFrame:
+        for c in "ab":
+            side = sets.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in columns])
+            pairs = pairs.join(side, c)
+        return pairs
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(work, "a long, b long")
+    if not signed_off:
+        pairs = written(joined(pairs, "sig").mapInArrow(by_signature, "a long, b long"), "alike")
+    return joined(pairs, "hi", "lo").mapInArrow(by_set, "a long, b long")
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
@@ -217,42 +239,85 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _block_pairs(units: DataFrame, near: Near) -> DataFrame:
-    """Pairs (a, b) across components that may be links, from units (key, i, j, id, blk, comp, hi).
+    """Pairs (a, b) across components that may be links, from units (token, i, j, id, blk, comp, n, sig).
 
-    Each group is block i against block j of one bucket. Sets are compared by 32 bits of each hash, with
-    one per cent of leeway.
+    Each group is block i against block j of one token. Sizes and signatures are compared.
     """
-    percent = near.percent - 1
+    least = near.least_agreeing()
 
     def work(group: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(e, np.uint32) for e in group["hi"]]
-        comp, ids, blk = (group[c].to_numpy() for c in ("comp", "id", "blk"))
+        comp, ids, blk, sizes = (group[c].to_numpy() for c in ("comp", "id", "blk", "n"))
+        sigs = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(len(group), -1)
         same_block = group["i"].iloc[0] == group["j"].iloc[0]
-        sizes = np.array([len(s) for s in sets])
-        starts = np.cumsum(sizes) - sizes
-        values, codes = np.unique(np.concatenate(sets), return_inverse=True)
-        names, counts = np.unique(comp, return_counts=True)
-        largest = names[counts.argmax()]
-        mark = np.zeros(len(values), np.int32)
         a, b = [], []
-        for r in np.flatnonzero(comp != largest):
-            others = comp != comp[r]
+        for r in range(len(group) - 1):
+            others = np.arange(r + 1, len(group))
+            others = others[comp[others] != comp[r]]
             if not same_block:
-                others &= blk != blk[r]
-            others &= 100 * np.minimum(sizes, sizes[r]) >= percent * np.maximum(sizes, sizes[r])
-            others &= (comp == largest) | (np.arange(len(sets)) > r)
-            if not others.any():
-                continue
-            own = codes[starts[r] : starts[r] + sizes[r]]
-            mark[own] = 1
-            common = np.add.reduceat(mark[codes], starts)
-            mark[own] = 0
-            hits = np.flatnonzero(others & (100 * common >= percent * (sizes + sizes[r] - common)))
+                others = others[blk[others] != blk[r]]
+            smaller, larger = np.minimum(sizes[others], sizes[r]), np.maximum(sizes[others], sizes[r])
+            others = others[100 * smaller >= near.percent * larger]
+            hits = others[agreeing(sigs[others], sigs[r]) >= least]
             a += [ids[r]] * len(hits)
             b += ids[hits].tolist()
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}, dtype="int64")
 
-    return units.groupBy("key", "i", "j").applyInPandas(work, "a long, b long")
+    return units.groupBy("token", "i", "j").applyInPandas(work, "a long, b long")
+
+
+#: Shingles are counted by this many bits of their hash to tell rare ones from frequent ones.
+RARITY_BITS = 18
+
+
+def _rarity(members: DataFrame) -> np.ndarray:
+    """How many members have a shingle of each of 2^18 classes of hashes; 1 MB."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            for hi in batch.column("hi"):
+                part = np.frombuffer(hi.as_buffer(), np.uint32) >> np.uint32(32 - RARITY_BITS)
+                counts += np.bincount(part, minlength=len(counts))
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["part", "n"])
+
+    found = members.select("hi").mapInArrow(work, "part long, n long").groupBy("part").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    counts[found["part"].to_numpy()] = found["n"].to_numpy()
+    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def prefix(tokens: np.ndarray, rarity: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest tokens of a set, so many that any linked set has one of them among its own.
+
+    A linked set shares at least ``percent`` of the tokens. All sets are put in the same order: by the rarity
+    of a token, then by the token.
+    """
+    n = len(tokens)
+    keep = n - -(-n * percent // 100) + 1
+    order = np.lexsort((tokens, rarity[tokens >> np.uint32(32 - RARITY_BITS)]))
+    return tokens[order[:keep]]
+
+
+def _prefixes(members: DataFrame, near: Near) -> DataFrame:
+    """(token, id, comp) of members(id, comp, hi). Tokens are 32 bits of a shingle's hash."""
+    rarity = members.sparkSession.sparkContext.broadcast(_rarity(members))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # One per cent of leeway for shingles that share their 32 bits.
+            found = [
+                prefix(np.unique(np.frombuffer(hi.as_buffer(), np.uint32)), rarity.value, near.percent - 1)
+                for hi in batch.column("hi")
+            ]
+            row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            tokens = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens), *[batch.column(c).take(pa.array(row)) for c in ("id", "comp")]],
+                names=["token", "id", "comp"],
+            )
+
+    return members.select("id", "comp", "hi").mapInArrow(work, "token long, id long, comp long")
 
 
 def _classes(feats: DataFrame) -> DataFrame:
@@ -287,34 +352,38 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
-def _open_units(buckets: DataFrame, labels: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """Blocks of the buckets whose members are in several components.
-
-    In a bucket of two the leader has met the other one. Of buckets with the same members one is enough.
-    """
+def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, comp) of the members of buckets with several components. In a bucket of two the leader has met the other."""
     labelled = buckets.join(labels, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp")
     )
     lists = (
         labelled.groupBy("key")
-        .agg(
-            F.min("comp").alias("lo"),
-            F.max("comp").alias("hi"),
-            F.count("*").alias("m"),
-            F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s1"),
-            F.sum(F.xxhash64(F.lit(1), "id").cast("decimal(38,0)")).alias("s2"),
-        )
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
         .filter("lo < hi and m > 2")
-        .groupBy("m", "s1", "s2")
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("m") / near.block).cast("int").alias("blocks"))
+        .select("key")
+    )
+    return labelled.join(written(lists, "open_buckets"), "key").select("id", "comp").distinct()
+
+
+def open_units(members: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """Blocks of the members that share a rare shingle across components: (token, i, j, id, blk, comp, n, sig)."""
+    whole = written(members.join(sets.select("id", "hi"), "id"), "open_members")
+    tokens = written(_prefixes(whole, near), "prefixes")
+    shared = (
+        tokens.groupBy("token")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+        .filter("lo < hi")
+        .select("token", F.ceil(F.col("m") / near.block).cast("int").alias("blocks"))
+    )
+    placed = tokens.join(written(shared, "shared_tokens"), "token").withColumn(
+        "blk", F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks").cast("long")).cast("int")
     )
-    members = labelled.join(written(lists, "open_buckets"), "key")
-    placed = members.withColumn("blk", F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks").cast("long")).cast("int"))
+    facts = sets.select("id", (F.octet_length("hi") / 4).cast("long").alias("n"), "sig")
     return (
         placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "id", "blk", "comp")
-        .join(sets.select("id", "hi"), "id")
+        .select("token", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "id", "blk", "comp")
+        .join(facts, "id")
     )
 
 
@@ -336,8 +405,9 @@ def near_dedup(
     sets = written(_sets(slim.join(wanted, "id", "left_semi"), near), "sets")
     links = written(verify(_star_pairs(buckets), sets, near), "links")
     labels = written(components(links), "labels")
-    more = _block_pairs(_open_units(buckets, labels, sets, near), near).distinct()
-    more = written(verify(written(more, "open_pairs"), sets, near), "more_links")
+    members = _open_members(buckets, labels)
+    more = _block_pairs(open_units(members, sets, near), near).distinct()
+    more = written(verify(written(more, "open_pairs"), sets, near, signed_off=True), "more_links")
     if not more.isEmpty():
         labels = written(_merged(labels, more), "merged_labels")
     member = feats.filter("n > 0 and id is not null").join(classes, ["d1", "d2", "n"]).select("id", "n", "rep")

@@ -5,11 +5,13 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from lakestead.llm.common import tune
 from lakestead.llm.exact_dedup import exact_dedup
 from lakestead.llm.line_dedup import line_dedup
+from lakestead.llm import near_dedup as nd
 from lakestead.llm.near_dedup import Near, components, near_dedup
 from lakestead.llm.substring_dedup import Repeats, substring_dedup
 
@@ -74,10 +76,20 @@ def test_line_dedup(spark):
     assert {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in got.collect()} == want
 
 
-def test_line_dedup_counts_rows_and_keeps_null_ids(spark):
-    rows = [(None, "x\ny"), (None, "x\nz"), (1, "X \n1"), (1, "X \n1")]
-    got = line_dedup(frame(spark, rows), min_docs=4).collect()
-    assert sorted((r.doc_id or 0, r.text, r.n_dropped) for r in got) == [(0, "y", 1), (0, "z", 1), (1, "1", 1), (1, "1", 1)]
+def test_line_dedup_counts_documents_not_rows(spark):
+    """Ten rows of an id are one document, and all rows without one are another."""
+    rows = [(None, "x\ny"), (None, "x\nz")] + [(1, "X \n1")] * 10 + [(2, "x\nX\n2")]
+    texts = lambda least: sorted(
+        (r.doc_id or 0, r.text, r.n_dropped) for r in line_dedup(frame(spark, rows), min_docs=least).collect()
+    )
+    assert texts(4) == sorted((i or 0, t, 0) for i, t in rows)
+    assert texts(3) == [(0, "y", 1), (0, "z", 1)] + [(1, "1", 1)] * 10 + [(2, "2", 2)]
+
+
+def test_line_dedup_replaces_its_columns_in_any_spelling(spark):
+    df = spark.createDataFrame([(1, "a", 5, 6)], "doc_id long, text string, N_lines int, n_DROPPED int")
+    got = line_dedup(df)
+    assert got.columns == ["doc_id", "text", "n_lines", "n_dropped"] and tuple(got.first()) == (1, "a", 1, 0)
 
 
 @pytest.mark.parametrize("max_bits", [1 << 30, 1])
@@ -142,6 +154,47 @@ def test_near_dedup_finds_links_that_no_leader_has(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute_components(rows, 85)
 
 
+def template_rows(n, seed=9):
+    """Documents of one template, few of them linked."""
+    r = random.Random(seed)
+    template = [f"t{i}" for i in range(150)]
+    out = []
+    for i in range(n):
+        words = list(template)
+        for _ in range(r.randrange(5, 14)):
+            words[r.randrange(150)] = f"v{r.randrange(n * 4)}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_near_dedup_of_one_template(spark, monkeypatch):
+    """The work on open buckets grows with their members, and the result is that of all pairs."""
+    units = []
+    given = nd.open_units
+    monkeypatch.setattr(nd, "open_units", lambda *a: units.append(given(*a)) or units[-1])
+    for n in (150, 300):
+        rows = template_rows(n)
+        got = near_dedup(frame(spark, rows), near=Near(percent=85)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute_components(rows, 85)
+    # Less than one row per member, where every pair of blocks of a bucket used to have its own.
+    assert [u.count() < n for u, n in zip(units, (150, 300), strict=True)] == [True, True]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_token_of_their_prefixes(percent):
+    r = np.random.default_rng(percent)
+    rarity = r.integers(0, 5, 1 << nd.RARITY_BITS).astype(np.int32)
+    for _ in range(300):
+        n = int(r.integers(1, 60))
+        x = np.unique(r.integers(0, 1 << 32, n).astype(np.uint32))
+        y = x[r.random(len(x)) < 0.95]
+        y = np.unique(np.append(y, r.integers(0, 1 << 32, int(r.integers(0, 5))).astype(np.uint32)))
+        common = len(np.intersect1d(x, y))
+        if len(y) and 100 * common >= percent * (len(x) + len(y) - common):
+            prefixes = [set(nd.prefix(s, rarity, percent).tolist()) for s in (x, y)]
+            assert prefixes[0] & prefixes[1]
+
+
 def test_near_dedup_null_and_repeated_ids(spark):
     got = near_dedup(frame(spark, [(None, "a b"), (3, "a b"), (3, "a b"), (5, "a b"), (7, None)])).collect()
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == [
