@@ -4,7 +4,8 @@ Every entity takes raw documents and gives the declared columns plus ``reject_re
 set where a record cannot be stored: one pass yields the good and the bad rows.
 
 ``null_mode="missing"`` treats a null value like an absent key. ``"compat"`` turns a null value
-into the text ``None`` first, so that it passes the blank checks.
+into the text ``None`` first, so that it passes the blank checks. ``zip_as_int`` reads zip codes as
+numbers, whose lost zeros cost the score of a short code.
 """
 
 from __future__ import annotations
@@ -34,9 +35,11 @@ UNREADABLE = "unreadable: "
 
 
 # ---- entities -------------------------------------------------------------------------------
-def customers(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
+def customers(
+    raw: DataFrame, null_mode: str = "missing", zip_as_int: bool = False
+) -> DataFrame:
     names = schema("source.customers").names
-    cleaned = _with_text(_opened(raw, names), names, null_mode).withColumn(
+    cleaned = _zip(_with_text(_opened(raw, names), names, null_mode), zip_as_int, "customer").withColumn(
         "customer_state", F.upper("customer_state")
     )
     p = CUSTOMER_PENALTIES
@@ -50,9 +53,11 @@ def customers(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
     return _stored(assess(cleaned, rules), "processed.customers")
 
 
-def sellers(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
+def sellers(
+    raw: DataFrame, null_mode: str = "missing", zip_as_int: bool = False
+) -> DataFrame:
     names = schema("source.sellers").names
-    cleaned = _with_text(_opened(raw, names), names, null_mode).withColumn(
+    cleaned = _zip(_with_text(_opened(raw, names), names, null_mode), zip_as_int, "seller").withColumn(
         "seller_state", F.upper("seller_state")
     )
     p = SELLER_PENALTIES
@@ -115,11 +120,13 @@ def products(raw: DataFrame, null_mode: str = "missing", length_mode: str = "val
     )
 
 
-def geolocations(raw: DataFrame, null_mode: str = "missing") -> DataFrame:
+def geolocations(
+    raw: DataFrame, null_mode: str = "missing", zip_as_int: bool = False
+) -> DataFrame:
     texts = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"]
     opened = _opened(raw, schema("source.geolocation").names)
     cleaned = (
-        _with_text(opened, texts, null_mode)
+        _zip(_with_text(opened, texts, null_mode), zip_as_int, "geolocation")
         .withColumn("geolocation_state", F.upper("geolocation_state"))
         .withColumnRenamed("geolocation_lat", "geolocation_latitude")
         .withColumnRenamed("geolocation_lng", "geolocation_longitude")
@@ -217,6 +224,13 @@ def _with_text(df: DataFrame, names: list[str], null_mode: str) -> DataFrame:
     return df.withColumns({n: F.coalesce(strip(value(n)), F.lit("")) for n in names})
 
 
+def _zip(df: DataFrame, as_int: bool, who: str) -> DataFrame:
+    """With ``as_int`` the zip code as a reader without a schema takes it: a number, without leading zeros."""
+    name = f"{who}_zip_code_prefix"
+    number = F.col(name).try_cast("int").cast("string")
+    return df.withColumn(name, F.coalesce(number, F.col(name))) if as_int else df
+
+
 def _stored(
     df: DataFrame,
     table: str,

@@ -172,6 +172,11 @@ VIEWS["prc_customers_none"] = customer_rules(
     ),
     "src_customers",
 )
+VIEWS["prc_customers_zip_int"] = customer_rules(
+    "customer_id, customer_unique_id, cast(cast(customer_zip_code_prefix as int) as varchar) as customer_zip_code_prefix,"
+    " trim(customer_city) as customer_city, upper(customer_state) as customer_state",
+    "src_customers",
+)
 VIEWS["prc_sellers_none"] = seller_rules(
     "seller_id, seller_zip_code_prefix,"
     f" {none('seller_city')} as seller_city, upper({none('seller_state')}) as seller_state",
@@ -498,6 +503,7 @@ for key, view in {
     "dq_sellers": "prc_sellers",
     "dq_geolocations": "prc_geolocations",
     "dq_customers_compat": "prc_customers_none",
+    "dq_customers_zip_int": "prc_customers_zip_int",
     "dq_sellers_compat": "prc_sellers_none",
 }.items():
     ORACLE[key] = sql(f"select * exclude (penalty) from {view}")

@@ -427,6 +427,12 @@ def dq_customers_compat(f: Frames) -> DataFrame:
     return _records(processed.customers(documents, null_mode="compat"))
 
 
+@query
+def dq_customers_zip_int(f: Frames) -> DataFrame:
+    """Zip codes that were read as numbers are short where they began with 0."""
+    return _records(f.scored("customers", zip_as_int=True))
+
+
 @query
 def dq_sellers_compat(f: Frames) -> DataFrame:
     documents = f.raw("sellers", blank_as_null=True)
@@ -687,11 +693,12 @@ def dim_product(f: Frames) -> DataFrame:
     return f.dim_product.drop("dim_product_id")
 
 
-def _natural(f: Frames, fact: DataFrame) -> DataFrame:
+def _natural(f: Frames, fact: DataFrame, star: warehouse.Star | None = None) -> DataFrame:
     """The fact with natural keys instead of surrogate ones."""
-    customers = f.dim_customer.select("dim_customer_id", "customer_id")
-    products = f.dim_product.select("dim_product_id", "product_id")
-    places = f.dim_location.select("dim_location_id", "location_key")
+    dims = star or f
+    customers = dims.dim_customer.select("dim_customer_id", "customer_id")
+    products = dims.dim_product.select("dim_product_id", "product_id")
+    places = dims.dim_location.select("dim_location_id", "location_key")
     return (
         fact.join(customers, "dim_customer_id", "left")
         .join(products, "dim_product_id", "left")
@@ -700,23 +707,27 @@ def _natural(f: Frames, fact: DataFrame) -> DataFrame:
     )
 
 
+def _fact(f: Frames, **options: object) -> DataFrame:
+    """The fact built from the written curated zone, as a refresh builds it."""
+    lake = f.written
+    return warehouse.fct_orders(lake.orders, lake.items, lake.customers, lake.star.dim_location, **options)
+
+
 @query
 def fct_orders(f: Frames) -> DataFrame:
-    return _natural(f, f.fct_orders)
+    return _natural(f, _fact(f), f.written.star)
 
 
 @query
 def fct_orders_order_grain(f: Frames) -> DataFrame:
-    return _natural(f, warehouse.order_grain(f.fct_orders)).drop("product_id")
+    return _natural(f, _fact(f, grain="order"), f.written.star).drop("product_id")
 
 
 @query
 def fct_orders_strict(f: Frames) -> DataFrame:
     """Blank ids match nothing, and orders of unknown customers have no location."""
-    fact = warehouse.fct_orders(
-        f.orders, f.items, f.customers, f.dim_location, strict_location=True, blank_keys="null"
-    )
-    return _natural(f, fact).groupBy("customer_id", "location_key").agg(
+    fact = _fact(f, strict_location=True, blank_keys="null")
+    return _natural(f, fact, f.written.star).groupBy("customer_id", "location_key").agg(
         F.count("*").alias("n_rows"), F.sum("total_order_value").cast("decimal(18,2)").alias("value")
     )
 
@@ -1001,7 +1012,7 @@ def pipeline_csv(f: Frames) -> DataFrame:
         files.write_csv(f.source(entity).drop("raw_id"), f"{base}/in/{entity}.csv")
     files.write_csv(f.table("nation"), f"{base}/in/nation.csv")
     lake = refresh.run_folder(f.spark, f"{base}/in", f"{base}/lake", LOADED_AT)
-    return _natural(f, lake.star.fct_orders)
+    return _natural(f, lake.star.fct_orders, lake.star)
 
 
 # ---- incremental loads ----------------------------------------------------------------------
@@ -1102,7 +1113,7 @@ def fct_incremental(f: Frames) -> DataFrame:
     base = scratch_dir(f.spark, "deliveries")
     for loaded_at, sources in _deliveries(f):
         lake = deliver.deliver(f.spark, sources, base, loaded_at, raw_id="raw_id")
-    return _natural(f, lake.star.fct_orders)
+    return _natural(f, lake.star.fct_orders, lake.star)
 
 
 @query

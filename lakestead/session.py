@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -45,4 +48,41 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(spark.sparkContext.applicationId)
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{root.rstrip('/')}/lakestead/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/lakestead/{name}-{uuid.uuid4().hex}"
+    owner = _owner.get()
+    if owner is not None:
+        owner.paths.append(path)
+    return path
+
+
+class Scratch:
+    """Scratch folders made within a ``with`` block, which are removed at its end.
+
+    Whatever reads them must be done or written by then. What is made in ``outside()`` belongs to the block around
+    it, or to nobody.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        self._before = _owner.get()
+        self._token = _owner.set(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        _owner.reset(self._token)
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    @contextmanager
+    def outside(self) -> Iterator[None]:
+        token = _owner.set(self._before)
+        try:
+            yield
+        finally:
+            _owner.reset(token)
+
+
+_owner: ContextVar[Scratch | None] = ContextVar("scratch", default=None)

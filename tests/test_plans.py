@@ -4,6 +4,7 @@ import re
 
 from lakestead.plans import analytics
 from lakestead.registry.frames import Frames
+from lakestead.session import Scratch, scratch_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +37,25 @@ def test_documents_are_parsed_once(spark):
 def test_fact_is_stored_by_month(spark):
     fact = Frames(spark, SF).written.star.fct_orders
     assert all("order_month=" in path for path in fact.inputFiles())
+
+
+def test_scratch_folders_go_with_their_block(spark):
+    def kept(path):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+    with Scratch(spark) as outer:
+        with Scratch(spark) as inner:
+            paths = [scratch_dir(spark, "own")]
+            with inner.outside():
+                paths.append(scratch_dir(spark, "result"))
+            for path in paths:
+                spark.range(3).write.parquet(path)
+        assert [kept(p) for p in paths] == [False, True] and outer.paths == paths[1:]
+        assert spark.read.parquet(paths[1]).count() == 3
+    assert not kept(paths[1])
+    with Scratch(spark) as last:
+        with last.outside():
+            free = scratch_dir(spark, "free")
+            spark.range(1).write.parquet(free)
+    assert kept(free)
