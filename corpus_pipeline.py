@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakestead.llm import line_dedup, mixing, near_dedup, packing, quality_rules
 from lakestead.llm.common import carry, table, tune, unpack, written
 from lakestead.llm.queries import MIX, tree, trusted_ids
+from lakestead.session import Scratch
 
 #: Five words and a similarity of 0.8; 32 bands of 4 miss a link at 0.8 with a chance of 5e-8.
 NEAR = near_dedup.Near(shingle=5, percent=80, bands=32, rows=4)
@@ -69,5 +70,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tune(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        # What a stage wrote on its way goes when its result is written.
+        with Scratch(spark) as own:
+            kept = stage(spark, docs, sf_dir)
+            with own.outside():
+                docs = written(kept, name.replace(" ", "_"))
     return STAGES[-1][1](spark, docs, sf_dir)
