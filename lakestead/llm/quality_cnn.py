@@ -7,11 +7,11 @@ and the logarithm of the length, go through one hidden layer to a logit. The pro
 
 Training takes at most ``sample`` labelled documents (chosen by a hash of the id), whole texts, in one
 task, with Adam and fixed seeds; a retry learns the same weights. The weights, some tens of kilobytes,
-are broadcast. Scoring is one pass without a shuffle, in blocks of about ``block`` bytes.
+are broadcast. Scoring is one pass without a shuffle, in blocks of about ``block`` bytes, also within a document.
 
 Defined cases: a null or empty text is a document of no bytes with a score like any other. Without labels
 of both kinds the score is the share of label 1 (0.5 without labels). Rows with a null label or id are
-not learned from. Repeated rows get equal scores up to rounding. Extra columns are not looked at.
+not learned from; of an id with several labels each is learned. Repeated rows get equal scores up to rounding. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -56,8 +56,8 @@ def lay_out(data: np.ndarray, offsets: np.ndarray, net: Network) -> tuple[np.nda
     halves = np.maximum(-(-(lengths + net.width) // net.half), 2)
     begins = np.concatenate([[0], np.cumsum(halves)])
     out = np.zeros(int(begins[-1]) * net.half, np.uint8)
-    shift = np.repeat(begins[:-1] * net.half - offsets[:-1], lengths)
-    out[np.arange(offsets[0], offsets[-1]) + shift] = data
+    for place, start, n in zip(begins[:-1] * net.half, offsets[:-1] - offsets[0], lengths, strict=True):
+        out[place : place + n] = data[start : start + n]
     return out, begins
 
 
@@ -79,8 +79,9 @@ def start_weights(net: Network) -> dict[str, np.ndarray]:
     }
 
 
-def _responses(w: dict, laid: np.ndarray, begins: np.ndarray, net: Network) -> np.ndarray:
-    """Rectified filter responses, (half chunk, place, filter); places that reach beyond a document are 0."""
+def _responses(w: dict, laid: np.ndarray, ends: np.ndarray, net: Network) -> np.ndarray:
+    """Rectified filter responses, (half chunk, place, filter); places that reach beyond a document, which ends before
+    one of the half chunks ``ends``, are 0."""
     group = net.stride * net.depth
     x = w["bytes"][laid].reshape(-1, group)
     steps = net.width // net.stride
@@ -89,9 +90,8 @@ def _responses(w: dict, laid: np.ndarray, begins: np.ndarray, net: Network) -> n
         out[: len(x) - s] += x[s:] @ w["filters"][s * group : (s + 1) * group]
     np.maximum(out, 0, out=out)
     per_half = net.half // net.stride
-    ends = begins[1:] * per_half
     for s in range(1, steps):
-        out[ends - s] = 0
+        out[ends * per_half - s] = 0
     return out.reshape(-1, per_half, net.filters)
 
 
@@ -120,21 +120,28 @@ def _head(w: dict, pooled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hidden, 1 / (1 + np.exp(-np.clip(hidden @ w["out"] + w["out_bias"], -30, 30)))
 
 
+def _tops(w: dict, laid: np.ndarray, begins: np.ndarray, net: Network) -> np.ndarray:
+    """Largest response per half chunk and filter. A block of half chunks at a time, with the one behind it, into which
+    filters reach; so the memory of a long document is a few bytes per byte."""
+    top = np.empty((int(begins[-1]), net.filters), np.float32)
+    step = max(net.block // net.half, 1)
+    for a in range(0, len(top), step):
+        b = min(a + step, len(top))
+        seen = min(b + 1, len(top))
+        ends = begins[(begins > a) & (begins <= seen)] - a
+        found = _responses(w, laid[a * net.half : seen * net.half], ends, net)
+        top[a:b] = found[: b - a].max(axis=1)
+    return top
+
+
 def probabilities(w: dict, texts: pa.Array, net: Network) -> np.ndarray:
     data, offsets = text_buffer(texts)
     laid, begins = lay_out(data, offsets, net)
-    top = np.empty((int(begins[-1]), net.filters), np.float32)
-    done, rows = 0, len(begins) - 1
-    while done < rows:  # whole documents, or one long document, at a time
-        stop = max(done + 1, int(np.searchsorted(begins, begins[done] + net.block // net.half, side="right")) - 1)
-        a, b = int(begins[done]), int(begins[stop])
-        top[a:b] = _responses(w, laid[a * net.half : b * net.half], begins[done : stop + 1] - a, net).max(axis=1)
-        done = stop
-    return _head(w, _pool(top, begins, np.diff(offsets))[0])[1].astype(np.float64)
+    return _head(w, _pool(_tops(w, laid, begins, net), begins, np.diff(offsets))[0])[1].astype(np.float64)
 
 
 def _gradients(w: dict, laid: np.ndarray, begins: np.ndarray, lengths: np.ndarray, y: np.ndarray, net: Network) -> dict:
-    responses = _responses(w, laid, begins, net)
+    responses = _responses(w, laid, begins[1:], net)
     place = responses.argmax(axis=1)
     top = np.take_along_axis(responses, place[:, None, :], axis=1)[:, 0]
     pooled, chunks, starts = _pool(top, begins, lengths)

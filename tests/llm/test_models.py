@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -98,6 +99,46 @@ def test_filters_cover_every_byte_and_no_other_document():
     assert (np.diff(begins) >= 2).all()
 
 
+def plain_probability(w, text, net):
+    """The network for one document, place by place."""
+    data = list((text or "").encode())
+    n_halves = max(-(-(len(data) + net.width) // net.half), 2)
+    padded = data + [0] * (n_halves * net.half - len(data))
+    halves = np.zeros((n_halves, net.filters))
+    for at in range(0, len(padded), net.stride):
+        seen = padded[at : at + net.width]
+        if len(seen) == net.width:
+            x = np.concatenate([w["bytes"][b] for b in seen]).astype(np.float64)
+            response = np.maximum(x @ w["filters"] + w["filter_bias"], 0)
+            halves[at // net.half] = np.maximum(halves[at // net.half], response)
+    chunks = np.maximum(halves[:-1], halves[1:])
+    length = math.log1p(len(data)) / 5 - 1
+    pooled = np.concatenate([chunks.max(axis=0), chunks.mean(axis=0), chunks.min(axis=0), [length]])
+    hidden = np.maximum(pooled @ w["hidden"] + w["hidden_bias"], 0)
+    return 1 / (1 + math.exp(-(hidden @ w["out"] + w["out_bias"][0])))
+
+
+@pytest.mark.parametrize("block", [1, 64, 1 << 20])
+def test_probabilities_equal_a_plain_network(block):
+    net = Network(width=8, stride=4, chunk=32, filters=5, depth=3, hidden=4, block=block)
+    w = start_weights(net)
+    r = random.Random(2)
+    texts = ["".join(r.choice("abc é漢") for _ in range(n)) for n in (0, 1, 7, 8, 15, 16, 17, 40, 333, 1000)] + [None]
+    got = probabilities(w, pa.array(texts, pa.string()), net)
+    np.testing.assert_allclose(got, [plain_probability(w, t, net) for t in texts], rtol=1e-4)
+
+
+def test_a_very_long_text_takes_a_few_bytes_per_byte():
+    net, size = Network(), 32 << 20
+    w, texts = start_weights(net), pa.array(["lorem ipsum " * (size // 12)])
+    tracemalloc.start()
+    try:
+        assert 0 <= probabilities(w, texts, net)[0] <= 1
+        assert tracemalloc.get_traced_memory()[1] < 7 * size
+    finally:
+        tracemalloc.stop()
+
+
 def test_gradients():
     """Against differences of the loss."""
     net = Network(depth=3, width=8, stride=4, chunk=32, filters=5, hidden=4)
