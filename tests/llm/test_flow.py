@@ -210,6 +210,45 @@ def test_packing(spark, rules):
     assert best_fit_packing(docs.limit(0), rules=rules).count() == 0
 
 
+def plain_pack(lengths, rules):
+    """The same packing with lists that are searched from end to end."""
+    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    bins, place = [], {}
+
+    def trial(first, rest, capacity):
+        used = first
+        for n in rest:
+            if used + n <= capacity:
+                used += n
+        return used
+
+    for k, i in enumerate(order):
+        n = lengths[i]
+        fitting = [b for b in bins if b["cap"] - b["used"] >= n]
+        if fitting:
+            best = min(fitting, key=lambda b: (b["cap"] - b["used"], b["no"]))
+        else:
+            rest = [lengths[j] for j in order[k + 1 :]]
+            able = [c for c in rules.capacities if c >= n]
+            cap = min(able, key=lambda c: ((c + rules.overhead) / trial(n, rest, c), -c))
+            best = {"no": len(bins), "cap": cap, "used": 0}
+            bins.append(best)
+        place[i] = best["no"], best["used"]
+        best["used"] += n
+    sizes = [min(c for c in rules.capacities if c >= b["used"]) for b in bins]
+    return [place[i][0] for i in range(len(lengths))], [place[i][1] for i in range(len(lengths))], sizes
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_equals_plain_lists(seed):
+    r = random.Random(seed)
+    rules = r.choice([Packing(), Packing((16, 40, 64), 3), Packing((10,), 0), Packing((8, 9, 30), 20)])
+    top = max(rules.capacities)
+    for n in (0, 1, 5, 60, 250):
+        lengths = [min(top, 1 + int(r.expovariate(1 / (top / r.choice([2, 5, 20]))))) for _ in range(n)]
+        assert pack(lengths, rules) == plain_pack(lengths, rules)
+
+
 def test_packing_opens_the_least_cost_and_downsizes():
     # 68 for 60 tokens in one bin, against 24 for 20 in each of three.
     bins, offsets, capacities = pack([10] * 6, Packing((16, 20, 64), 4))
