@@ -6,13 +6,13 @@ counts of character n-grams, added up by Spark. Four fifths of it make the model
 the rejection: a text whose cross-entropy is above ``reject_quantile`` of its language's calibration
 texts, plus ``reject_margin``, is not accepted.
 
-The models of all languages share one table per order: sorted 64-bit hashes of the n-grams, and for each language the
-log probability, with back-off already worked out, and the weight of the n-gram as a context. A character
-costs one binary search for all languages, and more only where its n-gram is new. The prediction is the
-language of least cross-entropy per character over the whole text.
+Each language has a table per order: sorted 64-bit hashes of its n-grams, with the log probability and the weight of
+the n-gram as a context. The different n-grams of a batch cost one binary search per language, and more only where an n-gram
+is new to it. The prediction is the language of least cross-entropy per character over the whole text.
 
-The tables are bounded by the sample; they go to the tasks as a broadcast value. Scoring is one pass
-without a shuffle.
+All tables together take ``table_bytes`` at most: where the languages have more n-grams, each keeps its most
+frequent ones. They go to the tasks as a broadcast value. Scoring is one pass without a shuffle; texts of more
+than ``block`` characters are scored block by block.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0. With no labelled row every text is `und`.
 Equal cross-entropies go to the first language by name. Rows without an id are scored, not learned from.
@@ -43,6 +43,13 @@ class Models:
     reject_margin: float = 0.5
     #: Characters of evidence that the score counts at most.
     score_chars: int = 50
+    #: Bound of the tables of all languages.
+    table_bytes: int = 64 << 20
+    block: int = 1 << 18
+
+    def grams_per_lang(self, langs: int) -> int:
+        """An n-gram has at most one entry per order, and one as a context there; an entry takes 16 bytes."""
+        return max(self.table_bytes // (max(langs, 1) * self.order * 2 * 16), 1)
 
 
 def _letters() -> np.ndarray:
@@ -125,71 +132,64 @@ def gram_counts(sample: DataFrame, models: Models) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Tables:
-    """All models. Per order: keys (sorted hashes), logp and back-off weight per language."""
+def _adjusted(grams: np.ndarray, counts: np.ndarray, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Counts of the highest order; below it the number of different characters in front."""
+    out = {order: (grams, counts)}
+    for n in range(order - 1, 0, -1):
+        out[n] = np.unique(_low(out[n + 1][0], n), return_counts=True)
+    return out
 
-    def __init__(self, langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int):
-        self.langs, self.order = langs, order
+
+def _discount(counts: np.ndarray) -> float:
+    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def _by_context(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Contexts, the context of each gram, and per context the total count and the weight of the order below."""
+    contexts, of = np.unique(grams >> np.uint64(16), return_inverse=True)
+    total = np.bincount(of, counts)
+    return contexts, of, total, _discount(counts) * np.bincount(of) / total
+
+
+FLOOR = np.log(1.0 / (1 << 16))
+
+
+class Language:
+    """The model of one language. Per order: keys (sorted hashes), logp and back-off weight, as logarithms."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, chars: np.ndarray):
+        """grams are sorted; chars are the characters of all languages."""
         self.keys: list[np.ndarray] = []
         self.logp: list[np.ndarray] = []
         self.back: list[np.ndarray] = []
-        self.floor = np.log(1.0 / (1 << 16))
-        self.limits = np.full(len(langs), np.inf)
-        per_lang = {lang: self._adjusted(*counts[lang]) for lang in langs}
+        tables = _adjusted(grams, counts, order)
         for n in range(1, order + 1):
-            grams = [per_lang[lang][n][0] for lang in langs]
-            contexts = [per_lang[lang][n + 1][0] >> np.uint64(16) for lang in langs] if n < order else []
-            all_grams = np.unique(np.concatenate(grams + contexts))
-            logp = np.empty((len(all_grams), len(langs)), np.float32)
-            back = np.zeros((len(all_grams), len(langs)), np.float32)
-            for k, lang in enumerate(langs):
-                logp[:, k] = self._resolve(all_grams, n, k, per_lang[lang][n])
-                if n < order:
-                    back[:, k] = self._weights(all_grams, per_lang[lang][n + 1])
-            hashed = mix(all_grams + np.uint64(n))
+            own, of_own = tables[n]
+            contexts, of, total, weight = _by_context(own, of_own)
+            # Contexts of the order above may be new here; they have an entry for their weight.
+            above = _by_context(*tables[n + 1]) if n < order else (np.zeros(0, np.uint64),) * 4
+            entries = np.union1d(own, above[0])
+            lower = self.values(_low(entries, n - 1), n - 1) if n > 1 else np.full(len(entries), FLOOR)
+            ctx = entries >> np.uint64(16)
+            where = np.minimum(np.searchsorted(contexts, ctx), len(contexts) - 1)
+            logp = np.where(contexts[where] == ctx, np.log(weight[where]), 0.0) + lower
+            at = np.searchsorted(entries, own)
+            seen = np.maximum(of_own - _discount(of_own), 0) / total[of] + weight[of] * np.exp(lower[at])
+            logp[at] = np.log(seen)
+            back = np.zeros(len(entries))
+            back[np.searchsorted(entries, above[0])] = np.log(above[3].astype(np.float64))
+            hashed = mix(entries + np.uint64(n))
             by = np.argsort(hashed)
             self.keys.append(hashed[by])
-            self.logp.append(logp[by])
-            self.back.append(back[by])
-
-    def _adjusted(self, grams: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Counts of the highest order; below it the number of different characters in front."""
-        out = {self.order: (grams, counts)}
-        for n in range(self.order - 1, 0, -1):
-            out[n] = np.unique(_low(out[n + 1][0], n), return_counts=True)
-        return out
-
-    @staticmethod
-    def _discount(counts: np.ndarray) -> float:
-        once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-        return once / (once + 2 * twice) if once and twice else 0.5
-
-    def _by_context(self, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
-        """Contexts, and for each the total count and the weight of the order below."""
-        grams, counts = table
-        contexts, of = np.unique(grams >> np.uint64(16), return_inverse=True)
-        total = np.bincount(of, counts)
-        return contexts, of, total, self._discount(counts) * np.bincount(of) / total
-
-    def _weights(self, grams: np.ndarray, above: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        contexts, _, _, weight = self._by_context(above)
-        at = np.minimum(np.searchsorted(contexts, grams), len(contexts) - 1)
-        return np.where(contexts[at] == grams, np.log(weight[at]), 0.0)
-
-    def _resolve(self, wanted: np.ndarray, n: int, k: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """Log probability of the last character of each gram after the others, in language k."""
-        grams, counts = table
-        contexts, of, total, weight = self._by_context(table)
-        lower = (lambda g: self._lower(g, n - 1, k)) if n > 1 else (lambda g: np.full(len(g), self.floor))
-        seen = np.maximum(counts - self._discount(counts), 0) / total[of] + weight[of] * np.exp(lower(grams))
-        at = np.minimum(np.searchsorted(grams, wanted), len(grams) - 1)
-        ctx = wanted >> np.uint64(16)
-        where = np.minimum(np.searchsorted(contexts, ctx), len(contexts) - 1)
-        away = np.where(contexts[where] == ctx, np.log(weight[where]), 0.0) + lower(wanted)
-        return np.where(grams[at] == wanted, np.log(seen)[at], away)
-
-    def _lower(self, grams: np.ndarray, n: int, k: int) -> np.ndarray:
-        return self.values(_low(grams, n), n)[:, k].astype(np.float64)
+            self.logp.append(logp[by].astype(np.float32))
+            self.back.append(back[by].astype(np.float32))
+            if n == 1:
+                # A character of other languages is one that was not seen; one of none costs a nat more than any.
+                self.others = np.setdiff1d(chars, own)
+                self.unseen = np.float32(np.log(weight[0]) + FLOOR)
+                least = self.logp[0].min()
+                self.strange = (min(least, self.unseen) if len(self.others) else least) - np.float32(1.0)
 
     def _find(self, grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         keys, hashed = self.keys[n - 1], mix(grams + np.uint64(n))
@@ -197,34 +197,74 @@ class Tables:
         return at, keys[at] == hashed
 
     def values(self, grams: np.ndarray, n: int) -> np.ndarray:
-        """Log probabilities, one column per language."""
+        """Log probability of the last character of each gram after the others."""
         at, found = self._find(grams, n)
-        out = self.logp[n - 1][at]
+        out = self.logp[n - 1][at].astype(np.float64)
         new = np.flatnonzero(~found)
         if len(new):
             missing = grams[new]
             if n == 1:
-                out[new] = self._new_char()
+                out[new] = np.where(np.isin(missing, self.others), self.unseen, self.strange)
             else:
                 context, known = self._find(missing >> np.uint64(16), n - 1)
-                weight = np.where(known[:, None], self.back[n - 2][context], 0.0)
-                out[new] = weight + self.values(_low(missing, n - 1), n - 1)
+                out[new] = np.where(known, self.back[n - 2][context], 0.0) + self.values(_low(missing, n - 1), n - 1)
         return out
 
-    def _new_char(self) -> np.ndarray:
-        return self.logp[0].min(axis=0) - np.float32(1.0)
+    def size(self) -> int:
+        return sum(a.nbytes for a in (*self.keys, *self.logp, *self.back))
+
 
-    def cross_entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Tables:
+    """The models of all languages, and the cross-entropy above which each rejects a text."""
+
+    def __init__(self, langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int):
+        self.langs, self.order = langs, order
+        self.limits = np.full(len(langs), np.inf)
+        chars = np.unique(np.concatenate([_low(counts[lang][0], 1) for lang in langs]))
+        self.models = [Language(*counts[lang], order, chars) for lang in langs]
+
+    def _sums(self, packed: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Log probabilities added up from each start to the next, one column per language."""
+        grams, of = np.unique(packed, return_inverse=True)
+        return np.stack([np.add.reduceat(m.values(grams, self.order)[of], starts) for m in self.models], axis=1)
+
+    def cross_entropies(
+        self, texts: list[str | None], block: int = 1 << 18
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nats per character for each text and language; characters; letters."""
-        chars, begins, letters = normalise(texts, self.order)
-        packed, rows, counts = _grams(chars, begins, self.order)
         out = np.zeros((len(texts), len(self.langs)))
+        counts, letters = np.zeros((2, len(texts)), np.int64)
+        long = [i for i, t in enumerate(texts) if t and len(t) > block]
+        chars, begins, letters[:] = normalise([None if i in set(long) else t for i, t in enumerate(texts)], self.order)
+        packed, rows, counts[:] = _grams(chars, begins, self.order)
         full = np.flatnonzero(counts > 0)
         if len(full):
-            out[full] = -np.add.reduceat(self.values(packed, self.order), rows[full], axis=0)
+            out[full] = -self._sums(packed, rows[full])
+        for i in long:
+            for part, found in blocks(texts[i], self.order, block):
+                letters[i] += found
+                counts[i] += len(part)
+                if len(part):
+                    out[i] -= self._sums(part, np.zeros(1, np.int64))[0]
         return out / np.maximum(counts, 1)[:, None], counts, letters
 
 
+def blocks(text: str, order: int, block: int) -> Iterator[tuple[np.ndarray, int]]:
+    """The packed n-grams of one text, and its letters, a block of characters at a time; the same as of the whole."""
+    blank = np.full(1, ord(" "), np.uint16)
+    tail = np.repeat(blank, max(order - 1, 1))
+    for start in range(0, len(text), block):
+        part = text[start : start + block]
+        some, _, letters = normalise([part], 1)  # without a blank in front, and with one behind
+        goes_on = start + block < len(text) and part[-1].isalpha()
+        some = some[:-1] if goes_on and len(some) else some
+        if tail[-1] != blank[0] and not part[0].isalpha():
+            some = np.concatenate([blank, some])
+        joined = np.concatenate([tail[len(tail) - order + 1 :], some])
+        yield _grams(joined, np.array([0, len(joined)]), order)[0], int(letters[0])
+        tail = np.concatenate([tail, some])[-max(order - 1, 1) :]
+
+
 def _sample(labelled: DataFrame, models: Models) -> DataFrame:
     """(lang, text, part) of labelled(id, text, lang): at most docs_per_lang rows of each language."""
     named = labelled.filter("lang is not null and text is not null and id is not null")
@@ -241,10 +281,14 @@ def _sample(labelled: DataFrame, models: Models) -> DataFrame:
 def learn(labelled: DataFrame, models: Models = Models()) -> Tables | None:  # noqa: B008
     """The models, from labelled(id, text, lang)."""
     sample = written(_sample(labelled, models), "language_sample")
-    counted = gram_counts(sample.filter("not calibrate"), models).toArrow()
-    langs = sorted(set(counted["lang"].to_pylist()))
+    counts = written(gram_counts(sample.filter("not calibrate"), models), "gram_counts")
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not langs:
         return None
+    # The most frequent of each language, so many that all tables keep their bound.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    kept = counts.withColumn("place", place).filter(F.col("place") <= models.grams_per_lang(len(langs)))
+    counted = kept.drop("place").toArrow()
     names = np.array(counted["lang"].to_pylist(), object)
     grams, n = counted["gram"].to_numpy().astype(np.int64).view(np.uint64), counted["n"].to_numpy()
     counts = {}
@@ -276,7 +320,7 @@ def score(texts: DataFrame, tables: Tables | None, models: Models, key: str) ->
                 known, best, lang = np.zeros(len(rows), bool), np.zeros(len(rows)), [UNKNOWN] * len(rows)
                 accepted, sure = known, best
             else:
-                nats, counts, letters = found.cross_entropies(rows)
+                nats, counts, letters = found.cross_entropies(rows, models.block)
                 known, pick = letters > 0, nats.argmin(axis=1)
                 best = np.where(known, nats.min(axis=1), 0.0)
                 evidence = np.minimum(counts, models.score_chars)[:, None]

@@ -247,15 +247,71 @@ def test_language_tables_are_kneser_ney():
             assert n[0] == len(grams(text)) and abs(nats[0, k] - want) < 1e-4
 
 
+def packed_counts(texts, order):
+    chars, begins, _ = normalise(texts, order)
+    grams, n = np.unique(language_id._grams(chars, begins, order)[0], return_counts=True)
+    return grams, n
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_blocks_of_a_text_are_the_whole(order):
+    r = random.Random(order)
+    for _ in range(200):
+        text = "".join(r.choice("ab é\U00010400-. ") for _ in range(r.randrange(1, 40)))
+        chars, begins, letters = normalise([text], order)
+        whole = language_id._grams(chars, begins, order)[0].tolist()
+        for block in (1, 2, 3, 7, 100):
+            parts = list(language_id.blocks(text, order, block))
+            assert [g for part, _ in parts for g in part.tolist()] == whole
+            assert sum(n for _, n in parts) == letters[0]
+
+
+def test_long_texts_score_as_in_one_piece():
+    tables = Tables(["aa", "bb"], {"aa": packed_counts(["banana bandana"], 3), "bb": packed_counts(["xyzzy zany"], 3)}, 3)
+    texts = ["banana " * 50, None, "zany xyz-" * 40, "", "é" * 300]
+    whole, pieces = tables.cross_entropies(texts), tables.cross_entropies(texts, block=17)
+    for a, b in zip(whole, pieces, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-6)
+
+
+def test_many_languages_keep_the_bound():
+    models, r = Models(table_bytes=1 << 20), random.Random(4)
+    langs = [f"l{i:03}" for i in range(200)]
+    counts = {}
+    for lang in langs:
+        own = "".join(r.sample("abcdefghijklmnopqrstuvwxyz", 9))
+        counts[lang] = packed_counts(["".join(r.choice(own + " ") for _ in range(4000))], models.order)
+    most = models.grams_per_lang(len(langs))
+    kept = {}
+    for lang, (grams, n) in counts.items():
+        some = np.sort(np.argsort(-n, kind="stable")[:most])
+        kept[lang] = grams[some], n[some]
+    tables = Tables(langs, kept, models.order)
+    assert sum(m.size() for m in tables.models) <= models.table_bytes
+    assert sum(m.size() for m in Tables(langs, counts, models.order).models) > models.table_bytes
+
+
+def test_language_ties_copies_and_clashing_columns(spark):
+    tune(spark)
+    schema = "doc_id long, text string, lang string, score double, accepted int"
+    labelled = spark.createDataFrame([(1, "abab abab", "bb"), (2, "abab abab", "aa")], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(5, "abab", "x", 9.0, 7)] * 3 + [(None, "abab", None, 1.0, 1)], schema)
+    got = identify(docs, labelled).collect()
+    assert {(r.doc_id, r.lang) for r in got} == {(5, "aa"), (None, "aa")} and len(got) == 4
+    assert len({r.score for r in got}) == 1
+
+
 def test_language_on_held_out_documents(spark):
     found = queries.op10_language_id(spark, DATA)
-    assert found.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score", "accepted"]
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang").collect()}
     rows = found.collect()
     assert len(rows) == len(truth)
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
     assert np.mean([truth[r.doc_id] == r.lang_pred for r in rows if r.held_out]) > 0.97
+    assert np.mean([r.accepted for r in rows]) > 0.9
+    assert not any(r.accepted for r in rows if r.lang_pred == "und")
 
 
 def test_language_odd_cases(spark):
