@@ -71,12 +71,19 @@ def _register_table(store: ZoneStore, zone: str, table: str, name: str) -> None:
     if partitions and (state is None or all("/" not in p for p in state.paths)):
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     elif partitions:
-        for path in state.paths:
+        for path in (leaf for p in state.paths for leaf in _leaves(versions.folder, p, len(partitions))):
             values = [_partition_value(part) for part in path.split("/")[1:]]
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({', '.join(values)}) LOCATION {_quoted(f'{versions.path}/{path}')}")
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def _leaves(folder: Folder, path: str, levels: int) -> list[str]:
+    """The partitions of all levels below a folder of a version."""
+    if path.count("/") == levels:
+        return [path]
+    return [leaf for n in folder.folders(path) if "=" in n for leaf in _leaves(folder, f"{path}/{n}", levels)]
+
+
 def _partition_columns(store: ZoneStore, zone: str, table: str) -> list[str]:
     found, path = [], ""
     while True:

@@ -98,7 +98,13 @@ def test_stored_zones_in_the_catalog(spark):
     store.overwrite("z", "by_month", changed, "m", only_touched=True)
     store.overwrite("z", "plain", rows)
     rows.write.partitionBy("m").parquet(store.path("z", "loose"))
+    deep = rows.withColumn("k", F.col("i") % 2)
+    store.versions("z", "deep").write(deep, ("m", "k"))
+    store.versions("z", "deep").write(deep.filter("m is null and k = 1"), ("m", "k"), {"m=2024-01-01"})
     catalog.register(store, "z", "zone_z")
+    assert sorted(r.i for r in spark.table("zone_z.deep").collect()) == [1, 4, 5, 7]
+    catalog.register(store, "z", "zone_z", ["by_month", "loose", "plain"])
+    spark.sql("DROP TABLE zone_z.deep")
     got = catalog.zone_tables(spark, {"z": "zone_z"})
     assert sorted(tuple(r) for r in got.collect()) == [
         ("z", "by_month", 7, 2, "m"), ("z", "loose", 9, 2, "m"), ("z", "plain", 9, 2, "")
