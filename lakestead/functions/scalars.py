@@ -92,7 +92,3 @@ def percent(numerator: Column, denominator: Column, out: str = "decimal(12,2)")
 def mean(c: Column, out: str) -> Column:
     """Mean of an exact column, rounded once (the built-in one rounds at four extra digits)."""
     return F.try_divide(F.sum(c), F.count(c).cast("decimal(19,0)")).cast(out)
-
-
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)

@@ -46,7 +46,8 @@ def value_sets(tables: dict[str, DataFrame], columns: dict[str, list[str]], blan
     )
     sets = held.groupBy("held").agg(F.count("*").alias("n"))
     names = F.array(*[F.lit(n) for n in numbered])
-    return sets.select(F.transform("held", lambda h: F.struct(F.get(names, h["c"]).alias("column"), h["repeated"])).alias("held"), "n")
+    named = F.transform("held", lambda h: F.struct(F.get(names, h["c"]).alias("column"), h["repeated"]))
+    return sets.select(named.alias("held"), "n")
 
 
 def _value(df: DataFrame, column: str, blank_as_null: bool) -> Column:
@@ -74,12 +75,12 @@ def worth_comparing(tables: dict[str, DataFrame], columns: dict[str, list[str]],
         row = df.agg(*[F.approx_count_distinct(f"`{c}`", SKETCH_ERROR).alias(f"n{i}") for i, c in enumerate(names)]).first()
         for i, c in enumerate(names):
             sizes[f"{table}.{c}"] = (table, kind(df.schema[c].dataType), row[i])
-    fits = {
-        (a, b)
-        for a, b in ((a, b) for a in sizes for b in sizes if a != b)
-        if sizes[a][1] == sizes[b][1] and sizes[a][2] * (1 - SKETCH_MARGIN) * percent / 100 <= sizes[b][2] * (1 + SKETCH_MARGIN)
-    }
-    used = {c for pair in fits for c in pair}
+
+    def may_refer(a: str, b: str) -> bool:
+        least = sizes[a][2] * (1 - SKETCH_MARGIN) * percent / 100
+        return a != b and sizes[a][1] == sizes[b][1] and least <= sizes[b][2] * (1 + SKETCH_MARGIN)
+
+    used = {c for a in sizes for b in sizes if may_refer(a, b) for c in (a, b)}
     return {t: [c for c in names if f"{t}.{c}" in used] for t, names in columns.items()}
 
 
@@ -119,7 +120,9 @@ def references(
 
 
 # ---- keys of several columns ----------------------------------------------------------------
-def _candidates(columns: list[str], size: int, found: list[tuple[str, ...]], open_: set[tuple[str, ...]]) -> list[tuple[str, ...]]:
+def _candidates(
+    columns: list[str], size: int, found: list[tuple[str, ...]], open_: set[tuple[str, ...]]
+) -> list[tuple[str, ...]]:
     """Combinations of a size without a key in them, all of whose parts are open."""
     out = []
     for combination in combinations(columns, size):
@@ -148,7 +151,8 @@ def composite_keys(df: DataFrame, columns: list[str] | None = None, most: int =
     are grouped exactly. Only names and counts come to the driver.
     """
     columns = columns or df.columns
-    counts = df.agg(F.count("*").alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    known = [F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]
+    counts = df.agg(F.count("*").alias("rows"), *known).first()
     rows = counts[0]
     columns = [c for i, c in enumerate(columns) if counts[i + 1] == rows]
     found: list[tuple[str, ...]] = []

@@ -7,6 +7,7 @@ no step sees the lineage of the one before.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -28,6 +29,7 @@ from lakestead.sources.files import (
 )
 from lakestead.sources.index import ContentIndex
 from lakestead.sources.raw import observed, to_documents
+from lakestead.sources.versions import State
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 #: The partition of a processed table that a whole refresh writes.
@@ -302,7 +304,25 @@ def load_star(
     seller_history.log(store, sellers, as_of)
     reject(store, "warehouse", "dim_location", warehouse.wide_places(customers, sellers))
     reject(store, "warehouse", "fct_orders", warehouse.outside_calendar(orders))
-    return warehouse.Star(**dict(zip(write, side_by_side(list(write.values())), strict=True)))
+    star = warehouse.Star(**dict(zip(write, side_by_side(list(write.values())), strict=True)))
+    mark_built(store)
+    return star
+
+
+BUILT_FROM = "_built_from"
+
+
+def mark_built(store: ZoneStore) -> None:
+    """Remember the states of the curated tables that the star was built from, when all of it is written."""
+    states = {e: store.versions("curated", CURATED[e][0]).state() for e in CURATED}
+    text = json.dumps({e: s.to_json() for e, s in states.items() if s})
+    store.versions("warehouse", "fct_orders").folder.put(BUILT_FROM, text)
+
+
+def built_from(store: ZoneStore) -> dict[str, State] | None:
+    """Those states; None where no whole star was written."""
+    text = store.versions("warehouse", "fct_orders").folder.text(BUILT_FROM)
+    return {e: State.from_json(s) for e, s in json.loads(text).items()} if text else None
 
 
 #: Surrogate and natural key of the dimensions.

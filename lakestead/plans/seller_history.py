@@ -24,7 +24,8 @@ def batch_of(day: dt.date) -> int:
 
 def log(store: ZoneStore, sellers: DataFrame, day: dt.date, table: str = "dim_seller_scd") -> None:
     """Keep the sellers of a load as sightings of its day."""
-    _write_sightings(store, table, sellers.select(*COLUMNS).withColumn("seen_on", F.lit(day)), "seen_on", batch_of(day), "seller_city")
+    seen = sellers.select(*COLUMNS).withColumn("seen_on", F.lit(day))
+    _write_sightings(store, table, seen, "seen_on", batch_of(day), "seller_city")
 
 
 def deliver(

@@ -53,7 +53,7 @@ def _register_table(store: ZoneStore, zone: str, table: str, name: str) -> None:
         columns, partitions = store.read(zone, table).schema, _partition_columns(store, zone, table)
     else:
         columns, partitions = StructType.fromJson(json.loads(state.schema)), list(state.partition_by)
-    root = store.path(zone, table) if state is None else f"{versions.path}/{state.paths[0].split('/')[0]}" if state.paths else versions.path
+    root = versions.path if state is None or not state.paths else f"{versions.path}/{state.paths[0].split('/')[0]}"
     declared = f"{zone}.{table}"
 
     def column(field) -> str:
@@ -73,7 +73,8 @@ def _register_table(store: ZoneStore, zone: str, table: str, name: str) -> None:
     elif partitions:
         for path in (leaf for p in state.paths for leaf in _leaves(versions.folder, p, len(partitions))):
             values = [_partition_value(part) for part in path.split("/")[1:]]
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({', '.join(values)}) LOCATION {_quoted(f'{versions.path}/{path}')}")
+            place = _quoted(f"{versions.path}/{path}")
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({', '.join(values)}) LOCATION {place}")
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
