@@ -7,11 +7,13 @@
    at home in large buckets, the centre of its group. Every member is paired with the leaders of its
    buckets, never with all members. Pairs are verified by their signatures and then on the full sets.
 3. Components of the verified links by alternating large-star and small-star until nothing changes.
-4. A bucket whose members are in one component is done. The members of the others are dealt by a prefix filter: of
-   two linked sets, each ordered by how rare its shingles are among them, the first ``n - least common + 1`` share one.
-   So members meet only where different components share a rare shingle, however large their bucket is.
-   There signatures are compared, block against block (``block`` members each, 560 bytes a member); only pairs that
-   look like links come out, and they are verified. With them the components are
+4. A bucket whose members are in one component is done. In the others, members of different components
+   are compared block against block (``block`` members each), first by signature and then set against set. So a member is sent
+   as often as its bucket has blocks. Buckets of more than ``spread`` blocks, as documents of one template make them,
+   are dealt by a prefix filter instead: of two linked sets, each ordered by how rare its shingles are
+   among all of them, the first ``n - least common + 1`` share one. So their members meet only where different components
+   share a rare shingle. Both ways find every link. A block gives links that join components, fewer than it has
+   members. With them the components are
    final: a link is missed only if no band key agrees, which has a chance of 7e-8 at 0.85 with 28 bands
    of 5, and of 5e-8 at 0.8 with 32 bands of 4.
 
@@ -49,6 +51,7 @@ class Near:
     #: Links whose estimate is this many standard errors below the threshold are still verified.
     slack: float = 6.0
     block: int = 512
+    spread: int = 16
     seed: int = 7
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -174,8 +177,8 @@ def signatures(column: pa.Array, near: Near) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, near.bands * near.rows)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, near: Near, signed_off: bool = False) -> DataFrame:
-    """The pairs (a, b) that are links: first by signature, unless that is done, then on the full sets."""
+def verify(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """The pairs (a, b) that are links: first by signature, then on the full sets."""
     least = near.least_agreeing()
 
     def by_signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,9 +202,8 @@ def verify(pairs: DataFrame, sets: DataFrame, near: Near, signed_off: bool = Fal
             pairs = pairs.join(side, c)
         return pairs
 
-    if not signed_off:
-        pairs = written(joined(pairs, "sig").mapInArrow(by_signature, "a long, b long"), "alike")
-    return joined(pairs, "hi", "lo").mapInArrow(by_set, "a long, b long")
+    alike = written(joined(pairs, "sig").mapInArrow(by_signature, "a long, b long"), "alike")
+    return joined(alike, "hi", "lo").mapInArrow(by_set, "a long, b long")
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
@@ -238,31 +240,39 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _block_pairs(units: DataFrame, near: Near) -> DataFrame:
-    """Pairs (a, b) across components that may be links, from units (token, i, j, id, blk, comp, n, sig).
+def _block_links(units: DataFrame, near: Near) -> DataFrame:
+    """Links (a, b) that join components, from units (kind, key, i, j, id, blk, comp, sig, hi, lo).
 
-    Each group is block i against block j of one token. Sizes and signatures are compared.
+    Each group is block i against block j of one bucket or token. Pairs whose signatures are alike are verified on their sets. Members
+    whose components a link of the group has joined are not compared any more, so a group gives fewer links than it
+    has members.
     """
     least = near.least_agreeing()
 
     def work(group: pd.DataFrame) -> pd.DataFrame:
-        comp, ids, blk, sizes = (group[c].to_numpy() for c in ("comp", "id", "blk", "n"))
+        comp, root = np.unique(group["comp"].to_numpy(), return_inverse=True)
+        ids, blk = group["id"].to_numpy(), group["blk"].to_numpy()
         sigs = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(len(group), -1)
+        sets = [_whole(hi, lo) for hi, lo in zip(group["hi"], group["lo"], strict=True)]
+        sizes = np.array([len(s) for s in sets])
         same_block = group["i"].iloc[0] == group["j"].iloc[0]
-        a, b = [], []
+        links = []
         for r in range(len(group) - 1):
-            others = np.arange(r + 1, len(group))
-            others = others[comp[others] != comp[r]]
+            later = np.arange(r + 1, len(group))
+            wanted = root[later] != root[r]
             if not same_block:
-                others = others[blk[others] != blk[r]]
-            smaller, larger = np.minimum(sizes[others], sizes[r]), np.maximum(sizes[others], sizes[r])
-            others = others[100 * smaller >= near.percent * larger]
-            hits = others[agreeing(sigs[others], sigs[r]) >= least]
-            a += [ids[r]] * len(hits)
-            b += ids[hits].tolist()
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}, dtype="int64")
+                wanted &= blk[later] != blk[r]
+            wanted &= 100 * np.minimum(sizes[later], sizes[r]) >= near.percent * np.maximum(sizes[later], sizes[r])
+            later = later[wanted]
+            same = agreeing(sigs[later], sigs[r])
+            later, same = later[same >= least], same[same >= least]
+            for o in later[np.argsort(-same, kind="stable")].tolist():
+                if root[o] != root[r] and _linked(sets[o], sets[r], near.percent):
+                    links.append(sorted((ids[o], ids[r])))
+                    root[root == root[o]] = root[r]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return units.groupBy("token", "i", "j").applyInPandas(work, "a long, b long")
+    return units.groupBy("kind", "key", "i", "j").applyInPandas(work, "a long, b long")
 
 
 #: Shingles are counted by this many bits of their hash to tell rare ones from frequent ones.
@@ -300,7 +310,7 @@ def prefix(tokens: np.ndarray, rarity: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(members: DataFrame, near: Near) -> DataFrame:
-    """(token, id, comp) of members(id, comp, hi). Tokens are 32 bits of a shingle's hash."""
+    """(key, id, comp) of members(id, comp, hi). Keys are tokens, 32 bits of a shingle's hash."""
     rarity = members.sparkSession.sparkContext.broadcast(_rarity(members))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,10 +324,10 @@ def _prefixes(members: DataFrame, near: Near) -> DataFrame:
             tokens = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tokens), *[batch.column(c).take(pa.array(row)) for c in ("id", "comp")]],
-                names=["token", "id", "comp"],
+                names=["key", "id", "comp"],
             )
 
-    return members.select("id", "comp", "hi").mapInArrow(work, "token long, id long, comp long")
+    return members.select("id", "comp", "hi").mapInArrow(work, "key long, id long, comp long")
 
 
 def _classes(feats: DataFrame) -> DataFrame:
@@ -352,39 +362,52 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
-def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, comp) of the members of buckets with several components. In a bucket of two the leader has met the other."""
-    labelled = buckets.join(labels, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("comp")
-    )
-    lists = (
-        labelled.groupBy("key")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-        .filter("lo < hi and m > 2")
-        .select("key")
+def _groups(members: DataFrame, near: Near) -> DataFrame:
+    """(key, blocks) of the groups of members(key, id, comp) with several components; of groups with the same members one."""
+    return (
+        members.groupBy("key")
+        .agg(
+            F.min("comp").alias("lo"),
+            F.max("comp").alias("hi"),
+            F.count("*").alias("m"),
+            F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s1"),
+            F.sum(F.xxhash64(F.lit(1), "id").cast("decimal(38,0)")).alias("s2"),
+        )
+        .filter("lo < hi")
+        .groupBy("m", "s1", "s2")
+        .agg(F.min("key").alias("key"))
+        .select("key", "m", F.ceil(F.col("m") / near.block).cast("int").alias("blocks"))
     )
-    return labelled.join(written(lists, "open_buckets"), "key").select("id", "comp").distinct()
 
 
-def open_units(members: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """Blocks of the members that share a rare shingle across components: (token, i, j, id, blk, comp, n, sig)."""
-    whole = written(members.join(sets.select("id", "hi"), "id"), "open_members")
-    tokens = written(_prefixes(whole, near), "prefixes")
-    shared = (
-        tokens.groupBy("token")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-        .filter("lo < hi")
-        .select("token", F.ceil(F.col("m") / near.block).cast("int").alias("blocks"))
-    )
-    placed = tokens.join(written(shared, "shared_tokens"), "token").withColumn(
-        "blk", F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks").cast("long")).cast("int")
-    )
-    facts = sets.select("id", (F.octet_length("hi") / 4).cast("long").alias("n"), "sig")
-    return (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("token", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "id", "blk", "comp")
-        .join(facts, "id")
+def _dealt(members: DataFrame, kind: int) -> DataFrame:
+    """(kind, key, i, j, id, blk, comp) of members(key, blocks, id, comp): each once per pair of blocks it is in."""
+    blk = F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks").cast("long")).cast("int")
+    placed = members.withColumn("blk", blk)
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.lit(kind).alias("kind"), "key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
+        "id", "blk", "comp",
+    )
+
+
+def open_units(buckets: DataFrame, labels: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """What is compared in buckets with several components: (kind, key, i, j, id, blk, comp, sig, hi, lo).
+
+    In a bucket of two the leader has met the other one.
+    """
+    labelled = buckets.join(labels, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("comp")
     )
+    lists = written(_groups(labelled, near).filter("m > 2").drop("m"), "open_buckets")
+    large = F.col("blocks") > near.spread
+    units = _dealt(labelled.join(lists.filter(~large), "key"), 0)
+    if not lists.filter(large).isEmpty():
+        members = labelled.join(lists.filter(large).select("key"), "key").select("id", "comp").distinct()
+        whole = written(members.join(sets.select("id", "hi"), "id"), "open_members")
+        tokens = written(_prefixes(whole, near), "prefixes")
+        shared = written(_groups(tokens, near).drop("m"), "shared_tokens")
+        units = units.unionByName(_dealt(tokens.join(shared, "key"), 1))
+    return units.join(sets, "id")
 
 
 def near_dedup(
@@ -405,9 +428,7 @@ def near_dedup(
     sets = written(_sets(slim.join(wanted, "id", "left_semi"), near), "sets")
     links = written(verify(_star_pairs(buckets), sets, near), "links")
     labels = written(components(links), "labels")
-    members = _open_members(buckets, labels)
-    more = _block_pairs(open_units(members, sets, near), near).distinct()
-    more = written(verify(written(more, "open_pairs"), sets, near, signed_off=True), "more_links")
+    more = written(_block_links(open_units(buckets, labels, sets, near), near), "more_links")
     if not more.isEmpty():
         labels = written(_merged(labels, more), "merged_labels")
     member = feats.filter("n > 0 and id is not null").join(classes, ["d1", "d2", "n"]).select("id", "n", "rep")
