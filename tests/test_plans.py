@@ -2,7 +2,9 @@
 
 import re
 
-from lakestead.plans import analytics
+from pyspark.sql import functions as F
+
+from lakestead.plans import analytics, warehouse
 from lakestead.registry.frames import Frames
 from lakestead.session import Scratch, scratch_dir
 
@@ -59,3 +61,20 @@ def test_scratch_folders_go_with_their_block(spark):
             free = scratch_dir(spark, "free")
             spark.range(1).write.parquet(free)
     assert kept(free)
+
+
+# ---- what a refresh moves -------------------------------------------------------------------
+def test_items_are_dealt_once_for_the_fact(spark):
+    lake = Frames(spark, SF).written
+    fact = warehouse.fct_orders(lake.orders, lake.items, lake.customers, lake.star.dim_location)
+    dealt = [line for line in plan_of(fact).splitlines() if "hashpartitioning(order_id" in line]
+    assert dealt and not any("product_id" in line for line in dealt)
+
+
+def test_a_load_is_written_unsorted_and_indexed_by_short_digests(spark):
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 1
+    store = Frames(spark, SF).written.store
+    seen, raw = store.read("raw", "orders_raw_seen"), store.read("raw", "orders_raw")
+    assert {r[0] for r in seen.select(F.length("content")).distinct().collect()} == {16}
+    assert seen.schema["content"].dataType.typeName() == "binary"
+    assert seen.count() == raw.select("file_hash").distinct().count()
