@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakestead.functions import documents as docs
 from lakestead.functions import paths
+from lakestead.sources import adapters
 
 DOC = '{"a":1,"b":null,"n":{"x":[1,2]},"s":"1","t":true}'
 
@@ -186,3 +187,11 @@ def test_containment_with_quotes_in_a_name(spark):
         assert [r[0] for r in df.select(docs.contains(F.col("d"), pattern)).collect()] == [True, False]
     both = one_column(spark, ['{"a\'b\\"c":1}'])
     assert both.select(docs.contains(F.col("d"), {"a'b\"c": 1})).first()[0]
+
+
+# ---- work per document ----------------------------------------------------------------------
+def test_documents_are_dealt_and_tokens_cut_once(spark):
+    documents = adapters.customer_documents(spark, "/root/testdata/sf0.001")
+    assert documents.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    plan = documents.select(docs.pretty(F.col("data")).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
