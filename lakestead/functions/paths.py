@@ -51,16 +51,15 @@ def _each(values: Column, to: Callable[[Column], Column]) -> Column:
 
 
 def _elements(values: Column) -> Column:
+    # NULL where the value is none; the schema of a whole value costs more than the value.
     of_array = lambda v: F.try_variant_get(v, "$", "array<variant>")
-    is_array = lambda v: F.schema_of_variant(v).startswith("ARRAY")
-    return F.flatten(F.transform(values, lambda v: F.when(is_array(v), of_array(v)).otherwise(F.array(v))))
+    return F.flatten(F.transform(values, lambda v: F.coalesce(of_array(v), F.array(v))))
 
 
 def _members(values: Column) -> Column:
     of_object = lambda v: F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
-    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
     none = F.array().cast("array<variant>")
-    return F.flatten(F.transform(values, lambda v: F.when(is_object(v), of_object(v)).otherwise(none)))
+    return F.flatten(F.transform(values, lambda v: F.coalesce(of_object(v), none)))
 
 
 def _children(values: Column) -> Column:
