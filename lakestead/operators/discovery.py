@@ -15,6 +15,8 @@ LONGEST = 64
 SKETCH_ERROR, SKETCH_MARGIN = 0.02, 0.1
 #: Sketches that one pass makes.
 AT_ONCE = 200
+#: Into how many parts the values of a combination are dealt; repeats are looked for in one of them first.
+PARTS = 64
 
 
 # ---- references -----------------------------------------------------------------------------
@@ -133,13 +135,23 @@ def _candidates(
     return out
 
 
-def _ruled_in(df: DataFrame, candidates: list[tuple[str, ...]], rows: int) -> Iterator[tuple[str, ...]]:
-    """Candidates that a sketch of their distinct values does not rule out."""
+def _ruled_in(
+    df: DataFrame, candidates: list[tuple[str, ...]], rows: int, sizes: dict[tuple[str, ...], float]
+) -> Iterator[tuple[str, ...]]:
+    """Candidates that a sketch of their distinct values does not rule out.
+
+    ``sizes`` holds the estimates of earlier levels and takes those of this one. A combination has no more values than
+    its parts multiplied, and needs no sketch where that is too few.
+    """
+    for c in candidates:
+        sizes[c] = sizes[c[:-1]] * sizes[c[-1:]] * (1 + SKETCH_MARGIN) if len(c) > 1 else float("inf")
+    candidates = [c for c in candidates if sizes[c] >= rows * (1 - SKETCH_MARGIN)]
     for start in range(0, len(candidates), AT_ONCE):
         part = candidates[start : start + AT_ONCE]
         seen = df.agg(
             *[F.approx_count_distinct(F.struct(*c), SKETCH_ERROR).alias(f"n{i}") for i, c in enumerate(part)]
         ).first()
+        sizes.update({c: seen[i] for i, c in enumerate(part)})
         yield from (c for i, c in enumerate(part) if seen[i] >= rows * (1 - SKETCH_MARGIN))
 
 
@@ -157,16 +169,24 @@ def composite_keys(df: DataFrame, columns: list[str] | None = None, most: int =
     columns = [c for i, c in enumerate(columns) if counts[i + 1] == rows]
     found: list[tuple[str, ...]] = []
     open_: set[tuple[str, ...]] = set()
+    sizes: dict[tuple[str, ...], float] = {}
     for size in range(1, most + 1):
         candidates = _candidates(columns, size, found, open_)
-        exact = [c for c in _ruled_in(df, candidates, rows) if _is_unique(df, c)]
+        exact = [c for c in _ruled_in(df, candidates, rows, sizes) if _is_unique(df, c)]
         found += exact
         open_ = set(candidates) - set(exact)
     return found
 
 
 def _is_unique(df: DataFrame, columns: tuple[str, ...]) -> bool:
-    return df.groupBy(*[f"`{c}`" for c in columns]).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    """Whether no two rows share the values. All rows of a value are in one part of its hash, so a repeat in one part
+    rules the key out, and the other parts need not move. Without one, all rows are grouped."""
+    names = [f"`{c}`" for c in columns]
+
+    def repeats(part: DataFrame) -> bool:
+        return not part.groupBy(*names).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+
+    return not repeats(df.filter(F.pmod(F.xxhash64(*names), F.lit(PARTS)) == 0)) and not repeats(df)
 
 
 def key_report(tables: dict[str, DataFrame], most: int = 3) -> DataFrame:

@@ -147,3 +147,19 @@ def test_a_clash_of_keys_ends_the_load(spark, monkeypatch):
         refresh.load_star(*args)
     assert store.read("warehouse", "dim_product").count() == n
     assert store.read("warehouse", "dim_product").agg(F.max("dim_product_id")).first()[0] > 5
+
+
+# ---- what a search moves --------------------------------------------------------------------
+def test_few_values_need_no_sketch(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b"), "id")
+    sizes = {}
+    list(discovery._ruled_in(df, [("a",), ("b",), ("id",)], 100, sizes))
+    assert list(discovery._ruled_in(df, [("a", "b"), ("a", "id")], 100, sizes)) == [("a", "id")]
+    assert sizes["a", "b"] < 30 and discovery.composite_keys(df) == [("id",)]
+
+
+def test_kept_rows_are_read_and_not_made_again(spark):
+    f = Frames(spark, SF)
+    kept = f.kept(f.processed("orders"), "orders")
+    assert "from_json" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == f.table("orders").count()
