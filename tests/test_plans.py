@@ -1,12 +1,17 @@
 """Shape of the physical plans."""
 
+import datetime as dt
 import re
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from lakestead.plans import analytics, warehouse
+from lakestead.plans import analytics, curated, warehouse
 from lakestead.registry.frames import Frames
+from lakestead.registry.queries import QUERIES
+from lakestead.schemas import schema
 from lakestead.session import Scratch, scratch_dir
+from lakestead.sources.files import ZoneStore, csv_tables, scan_csv, write_csv
+from lakestead.sources.index import ContentIndex
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,3 +83,34 @@ def test_a_load_is_written_unsorted_and_indexed_by_short_digests(spark):
     assert {r[0] for r in seen.select(F.length("content")).distinct().collect()} == {16}
     assert seen.schema["content"].dataType.typeName() == "binary"
     assert seen.count() == raw.select("file_hash").distinct().count()
+
+
+def test_a_load_is_in_the_order_of_its_key(spark):
+    raw = Frames(spark, SF).written.store.read("raw", "order_items_raw")
+    place = Window.partitionBy("file").orderBy("at")
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), "raw_id", F.monotonically_increasing_id().alias("at"))
+    falls = rows.withColumn("before", F.lag("raw_id").over(place)).filter("raw_id < before")
+    assert raw.count() == 6000 and falls.count() == 0
+
+
+def test_rows_of_the_fact_move_to_their_month_without_what_follows_from_them(spark):
+    lake = Frames(spark, SF).written
+    star = warehouse.build_star(lake.orders, lake.items, lake.customers, lake.sellers, dt.date(2024, 1, 1))
+    plan = star.fct_orders._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RebalancePartitions") :]
+    assert "dim_product_id" in below and "date_id" not in below and "total_order_value" not in below
+
+
+def test_orders_move_only_where_an_id_is_repeated(spark, rows):
+    source = Frames(spark, SF).processed("orders").filter("source_raw_id < 40")
+    worse = source.filter("source_raw_id % 7 = 0").withColumns(
+        {"source_raw_id": F.col("source_raw_id") + 1000, "order_status": F.lit("worse")}
+    )
+    both = source.unionByName(worse)
+    repeated = curated.repeated_orders(both)
+    assert repeated.count() == worse.filter("is_valid").count() > 0
+    once = curated.orders_refined(both, keep=["source_raw_id"], repeated=repeated)
+    assert rows(once) == rows(curated.orders_refined(both, keep=["source_raw_id"]))
+    assert rows(once) == rows(curated.orders_refined(source, keep=["source_raw_id"]))
+    lake = Frames(spark, SF).written
+    assert lake.store.read("staging", "repeated_orders").count() == 0
