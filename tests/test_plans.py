@@ -114,3 +114,28 @@ def test_orders_move_only_where_an_id_is_repeated(spark, rows):
     assert rows(once) == rows(curated.orders_refined(source, keep=["source_raw_id"]))
     lake = Frames(spark, SF).written
     assert lake.store.read("staging", "repeated_orders").count() == 0
+
+
+def test_contents_of_a_later_load_are_dealt_once(spark, monkeypatch):
+    store = ZoneStore(spark, scratch_dir(spark, "dealt"))
+    index, written = ContentIndex(store, "raw", "t"), []
+    write = ContentIndex._write
+
+    def noted(self, rows, kind, *partitions):
+        written.append((kind, len(re.findall(r"Arguments: hashpartitioning\(", plan_of(rows)))))
+        write(self, rows, kind, *partitions)
+
+    monkeypatch.setattr(ContentIndex, "_write", noted)
+    contents = spark.range(50).select(F.col("id").cast("string").alias("content"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for load in ("1", "2", "1"):
+            index.enter(contents, load)
+        index.enter(contents.unionByName(contents.select(F.concat("content", F.lit("x")).alias("content"))), "3")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Nothing is new in the second load; the first, run again, meets no other.
+    assert [kind for kind, _ in written] == ["seen", "again", "seen", "again", "seen"]
+    assert [n for kind, n in written if kind == "again"] == [2, 2]
+    assert store.read("raw", "t_seen").groupBy("load_id").count().orderBy("load_id").collect() == [(1, 50), (3, 50)]
