@@ -101,6 +101,12 @@ def test_rows_of_the_fact_move_to_their_month_without_what_follows_from_them(spa
     assert "dim_product_id" in below and "date_id" not in below and "total_order_value" not in below
 
 
+def test_only_customers_of_listed_products_are_counted(spark):
+    star = Frames(spark, SF).written.star
+    sums = [s for s in re.findall(r"ReadSchema: struct<(.*)>", plan_of(analytics.top_products(star))) if "quantity" in s]
+    assert sums and all("dim_customer_id" not in s for s in sums)
+
+
 def test_orders_move_only_where_an_id_is_repeated(spark, rows):
     source = Frames(spark, SF).processed("orders").filter("source_raw_id < 40")
     worse = source.filter("source_raw_id % 7 = 0").withColumns(
