@@ -145,3 +145,8 @@ def test_contents_of_a_later_load_are_dealt_once(spark, monkeypatch):
     assert [kind for kind, _ in written] == ["seen", "again", "seen", "again", "seen"]
     assert [n for kind, n in written if kind == "again"] == [2, 2]
     assert store.read("raw", "t_seen").groupBy("load_id").count().orderBy("load_id").collect() == [(1, 50), (3, 50)]
+
+
+def test_sums_of_the_fact_meet_the_dimensions(spark):
+    plan = plan_of(QUERIES["fct_orders_strict"](spark, SF))
+    assert "dim_product/" not in plan
