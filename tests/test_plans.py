@@ -150,3 +150,12 @@ def test_contents_of_a_later_load_are_dealt_once(spark, monkeypatch):
 def test_sums_of_the_fact_meet_the_dimensions(spark):
     plan = plan_of(QUERIES["fct_orders_strict"](spark, SF))
     assert "dim_product/" not in plan
+
+
+def test_csv_files_may_be_compressed(spark, rows):
+    base = scratch_dir(spark, "gz")
+    df = Frames(spark, SF).source("sellers").drop("raw_id")
+    write_csv(df, f"{base}/sellers.csv", "gzip")
+    read = scan_csv(spark, csv_tables(spark, base)["sellers"], schema("source.sellers"))
+    assert all(name.endswith(".csv.gz") for name in read.inputFiles())
+    assert rows(read.fillna("")) == rows(df.fillna(""))
