@@ -159,3 +159,38 @@ def test_csv_files_may_be_compressed(spark, rows):
     read = scan_csv(spark, csv_tables(spark, base)["sellers"], schema("source.sellers"))
     assert all(name.endswith(".csv.gz") for name in read.inputFiles())
     assert rows(read.fillna("")) == rows(df.fillna(""))
+
+
+def dealt(plan, key):
+    """How often rows are dealt by a key."""
+    return len(re.findall(rf"Arguments: hashpartitioning\({key}", plan))
+
+
+def without_broadcast(spark, build):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return build()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_sums_of_an_order_and_not_its_items_are_dealt(spark):
+    plan = without_broadcast(spark, lambda: plan_of(QUERIES["fct_orders_order_grain"](spark, SF)))
+    assert "product_id" not in plan
+    # Orders and sums, each once; tasks add up before they deal.
+    assert dealt(plan, "order_id") == 2 and "partial_sum(price" in plan
+    # Orders meet the customers once; surrogate keys are looked up per customer.
+    assert dealt(plan, "_customer") == 2 and dealt(plan, r"xxhash64\(_customer") == 1
+    assert "hashpartitioning(dim_customer_id" not in plan
+
+
+def test_sums_per_order_equal_those_of_its_lines(spark, rows):
+    lake = Frames(spark, SF).written
+    extra = lake.items.limit(1).withColumns({"order_id": F.lit("unknown"), "order_item_id": F.lit(-1).cast("bigint")})
+    some = lake.items.filter("order_item_id % 3 <> 0").unionByName(extra)
+    tables = (lake.orders, some, lake.customers, lake.star.dim_location)
+    lines = warehouse.fct_orders(*tables)
+    assert lines.filter("quantity = 0").count() > 0
+    per_order = warehouse.fct_orders(*tables, grain="order")
+    assert rows(per_order) == rows(warehouse.order_grain(lines)) and per_order.count() == lake.orders.count()
