@@ -194,3 +194,10 @@ def test_sums_per_order_equal_those_of_its_lines(spark, rows):
     assert lines.filter("quantity = 0").count() > 0
     per_order = warehouse.fct_orders(*tables, grain="order")
     assert rows(per_order) == rows(warehouse.order_grain(lines)) and per_order.count() == lake.orders.count()
+
+
+def test_items_and_not_rows_of_the_fact_meet_the_products(spark):
+    plan = without_broadcast(spark, lambda: plan_of(QUERIES["fct_orders"](spark, SF)))
+    # Items meet products, then orders; rows of the fact stay where they were made.
+    assert not re.search(r"hashpartitioning\(dim_(customer|product)_id", plan) and dealt(plan, "order_id") >= 3
+    assert "product_id" not in "".join(re.findall(r"hashpartitioning\(order_id.*", plan))
