@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakestead.operators import scd2
+from lakestead.operators import scd2, sieve
 from lakestead.plans import changes, deliver, refresh, seller_history, warehouse
 from lakestead.plans.changes import Change
 from lakestead.registry.frames import Frames
@@ -303,6 +303,71 @@ def test_the_update_reads_only_touched_months(spark):
     assert plan.count("purchase_month") and "PartitionFilters: [isnotnull(purchase_month" in plan
 
 
+def test_rows_without_the_keys_stay_where_they_are(spark, rows):
+    df = spark.range(20000).select(F.when(F.col("id") % 50 != 7, F.concat(F.lit("k"), F.col("id") % 9000)).alias("k"), "id")
+    keys = spark.range(300).select(F.concat(F.lit("k"), F.col("id") * 31).alias("k"))
+    keys = keys.unionByName(keys).unionByName(spark.createDataFrame([(None,)], "k string"))
+    kept, others = sieve.split(df, "k", keys)
+    assert rows(kept.unionByName(others)) == rows(df)
+    assert rows(sieve.having(df, "k", keys)) == rows(df.join(keys, "k", "left_semi"))
+    assert rows(kept.unionByName(sieve.lacking(others, "k", keys))) == rows(df.join(keys, "k", "left_anti"))
+    assert rows(sieve.possible(df, "k", keys)) == rows(others)
+    wanted = df.join(keys, "k", "left_semi").count()
+    assert wanted <= others.count() < 1.05 * wanted + 10
+    assert rows(sieve.split(df, "k", keys.limit(0))[0]) == rows(df)
+    # Only words of the filter are dealt; the rows are not.
+    plan = plan_of(kept)
+    assert "SortMergeJoin" not in plan and plan.count("hashpartitioning(") == plan.count("hashpartitioning(_word")
+
+
+def test_an_update_leaves_the_other_rows_where_they_are(spark):
+    lake = Frames(spark, SF).written
+    fact, month = lake.star.fct_orders, lake.star.fct_orders.agg(F.min("order_month")).first()[0]
+    changed = lake.orders.filter(F.col("purchase_month") == F.lit(month)).select("order_id").limit(3)
+    kept = changes.balanced(*sieve.split(fact, "order_id", changed), "order_month", [])
+    assert kept.count() == fact.count()
+    rows = changes.updated_months(
+        fact, changed, [month], lake.orders, lake.items, lake.customers, lake.star.dim_location
+    )
+    # Neither an anti join nor a semi join of all rows with the changed orders.
+    assert "LeftAnti" not in plan_of(rows) and "LeftSemi" not in plan_of(rows)
+
+
+def test_a_small_load_meets_few_known_contents(spark, rows):
+    store = new_store(spark, "small-load")
+    index = ContentIndex(store, "raw", "t", buckets=4)
+    content = spark.range(2000).select(F.concat(F.lit("c"), "id").alias("content"))
+    index.enter(content, "1")
+    small = spark.createDataFrame([("c5",), ("c5",), ("c77",), ("new",)], "content string")
+    index.enter(small, "2")
+    found = rows(store.read("raw", "t_again"), "content")
+    assert found == [("c5",), ("c77",)]
+    assert rows(index.fresh(small.withColumn("load_id", F.lit("2")), "content"), "content") == [("new",)]
+    assert store.read("raw", "t_seen").count() == 2001
+    # All of a load is new, then none of it.
+    other = spark.createDataFrame([("x",), ("y",), ("x",)], "content string")
+    for load, n in (("3", 0), ("4", 2)):
+        index.enter(other, load)
+        assert store.read("raw", "t_again").filter(F.col("load_id") == load).count() == n
+    assert store.read("raw", "t_seen").count() == 2003
+
+
+def test_a_month_of_many_small_files_is_put_together(spark, rows):
+    store = new_store(spark, "crowded")
+    full, other = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    many = spark.range(0, 60, 1, 12).select(F.col("id").cast("string").alias("k"), F.lit(full).alias("m"))
+    one = spark.range(60, 64, 1, 1).select(F.col("id").cast("string").alias("k"), F.lit(other).alias("m"))
+    stored = store.overwrite("z", "t", many.unionByName(one), "m", balance=False)
+    table = store.versions("z", "t")
+    crowded = table.crowded([full, other, None])
+    assert crowded == [full]
+    kept, moved = sieve.split(stored, "k", spark.createDataFrame([("3",)], "k string"))
+    got = store.overwrite("z", "t", changes.balanced(kept, moved, "m", crowded), "m", True, [full, other], balance=False)
+    assert rows(got, "k") == sorted([(str(i),) for i in range(64)], key=repr)
+    assert table.crowded([full, other]) == []
+    assert changes.balanced(kept, moved, "m", [None]).count() == 64
+
+
 # ---- loads ----------------------------------------------------------------------------------
 def test_the_index_knows_what_loads_brought(spark):
     store = new_store(spark, "index")
