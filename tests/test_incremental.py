@@ -358,6 +358,18 @@ def test_an_update_leaves_the_other_rows_where_they_are(spark):
     assert "LeftAnti" not in plan_of(rows) and "LeftSemi" not in plan_of(rows)
 
 
+def test_orders_of_customers_that_did_not_move_stay(spark, rows):
+    orders, items, customers = zone(
+        spark, [(f"o{i}", f"c{i % 40}", None, "new") for i in range(400)], [], [(f"c{i}", "SP", "x") for i in range(40)]
+    )
+    there = customers.filter("customer_id <> 'c7'")
+    none = Change(orders.limit(0), orders.limit(0))
+    no_item = Change(items.limit(0), items.limit(0))
+    changed = changes.changed_orders(none, no_item, Change(there, customers), orders, False, customers)
+    assert rows(changed) == sorted([(f"o{i}",) for i in range(7, 400, 40)], key=repr)
+    assert "LeftSemi" not in plan_of(changed)
+
+
 def test_a_small_load_meets_few_known_contents(spark, rows):
     store = new_store(spark, "small-load")
     index = ContentIndex(store, "raw", "t", buckets=4)
