@@ -201,3 +201,46 @@ def test_items_and_not_rows_of_the_fact_meet_the_products(spark):
     # Items meet products, then orders; rows of the fact stay where they were made.
     assert not re.search(r"hashpartitioning\(dim_(customer|product)_id", plan) and dealt(plan, "order_id") >= 3
     assert "product_id" not in "".join(re.findall(r"hashpartitioning\(order_id.*", plan))
+
+
+# ---- what a first load, the star and its reports move ---------------------------------------
+def test_contents_of_a_first_load_stay_where_they_are(spark, rows, monkeypatch):
+    store, plans = ZoneStore(spark, scratch_dir(spark, "first")), []
+    write = ContentIndex._write
+
+    def noted(self, df, kind, *partitions):
+        plans.append(plan_of(df))
+        write(self, df, kind, *partitions)
+
+    monkeypatch.setattr(ContentIndex, "_write", noted)
+    number = spark.range(500).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("content"))
+    ContentIndex(store, "raw", "single").enter(number, "1")
+    assert "Exchange" not in plans[0] and store.read("raw", "single_seen").count() == 500
+    thrice = number.unionByName(number.limit(7)).unionByName(number.limit(3))
+    ContentIndex(store, "raw", "some").enter(thrice, "1")
+    monkeypatch.setattr("lakestead.sources.index.MOST_REPEATED", 2)
+    ContentIndex(store, "raw", "many").enter(thrice, "1")
+    for table in ("some", "many"):
+        seen = store.read("raw", f"{table}_seen")
+        assert rows(seen, "content", "bucket") == rows(store.read("raw", "single_seen"), "content", "bucket")
+
+
+def test_orders_move_to_their_month_without_what_follows_from_them(spark, rows):
+    source = Frames(spark, SF).processed("orders")
+    moved = curated.orders_refined(source, keep=["source_raw_id"], by_month=True)
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RebalancePartitions") :]
+    assert "purchase_month" in below and "days_to_delivery" not in below and "is_on_time" not in below
+    assert rows(moved) == rows(curated.orders_refined(source, keep=["source_raw_id"]))
+
+
+def test_only_delivered_orders_meet_their_lines(spark, rows):
+    orders = Frames(spark, SF).source("orders")
+    plan = without_broadcast(spark, lambda: orders._jdf.queryExecution().optimizedPlan().toString())
+    join = plan[plan.index("Join") : plan.index("max(l_shipdate")]
+    assert re.search(r"Filter .*o_orderstatus#\d+ <=> F", join)
+    base, lines = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "lineitem"))
+    last = lines.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last"))
+    both = base.join(last, base.o_orderkey == last.l_orderkey, "left")
+    want = both.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", F.col("last")))
+    assert rows(orders, "raw_id", "order_delivered_customer_date") == rows(want)
