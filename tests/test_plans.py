@@ -244,3 +244,9 @@ def test_only_delivered_orders_meet_their_lines(spark, rows):
     both = base.join(last, base.o_orderkey == last.l_orderkey, "left")
     want = both.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", F.col("last")))
     assert rows(orders, "raw_id", "order_delivered_customer_date") == rows(want)
+
+
+def test_keys_and_not_what_they_stand_for_move_in_the_star_join(spark):
+    plan = without_broadcast(spark, lambda: QUERIES["star_join"](spark, SF)._jdf.queryExecution().optimizedPlan().toString())
+    products = plan.index("Join LeftOuter, (dim_product_id")
+    assert plan.index("Join LeftOuter, (dim_date_id") < products and plan.index("Join LeftOuter, (dim_location_id") < products
