@@ -250,3 +250,20 @@ def test_keys_and_not_what_they_stand_for_move_in_the_star_join(spark):
     plan = without_broadcast(spark, lambda: QUERIES["star_join"](spark, SF)._jdf.queryExecution().optimizedPlan().toString())
     products = plan.index("Join LeftOuter, (dim_product_id")
     assert plan.index("Join LeftOuter, (dim_date_id") < products and plan.index("Join LeftOuter, (dim_location_id") < products
+
+
+def test_a_product_and_not_its_items_meets_the_dimension(spark, rows):
+    plan = without_broadcast(spark, lambda: plan_of(QUERIES["fct_orders"](spark, SF)))
+    assert not dealt(plan, "product_id") and not dealt(plan, r"CASE WHEN isnotnull\(product_id")
+    lake = Frames(spark, SF).written
+    number = F.substring("product_id", -2, 2).cast("int")
+    other = F.when(number % 5 == 1, F.concat(F.lit("new "), "product_id")).otherwise(F.col("product_id"))
+    products = lake.star.dim_product.filter(number % 5 != 0).withColumn("product_id", other)
+    star = warehouse.Star(**{**lake.star.__dict__, "dim_product": products})
+    gone = F.when(F.col("order_item_id") % 11 != 0, F.col("product_id"))
+    items = lake.items.withColumn("product_id", gone)
+    tables = (lake.orders, items, lake.customers, lake.star.dim_location)
+    renamed = warehouse.renamed_products(items, products)
+    assert 0 < renamed.count() < lake.star.dim_product.count()
+    got = rows(warehouse.fct_orders(*tables, names=star, renamed=renamed))
+    assert got == rows(warehouse.fct_orders(*tables, names=star))
