@@ -267,3 +267,14 @@ def test_a_product_and_not_its_items_meets_the_dimension(spark, rows):
     assert 0 < renamed.count() < lake.star.dim_product.count()
     got = rows(warehouse.fct_orders(*tables, names=star, renamed=renamed))
     assert got == rows(warehouse.fct_orders(*tables, names=star))
+
+
+def test_values_of_a_summary_move_alone(spark):
+    fact = Frames(spark, SF).written.star.fct_orders
+    row = warehouse.warehouse_summary(fact).first()
+    plan = plan_of(warehouse.warehouse_summary(fact))
+    assert "Expand" not in plan and "NestedLoop" not in plan and dealt(plan, r"kind#\d+, v") == 1
+    keys = ["dim_customer_id", "dim_product_id", "dim_location_id", "order_date"]
+    assert list(row)[:4] == list(fact.agg(*[F.count_distinct(k) for k in keys]).first())
+    empty = warehouse.warehouse_summary(fact.limit(0)).first()
+    assert list(empty) == [0, 0, 0, 0, None, None, 0]
