@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lakestead.functions.scalars import total
 from lakestead.operators import checks, dedupe, surrogate
 from lakestead.operators.percentile import exact_percentile
 from lakestead.sources import raw
@@ -100,3 +101,11 @@ def test_exact_percentile(spark, fraction):
     for g, vs in groups.items():
         expected = np.percentile(np.array(vs, dtype=float), fraction * 100) / 100
         assert float(got[g]) == pytest.approx(expected, rel=1e-9, abs=1e-6), g
+
+
+def test_total_is_exact(spark):
+    big = "9999999999999999.99"
+    values = [Decimal(v) for v in (big, big, "-" + big, "0.01", "-0.02", "10737418.24", "-10737418.25", big)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", None)], "k string, v decimal(18,2)")
+    got = {r.k: r.s for r in df.groupBy("k").agg(total(F.col("v")).alias("s")).collect()}
+    assert got == {"a": sum(values), "b": None} and df.agg(total(F.col("v"))).schema[0].dataType.simpleString() == "decimal(38,2)"

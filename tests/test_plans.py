@@ -278,3 +278,9 @@ def test_values_of_a_summary_move_alone(spark):
     assert list(row)[:4] == list(fact.agg(*[F.count_distinct(k) for k in keys]).first())
     empty = warehouse.warehouse_summary(fact.limit(0)).first()
     assert list(empty) == [0, 0, 0, 0, None, None, 0]
+
+
+def test_a_chart_adds_up_only_what_it_shows(spark):
+    star = Frames(spark, SF).written.star
+    plan = plan_of(analytics.chart_product_normalised(analytics.top_products(star)))
+    assert "total_order_value" in plan and "quantity" not in plan and "avg_price" not in plan
