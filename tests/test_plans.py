@@ -284,3 +284,12 @@ def test_a_chart_adds_up_only_what_it_shows(spark):
     star = Frames(spark, SF).written.star
     plan = plan_of(analytics.chart_product_normalised(analytics.top_products(star)))
     assert "total_order_value" in plan and "quantity" not in plan and "avg_price" not in plan
+
+
+def test_numbers_of_48_bits_tell_what_may_be_there_twice(spark):
+    store = ZoneStore(spark, scratch_dir(spark, "bits"))
+    contents = spark.range(300).select(F.concat(F.lit("c"), F.col("id") % 290).alias("content"))
+    ContentIndex(store, "raw", "t").enter(contents, "1")
+    twice = store.read("staging", "t_repeated")
+    assert twice.count() == 10 and twice.filter("_number < 0 or _number >= 281474976710656").count() == 0
+    assert store.read("raw", "t_seen").count() == 290
