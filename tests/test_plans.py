@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from lakestead.plans import analytics, curated, warehouse
 from lakestead.registry.frames import Frames
-from lakestead.registry.queries import QUERIES
+from lakestead.registry.queries import QUERIES, _natural
 from lakestead.schemas import schema
 from lakestead.session import Scratch, scratch_dir
 from lakestead.sources.files import ZoneStore, csv_tables, scan_csv, write_csv
@@ -286,6 +286,21 @@ def test_a_chart_adds_up_only_what_it_shows(spark):
     assert "total_order_value" in plan and "quantity" not in plan and "avg_price" not in plan
 
 
+def test_what_differs_between_lines_moves_last(spark, rows):
+    plan = without_broadcast(spark, lambda: plan_of(QUERIES["star_join"](spark, SF)))
+    moved = re.search(r"Input \[\d+\]: \[([^]]*)\]\nArguments: hashpartitioning\(dim_customer_id#\d+L, \d+\), ENSURE_REQUIREMENTS[^\n]*", plan)
+    assert [c.split("#")[0] for c in moved[1].split(", ")][-2:] == ["dim_product_id", "total_order_value"]
+    star = Frames(spark, SF).written.star
+    own = _natural(Frames(spark, SF), star.fct_orders, star)
+    keys = ["dim_customer_id", "dim_product_id", "dim_location_id"]
+    assert own.columns == [c for c in star.fct_orders.columns if c not in keys] + ["customer_id", "product_id", "location_key"]
+    names = {"dim_customer": "customer_id", "dim_product": "product_id", "dim_location": "location_key"}
+    want = star.fct_orders
+    for table, natural in names.items():
+        want = want.join(getattr(star, table).select(f"{table}_id", natural), f"{table}_id", "left").drop(f"{table}_id")
+    assert rows(own) == rows(want)
+
+
 def test_numbers_of_48_bits_tell_what_may_be_there_twice(spark):
     store = ZoneStore(spark, scratch_dir(spark, "bits"))
     contents = spark.range(300).select(F.concat(F.lit("c"), F.col("id") % 290).alias("content"))
